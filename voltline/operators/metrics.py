@@ -1,0 +1,140 @@
+"""Operational metrics over Silver / alert tables (dashboard figures)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from voltline.operators.streamsql import (BATTERY_CRITICAL_PCT, TEMP_HIGH_C, TEMP_LOW_C,
+                                         threshold_alerts)
+
+
+def hub_latency_ms(df: DataFrame):
+    """Milliseconds from event time to arrival at the hub."""
+    return F.expr("(unix_micros(kafka_timestamp) - unix_micros(event_timestamp)) div 1000")
+
+
+def throughput_series(tel: DataFrame, bucket: str = "2 seconds", points: int = 40) -> DataFrame:
+    """Events per second in consecutive buckets; the newest ``points``."""
+    secs = float(bucket.split()[0])
+    return (tel.where(F.col("event_timestamp").isNotNull())
+            .groupBy(F.window("event_timestamp", bucket).alias("w"))
+            .agg(F.count(F.lit(1)).alias("events"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "events", (F.col("events") / F.lit(secs)).alias("events_per_sec"))
+            .orderBy(F.desc("window_start")).limit(points))
+
+
+def latency_percentiles(tel: DataFrame) -> DataFrame:
+    """Exact p50 / p95 / p99 of hub latency per device type.  Latency is an
+    integer number of milliseconds, so each partial aggregate is a map of
+    distinct values -> counts (bounded by the latency range, not by rows)."""
+    lat = hub_latency_ms(tel)
+    return (tel.where(F.col("event_timestamp").isNotNull())
+            .select("device_type", lat.alias("lat"))
+            .groupBy("device_type")
+            .agg(F.count(F.lit(1)).alias("events"),
+                 F.percentile("lat", 0.5).alias("p50_ms"),
+                 F.percentile("lat", 0.95).alias("p95_ms"),
+                 F.percentile("lat", 0.99).alias("p99_ms"),
+                 F.max("lat").alias("max_ms")))
+
+
+def events_per_day(tel: DataFrame) -> DataFrame:
+    return (tel.groupBy(F.to_date("event_timestamp").alias("event_day"))
+            .agg(F.count(F.lit(1)).alias("events"),
+                 F.count_distinct("device_id").alias("devices"),
+                 F.count_if(F.col("anomaly_flag")).alias("anomalies")))
+
+
+def _latest(tel: DataFrame):
+    return tel.select(F.max("event_timestamp")).scalar()
+
+
+def anomaly_rate_recent(tel: DataFrame, minutes: int = 5) -> DataFrame:
+    """Share of anomalous events in the last ``minutes`` before the newest
+    event time (one row)."""
+    recent = tel.where(F.col("event_timestamp")
+                       > _latest(tel) - F.make_dt_interval(mins=F.lit(minutes)))
+    return (recent.agg(F.count(F.lit(1)).alias("events"),
+                       F.count_if(F.col("anomaly_flag")).alias("anomalies"))
+            .withColumn("anomaly_rate_pct",
+                        F.round(F.lit(100.0) * F.col("anomalies") / F.nullif(F.col("events"), F.lit(0)), 2)))
+
+
+def active_devices(tel: DataFrame) -> DataFrame:
+    """Distinct devices seen, per device type."""
+    return (tel.groupBy("device_type")
+            .agg(F.count_distinct("device_id").alias("active_devices"),
+                 F.count(F.lit(1)).alias("events")))
+
+
+def recent_alerts(tel: DataFrame, k: int = 8, minutes: int = 5) -> DataFrame:
+    """Newest ``k`` threshold alerts (total order: time, then id) and the
+    number of alerts raised in the last ``minutes``."""
+    al = threshold_alerts(tel)
+    latest = al.select(F.max("detected_at")).scalar()
+    recent_n = al.where(F.col("detected_at") > latest - F.make_dt_interval(mins=F.lit(minutes))) \
+                 .select(F.count(F.lit(1))).scalar()
+    return (al.orderBy(F.desc("detected_at"), F.desc("event_id")).limit(k)
+            .select("event_id", "device_id", "alert_type", "detected_at",
+                    recent_n.alias("alerts_last_5m")))
+
+
+def region_throughput(silver: DataFrame) -> DataFrame:
+    """Events per second by region over the observed span, and each
+    region's share of the busiest region."""
+    span = silver.select((F.unix_micros(F.max("event_timestamp"))
+                          - F.unix_micros(F.min("event_timestamp"))) / F.lit(1_000_000.0)).scalar()
+    per = (silver.where(F.col("event_timestamp").isNotNull())
+           .groupBy("region").agg(F.count(F.lit(1)).alias("events")))
+    busiest = per.select(F.max("events")).scalar()
+    return per.select("region", "events", (F.col("events") / span).alias("events_per_sec"),
+                      (F.lit(100.0) * F.col("events") / busiest).alias("pct_of_busiest"))
+
+
+# Layer SLA targets (seconds) and trigger / window settings.
+SLA_TARGETS = {"bronze": 30, "silver": 120, "gold": 900}
+BRONZE_TRIGGER_S, SILVER_TRIGGER_S, GOLD_TRIGGER_S = 10, 30, 60
+GOLD_WINDOW_S, GOLD_WATERMARK_S = 300, 120
+
+
+def sla_attainment(tel: DataFrame) -> DataFrame:
+    """Worst-case availability lag per layer against its target.
+
+    bronze = slowest hub arrival + bronze trigger; silver = bronze + silver
+    trigger; gold = silver + KPI window + watermark + KPI trigger.
+    pct = min(100, lag / target * 100): < 60 green, < 85 amber, else red."""
+    hub = tel.agg(F.max(hub_latency_ms(tel)).alias("ms"))
+    bronze = F.col("ms") / F.lit(1000.0) + F.lit(float(BRONZE_TRIGGER_S))
+    silver = bronze + F.lit(float(SILVER_TRIGGER_S))
+    gold = silver + F.lit(float(GOLD_WINDOW_S + GOLD_WATERMARK_S + GOLD_TRIGGER_S))
+    rows = F.array(*[F.struct(F.lit(name).alias("layer"), lag.alias("actual_sec"),
+                              F.lit(float(SLA_TARGETS[name])).alias("target_sec"))
+                     for name, lag in (("bronze", bronze), ("silver", silver), ("gold", gold))])
+    out = hub.select(F.explode(rows).alias("r")).select("r.*")
+    pct = F.least(F.lit(100.0), F.col("actual_sec") / F.col("target_sec") * F.lit(100.0))
+    return (out.withColumn("pct", pct)
+            .withColumn("status", F.when(F.col("pct") < 60, "green")
+                        .when(F.col("pct") < 85, "amber").otherwise("red")))
+
+
+def event_log(silver: DataFrame, rejects: DataFrame, k: int = 80) -> DataFrame:
+    """Newest ``k`` pipeline log lines: threshold alerts, quality warnings
+    and dead letters, stamped with their hub arrival time."""
+    al = (silver.where(F.col("anomaly_flag") | (F.col("temperature_c") > TEMP_HIGH_C)
+                       | (F.col("temperature_c") < TEMP_LOW_C)
+                       | (F.col("battery_pct") < BATTERY_CRITICAL_PCT))
+          .select(F.col("kafka_timestamp").alias("log_time"), F.lit("ALERT").alias("badge"),
+                  F.col("event_id").alias("ref"),
+                  F.concat_ws(" ", F.lit("alert on"), "device_id").alias("message")))
+    warn = (silver.where(~F.col("is_valid"))
+            .select(F.col("kafka_timestamp").alias("log_time"), F.lit("WARN").alias("badge"),
+                    F.col("event_id").alias("ref"),
+                    F.concat_ws(" ", F.array_join("quality_flags", ","), F.lit("on"), "device_id")
+                    .alias("message")))
+    dead = rejects.select(F.col("kafka_timestamp").alias("log_time"), F.lit("ERROR").alias("badge"),
+                          F.concat(F.lit("offset-"), F.col("kafka_offset").cast("string")).alias("ref"),
+                          F.concat_ws(" ", F.lit("dead letter"), "reject_reason").alias("message"))
+    return (al.unionByName(warn).unionByName(dead)
+            .orderBy(F.desc("log_time"), "badge", F.desc("ref")).limit(k))

@@ -92,6 +92,74 @@ def q_alerts_trailing(spark, sf):
     return alerts.alerts_trailing(I.silver(spark, sf))
 
 
+def q_throughput_series(spark, sf):
+    return metrics.throughput_series(I.telemetry(spark, sf))
+
+
+def q_latency_p99(spark, sf):
+    return metrics.latency_percentiles(I.telemetry(spark, sf))
+
+
+def q_events_today(spark, sf):
+    return metrics.events_per_day(I.telemetry(spark, sf))
+
+
+def q_anomaly_rate_5m(spark, sf):
+    return metrics.anomaly_rate_recent(I.telemetry(spark, sf))
+
+
+def q_active_devices(spark, sf):
+    return metrics.active_devices(I.telemetry(spark, sf))
+
+
+def q_recent_alerts(spark, sf):
+    return metrics.recent_alerts(I.telemetry(spark, sf))
+
+
+def q_region_throughput(spark, sf):
+    return metrics.region_throughput(I.silver(spark, sf))
+
+
+def q_sla_attainment(spark, sf):
+    return metrics.sla_attainment(I.telemetry(spark, sf))
+
+
+def q_event_log(spark, sf):
+    return metrics.event_log(I.silver(spark, sf), silver_ops.rejects(I.bronze(spark, sf)))
+
+
+def q_health_rollup(spark, sf):
+    return health.rollup(health.device_checks(I.silver(spark, sf)))
+
+
+def q_health_summary(spark, sf):
+    return health.summary(health.device_checks(I.silver(spark, sf)))
+
+
+def q_health_flatten(spark, sf):
+    return health.flatten(health.device_checks(I.silver(spark, sf)))
+
+
+def q_layer_presence(spark, sf):
+    b = I.bronze(spark, sf)
+    s = silver_ops.dedup_batch(silver_ops.silver_rows(b, I.registry(spark, sf)))
+    return health.layer_presence(b, s, gold.device_kpis(s))
+
+
+def q_retention_plan(spark, sf):
+    parts = (I.events(spark, sf).groupBy(F.to_date("ts").alias("partition_date"))
+             .agg(F.count(F.lit(1)).alias("rows")))
+    return maintenance.retention_plan(parts, I.RETENTION_AS_OF)
+
+
+def q_compact_cluster(spark, sf):
+    s = I.silver(spark, sf).select("event_id", "device_id", "event_timestamp", "event_date",
+                                   "temperature_c", "humidity_pct", "battery_pct", "is_valid",
+                                   "region")
+    return maintenance.cluster(s, ["device_id", "event_timestamp"],
+                               spark.sparkContext.defaultParallelism)
+
+
 QUERIES = {
     "bronze_project": q_bronze_project,
     "silver_parse": q_silver_parse,
@@ -108,4 +176,19 @@ QUERIES = {
     "alerts_range": q_alerts_range,
     "alerts_per_event": q_alerts_per_event,
     "alerts_trailing": q_alerts_trailing,
+    "throughput_series": q_throughput_series,
+    "latency_p99": q_latency_p99,
+    "events_today": q_events_today,
+    "anomaly_rate_5m": q_anomaly_rate_5m,
+    "active_devices": q_active_devices,
+    "recent_alerts": q_recent_alerts,
+    "region_throughput": q_region_throughput,
+    "sla_attainment": q_sla_attainment,
+    "event_log": q_event_log,
+    "health_rollup": q_health_rollup,
+    "health_summary": q_health_summary,
+    "health_flatten": q_health_flatten,
+    "layer_presence": q_layer_presence,
+    "retention_plan": q_retention_plan,
+    "compact_cluster": q_compact_cluster,
 }

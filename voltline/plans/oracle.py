@@ -65,8 +65,8 @@ FLAGS = """concat_ws(',',
 QF = f"""
 qf AS (SELECT tel.*, {FLAGS} AS flags FROM tel),
 q AS (SELECT qf.*, flags = '' AS is_valid,
-             CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ',', '')) + 1 END
-               AS n_flags FROM qf)"""
+             CAST(CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ',', '')) + 1 END
+                  AS INTEGER) AS n_flags FROM qf)"""
 
 SILVER = f"""{TEL},{REG},{QF},
 silver AS (SELECT q.*, reg.site_name, reg.region, reg.owner_team, reg.sla_tier
@@ -145,7 +145,7 @@ SELECT device_id, device_type, region, sla_tier,
        {exact_avg('humidity_pct')} AS avg_humidity,
        {exact_avg('battery_pct')} AS avg_battery,
        MIN(battery_pct) AS min_battery,
-       SUM(CAST(anomaly_flag AS INTEGER)) AS anomaly_count,
+       CAST(SUM(CAST(anomaly_flag AS INTEGER)) AS BIGINT) AS anomaly_count,
        COUNT(DISTINCT firmware_version) AS firmware_versions,
        time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start,
        time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end,
@@ -164,7 +164,7 @@ SELECT {ASA_END_1} AS window_end, {ASA_END_1} - INTERVAL 1 MINUTE AS window_star
        MAX(temperature_c) AS max_temperature_c, MIN(temperature_c) AS min_temperature_c,
        {exact_avg('humidity_pct')} AS avg_humidity_pct,
        {exact_avg('battery_pct')} AS avg_battery_pct,
-       SUM(CAST(anomaly_flag AS BIGINT)) AS anomaly_count,
+       CAST(SUM(CAST(anomaly_flag AS BIGINT)) AS BIGINT) AS anomaly_count,
        round({D(100)} * CAST(SUM(CAST(anomaly_flag AS BIGINT)) AS DOUBLE) / NULLIF(COUNT(*), 0), 2)
          AS anomaly_rate_pct
 FROM tel WHERE event_timestamp IS NOT NULL
@@ -181,7 +181,7 @@ agg AS (
          MAX(temperature_c) AS max_temp_c, MIN(temperature_c) AS min_temp_c,
          {exact_avg('pressure_hpa')} AS avg_pressure_hpa,
          MIN(battery_pct) AS min_battery_pct,
-         SUM(CAST(anomaly_flag AS BIGINT)) AS anomaly_count
+         CAST(SUM(CAST(anomaly_flag AS BIGINT)) AS BIGINT) AS anomaly_count
   FROM hop GROUP BY window_end, device_id, device_type)
 SELECT window_end, window_end - INTERVAL 5 MINUTE AS window_start, device_id, device_type,
        event_count, {mean_m('t_n', 't_s1')} AS avg_temp_c,
@@ -283,4 +283,156 @@ SELECT event_id, device_id, device_type, region, event_timestamp, temperature_c,
        {TRIGGER} AS trigger
 FROM al WHERE anomaly_flag OR stat"""
 
+
+THRESHOLD = """
+al AS (
+  SELECT event_id, device_id, device_type, event_timestamp AS detected_at, kafka_timestamp,
+         CASE WHEN CAST(anomaly_flag AS BIGINT) = 1 THEN 'MODEL_ALERT'
+              WHEN temperature_c > 80 THEN 'TEMP_HIGH'
+              WHEN temperature_c < -20 THEN 'TEMP_LOW'
+              WHEN battery_pct < 10 THEN 'BATTERY_CRITICAL' ELSE 'UNKNOWN' END AS alert_type
+  FROM tel
+  WHERE CAST(anomaly_flag AS BIGINT) = 1 OR temperature_c > 80 OR temperature_c < -20
+     OR battery_pct < 10)"""
+
+SQL["throughput_series"] = f"""WITH {TEL}
+SELECT time_bucket(INTERVAL 2 SECOND, event_timestamp) AS window_start,
+       time_bucket(INTERVAL 2 SECOND, event_timestamp) + INTERVAL 2 SECOND AS window_end,
+       COUNT(*) AS events, CAST(COUNT(*) AS DOUBLE) / {D(2)} AS events_per_sec
+FROM tel WHERE event_timestamp IS NOT NULL
+GROUP BY 1 ORDER BY window_start DESC LIMIT 40"""
+
+SQL["latency_p99"] = f"""WITH {TEL},
+l AS (SELECT device_type, (epoch_us(kafka_timestamp) - epoch_us(event_timestamp)) // 1000 AS lat
+      FROM tel WHERE event_timestamp IS NOT NULL)
+SELECT device_type, COUNT(*) AS events,
+       CAST(quantile_cont(lat, 0.5) AS DOUBLE) AS p50_ms,
+       CAST(quantile_cont(lat, 0.95) AS DOUBLE) AS p95_ms,
+       CAST(quantile_cont(lat, 0.99) AS DOUBLE) AS p99_ms, MAX(lat) AS max_ms
+FROM l GROUP BY device_type"""
+
+SQL["events_today"] = f"""WITH {TEL}
+SELECT CAST(event_timestamp AS DATE) AS event_day, COUNT(*) AS events,
+       COUNT(DISTINCT device_id) AS devices, COUNT(*) FILTER (WHERE anomaly_flag) AS anomalies
+FROM tel GROUP BY 1"""
+
+SQL["anomaly_rate_5m"] = f"""WITH {TEL},
+mx AS (SELECT MAX(event_timestamp) AS m FROM tel),
+r AS (SELECT COUNT(*) AS events, COUNT(*) FILTER (WHERE anomaly_flag) AS anomalies
+      FROM tel, mx WHERE event_timestamp > m - INTERVAL 5 MINUTE)
+SELECT events, anomalies,
+       round({D(100)} * anomalies / NULLIF(events, 0), 2) AS anomaly_rate_pct FROM r"""
+
+SQL["active_devices"] = f"""WITH {TEL}
+SELECT device_type, COUNT(DISTINCT device_id) AS active_devices, COUNT(*) AS events
+FROM tel GROUP BY device_type"""
+
+SQL["recent_alerts"] = f"""WITH {TEL},{THRESHOLD},
+mx AS (SELECT MAX(detected_at) AS m FROM al),
+rc AS (SELECT COUNT(*) AS n FROM al, mx WHERE detected_at > m - INTERVAL 5 MINUTE)
+SELECT event_id, device_id, alert_type, detected_at, rc.n AS alerts_last_5m
+FROM al, rc ORDER BY detected_at DESC, event_id DESC LIMIT 8"""
+
+SQL["region_throughput"] = f"""WITH {SILVER},
+span AS (SELECT (epoch_us(MAX(event_timestamp)) - epoch_us(MIN(event_timestamp)))
+                / {D(1000000)} AS s FROM silver),
+per AS (SELECT region, COUNT(*) AS events FROM silver
+        WHERE event_timestamp IS NOT NULL GROUP BY region),
+mx AS (SELECT MAX(events) AS m FROM per)
+SELECT region, events, events / s AS events_per_sec, {D(100)} * events / m AS pct_of_busiest
+FROM per, span, mx"""
+
+SQL["sla_attainment"] = f"""WITH {TEL},
+hub AS (SELECT MAX((epoch_us(kafka_timestamp) - epoch_us(event_timestamp)) // 1000) AS ms FROM tel),
+b AS (SELECT {D('ms')} / {D(1000)} + {D(10)} AS bronze FROM hub),
+l AS (
+  SELECT 'bronze' AS layer, bronze AS actual_sec, {D(30)} AS target_sec FROM b
+  UNION ALL SELECT 'silver', bronze + {D(30)}, {D(120)} FROM b
+  UNION ALL SELECT 'gold', bronze + {D(30)} + {D(480)}, {D(900)} FROM b)
+SELECT layer, actual_sec, target_sec,
+       least({D(100)}, actual_sec / target_sec * {D(100)}) AS pct,
+       CASE WHEN least({D(100)}, actual_sec / target_sec * {D(100)}) < 60 THEN 'green'
+            WHEN least({D(100)}, actual_sec / target_sec * {D(100)}) < 85 THEN 'amber'
+            ELSE 'red' END AS status
+FROM l"""
+
+SQL["event_log"] = f"""WITH {DELIVERIES},{REG},{QF},
+lg AS (
+  SELECT kafka_timestamp AS log_time, 'ALERT' AS badge, event_id AS ref,
+         'alert on ' || device_id AS message
+  FROM q WHERE anomaly_flag OR temperature_c > 80 OR temperature_c < -20 OR battery_pct < 10
+  UNION ALL
+  SELECT kafka_timestamp, 'WARN', event_id, flags || ' on ' || device_id FROM q WHERE NOT is_valid
+  UNION ALL
+  SELECT kafka_timestamp, 'ERROR', 'offset-' || CAST(kafka_offset AS VARCHAR),
+         'dead letter MALFORMED_JSON' FROM deliv WHERE broken)
+SELECT * FROM lg ORDER BY log_time DESC, badge, ref DESC LIMIT 80"""
+
+CHECKS = """
+chk AS (
+  SELECT coalesce(region, 'unassigned') AS environment, device_id AS name,
+         CASE WHEN region IS NULL THEN 'unknown' WHEN MIN(battery_pct) < 10 THEN 'critical'
+              WHEN COUNT(*) FILTER (WHERE NOT is_valid) > 0 THEN 'degraded'
+              ELSE 'healthy' END AS status,
+         CASE WHEN COUNT(lat) > 0 THEN CAST(SUM(lat) AS DOUBLE) / COUNT(lat) END AS latency_ms,
+         CAST(COUNT(*) AS VARCHAR) || ' events, '
+           || CAST(COUNT(*) FILTER (WHERE NOT is_valid) AS VARCHAR) || ' invalid' AS message
+  FROM (SELECT *, (epoch_us(kafka_timestamp) - epoch_us(event_timestamp)) // 1000 AS lat
+        FROM silver) s
+  GROUP BY device_id, region),
+rollup AS (
+  SELECT environment,
+         CASE WHEN bool_or(status = 'critical') THEN 'CRITICAL'
+              WHEN bool_or(status IN ('degraded', 'unknown')) THEN 'DEGRADED'
+              ELSE 'HEALTHY' END AS overall_status,
+         COUNT(*) AS n_checks
+  FROM chk GROUP BY environment)"""
+
+SQL["health_rollup"] = f"""WITH {SILVER},{CHECKS}
+SELECT environment, overall_status, n_checks FROM rollup"""
+
+SQL["health_summary"] = f"""WITH {SILVER},{CHECKS}
+SELECT environment,
+       COUNT(*) FILTER (WHERE status = 'healthy') AS healthy,
+       COUNT(*) FILTER (WHERE status = 'degraded') AS degraded,
+       COUNT(*) FILTER (WHERE status = 'critical') AS critical,
+       COUNT(*) FILTER (WHERE status = 'unknown') AS unknown
+FROM chk GROUP BY environment"""
+
+SQL["health_flatten"] = f"""WITH {SILVER},{CHECKS}
+SELECT chk.environment, name, status, latency_ms, message, overall_status
+FROM chk JOIN rollup USING (environment)"""
+
+SQL["layer_presence"] = f"""WITH {DELIVERIES},{REG},{QF},
+silver AS (SELECT q.*, reg.region, reg.sla_tier FROM q LEFT JOIN reg USING (device_id)
+           WHERE n_id % 97 <> 0),
+gold AS (SELECT DISTINCT device_id, device_type, region, sla_tier,
+                time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS w
+         FROM silver WHERE is_valid),
+l AS (
+  SELECT 'bronze' AS layer, COUNT(*) AS rows FROM deliv
+  UNION ALL SELECT 'silver', COUNT(*) FILTER (WHERE is_valid) FROM silver
+  UNION ALL SELECT 'gold', COUNT(*) FROM gold)
+SELECT layer, rows, rows > 0 AS present,
+       CASE WHEN bool_and(rows > 0) OVER () THEN 'HEALTHY' ELSE 'DEGRADED' END AS status
+FROM l"""
+
+SQL["retention_plan"] = """WITH
+p AS (SELECT CAST(ts AS DATE) AS partition_date, COUNT(*) AS rows FROM events GROUP BY 1),
+l AS (SELECT p.*, v.layer FROM p, (VALUES ('bronze'), ('gold')) v(layer)),
+a AS (SELECT *, CAST(date_diff('day', partition_date, DATE '2024-04-01') AS BIGINT) AS age_days
+      FROM l)
+SELECT layer, partition_date, rows, age_days,
+       CASE WHEN layer = 'bronze' THEN
+              CASE WHEN age_days > 90 THEN 'delete' WHEN age_days > 30 THEN 'archive'
+                   WHEN age_days > 7 THEN 'cool' ELSE 'hot' END
+            ELSE
+              CASE WHEN age_days > 365 THEN 'delete' WHEN age_days > 30 THEN 'cool'
+                   ELSE 'hot' END END AS tier
+FROM a"""
+
+SQL["compact_cluster"] = f"""WITH {SILVER}
+SELECT event_id, device_id, event_timestamp, event_date, temperature_c, humidity_pct,
+       battery_pct, is_valid, region FROM silver"""
+
 ORACLE_SQL = SQL
