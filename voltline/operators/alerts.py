@@ -137,7 +137,12 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
                      mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("rolling_avg_temp"),
                      stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2"))
                      .alias("rolling_std_temp")))
-    events = base.select("*", F.window("event_timestamp", f"{size_minutes} minutes", "1 minute")
+    # one event-time column per side: the window carries the watermark, the
+    # raw timestamp is rebuilt as a plain value
+    plain_ts = F.timestamp_micros(F.unix_micros("event_timestamp"))
+    events = base.select(*[c for c in ALERT_INPUT if c != "event_timestamp"],
+                         plain_ts.alias("event_timestamp"),
+                         F.window("event_timestamp", f"{size_minutes} minutes", "1 minute")
                          .alias("e_w"))
     joined = events.join(stats, (F.col("device_id") == F.col("r_device"))
                          & (F.col("e_w") == F.col("r_w")), "inner")

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from voltline.operators import alerts, gold, metrics, sessions, silver as silver_ops, streamsql
 from voltline.operators import health, maintenance
 from voltline.plans import inputs as I
+from voltline.schemas import BRONZE_SCHEMA
+from voltline.sources import fixture
+from voltline.streaming.jobs import SILVER_TABLE_SCHEMA
 
 
 def q_bronze_project(spark, sf):
@@ -160,6 +163,44 @@ def q_compact_cluster(spark, sf):
                                spark.sparkContext.defaultParallelism)
 
 
+def _replay(spark, sf, stages, close_windows, name):
+    from voltline.streaming import replay
+    recs = fixture.kafka_records(I.events(spark, sf))
+    return replay.replay(spark, recs, I.registry(spark, sf), stages, close_windows, name)
+
+
+def q_bronze_stream(spark, sf):
+    p = _replay(spark, sf, {"bronze"}, False, "bronze-stream")
+    return spark.read.schema(BRONZE_SCHEMA).parquet(p.bronze).drop("ingested_at")
+
+
+def q_silver_stream(spark, sf):
+    p = _replay(spark, sf, {"bronze", "silver"}, False, "silver-stream")
+    return (spark.read.schema(SILVER_TABLE_SCHEMA).parquet(p.silver)
+            .select("event_id", "device_id", "kafka_partition", "kafka_offset", "event_date",
+                    "is_valid", "region"))
+
+
+def q_gold_kpis_stream(spark, sf):
+    p = _replay(spark, sf, {"bronze", "silver", "gold"}, True, "gold-stream")
+    return spark.read.parquet(p.gold).drop("gold_written_at")
+
+
+def q_asa_alerts_stream(spark, sf):
+    p = _replay(spark, sf, {"threshold"}, False, "threshold-stream")
+    return spark.read.parquet(p.threshold)
+
+
+def q_asa_sessions_stream(spark, sf):
+    p = _replay(spark, sf, {"sessions"}, True, "sessions-stream")
+    return spark.read.parquet(p.sessions)
+
+
+def q_alerts_stream(spark, sf):
+    p = _replay(spark, sf, {"bronze", "silver", "alerts"}, True, "alerts-stream")
+    return spark.read.parquet(p.alerts).drop("alert_raised_at")
+
+
 QUERIES = {
     "bronze_project": q_bronze_project,
     "silver_parse": q_silver_parse,
@@ -191,4 +232,10 @@ QUERIES = {
     "layer_presence": q_layer_presence,
     "retention_plan": q_retention_plan,
     "compact_cluster": q_compact_cluster,
+    "bronze_stream": q_bronze_stream,
+    "silver_stream": q_silver_stream,
+    "gold_kpis_stream": q_gold_kpis_stream,
+    "asa_alerts_stream": q_asa_alerts_stream,
+    "asa_sessions_stream": q_asa_sessions_stream,
+    "alerts_stream": q_alerts_stream,
 }

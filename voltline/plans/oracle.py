@@ -435,4 +435,41 @@ SQL["compact_cluster"] = f"""WITH {SILVER}
 SELECT event_id, device_id, event_timestamp, event_date, temperature_c, humidity_pct,
        battery_pct, is_valid, region FROM silver"""
 
+
+# Silver as the streaming upsert leaves it: well-formed deliveries, first
+# delivery of each event, enriched.
+SILVER_STREAMED = f"""{DELIVERIES},{REG},
+ok AS (SELECT d.*, {FLAGS} AS flags FROM deliv d WHERE NOT broken),
+firsts AS (
+  SELECT *, flags = '' AS is_valid FROM ok
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset, kafka_partition) = 1),
+silver AS (SELECT firsts.*, reg.site_name, reg.region, reg.owner_team, reg.sla_tier
+           FROM firsts LEFT JOIN reg USING (device_id))"""
+
+SQL["silver_stream"] = f"""WITH {SILVER_STREAMED}
+SELECT event_id, device_id, kafka_partition, kafka_offset, event_date, is_valid, region
+FROM silver"""
+
+SQL["gold_kpis_stream"] = SQL["gold_kpis"].replace(f"WITH {SILVER}", f"WITH {SILVER_STREAMED}")
+
+
+
+def _on_deliveries(sql: str) -> str:
+    """Re-target a query written over ``tel`` to the well-formed deliveries
+    (duplicates included, as a stream consumer sees them)."""
+    body = sql[len(f"WITH {TEL}"):].replace("FROM tel", "FROM feed")
+    return f"WITH {DELIVERIES},\nfeed AS (SELECT * FROM deliv WHERE NOT broken)" + body
+
+
+SQL["asa_alerts_stream"] = _on_deliveries(SQL["asa_alerts"])
+SQL["asa_sessions_stream"] = _on_deliveries(SQL["asa_sessions"])
+
+# Streaming alerts use half-open windows [start, end): each event meets the
+# ten windows that contain it.
+SQL["alerts_stream"] = (SQL["alerts_range"]
+                        .replace(f"WITH {SILVER}", f"WITH {SILVER_STREAMED}")
+                        .replace("s.event_timestamp BETWEEN r.window_start AND r.window_end",
+                                 "s.event_timestamp >= r.window_start "
+                                 "AND s.event_timestamp < r.window_end"))
+
 ORACLE_SQL = SQL
