@@ -18,31 +18,44 @@ def _present(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
+def _parsed(keep=None):
+    """from_json of ``raw_payload`` as a one-element array of structs, kept
+    only when ``keep`` holds.  Expanded with ``inline`` (a generator), the
+    payload is parsed exactly once per record: a plain filter on parsed
+    fields would be pushed below the projection and parse every record
+    again for each predicate."""
+    parsed = F.from_json(F.col("raw_payload"), PARSE_SCHEMA,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    arr = F.array(parsed)
+    return F.inline(F.filter(arr, keep) if keep is not None else arr)
+
+
 def parse_payload(bronze: DataFrame) -> DataFrame:
     """from_json with the contract schema; every row is kept.  A record that
     is not JSON at all yields NULL fields; a record with one unreadable field
     keeps the others (that field is NULL).  ``_corrupt_record`` holds the raw
     text of any record that did not parse cleanly."""
-    parsed = F.from_json(F.col("raw_payload"), PARSE_SCHEMA,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    return (bronze.withColumn("parsed", parsed)
-            .select(*_present(bronze, ENVELOPE + ["raw_payload"]), "parsed.*")
+    return (bronze.select(*_present(bronze, ENVELOPE + ["raw_payload"]), _parsed())
             .withColumn("event_timestamp", parse_event_time("timestamp_utc")))
 
 
-def required_present():
+def _required(p):
     cond = None
     for c in REQUIRED_FIELDS:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+        cond = p[c].isNotNull() if cond is None else cond & p[c].isNotNull()
     return cond
 
 
+def required_present():
+    return _required(F)
+
+
 def parse_and_validate(bronze: DataFrame) -> DataFrame:
     """Bronze -> typed rows that carry the three required fields, with
     ``event_timestamp`` (NULL when the text has no accepted layout)."""
-    return (parse_payload(bronze)
-            .where(required_present())
-            .select(*_present(bronze, ENVELOPE), *TELEMETRY_FIELDS, "event_timestamp"))
+    return (bronze.select(*_present(bronze, ENVELOPE), _parsed(_required))
+            .select(*_present(bronze, ENVELOPE), *TELEMETRY_FIELDS,
+                    parse_event_time("timestamp_utc").alias("event_timestamp")))
 
 
 def add_quality(df: DataFrame) -> DataFrame:

@@ -89,7 +89,9 @@ def kafka_records(events: DataFrame) -> DataFrame:
     """Kafka-protocol records (key, value, topic, partition, offset,
     timestamp) as the hub would deliver them, including broken JSON text and
     a second delivery of some events (at-least-once)."""
-    t = telemetry(events)
+    # A hub source hands Spark one task per topic partition; spread the
+    # records the same way (hash of the offset keeps it deterministic).
+    t = telemetry(events).repartition(HUB_PARTITIONS, "kafka_offset")
     eid = F.col("kafka_offset")
     good = F.to_json(F.struct(*PAYLOAD_FIELDS))
     broken = F.concat(F.lit('{"event_id": "'), F.col("event_id"), F.lit('", "device_id": '))
