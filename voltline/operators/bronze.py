@@ -24,3 +24,10 @@ def project_bronze(records: DataFrame, with_ingest_time: bool = True) -> DataFra
         cols.append(F.current_timestamp().alias("ingested_at"))
     cols.append(F.date_format(F.col("timestamp"), "yyyy-MM-dd").alias("event_date"))
     return records.select(*cols)
+
+
+def read_bronze(spark, path: str, merge_schema: bool = True):
+    """Read a Bronze folder whose files may come from producer versions
+    with additive schema changes: ``mergeSchema`` unions the file schemas
+    (columns a file lacks read as NULL)."""
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)

@@ -14,12 +14,26 @@ from voltline.functions.stats import exact_avg, mean_from_moments, moment_aggs,
 from voltline.functions.timefmt import asa_window
 
 
-def tumbling_by_type(tel: DataFrame, size: str = "1 minute") -> DataFrame:
+def _asa_w(ts_col: str, pre_shifted: bool, size: str, slide: str | None = None):
+    if not pre_shifted:
+        return asa_window(ts_col, size, slide)
+    return F.window(ts_col, size, slide) if slide else F.window(ts_col, size)
+
+
+def shift_for_asa(df: DataFrame, name: str = "asa_ts") -> DataFrame:
+    """Add the event time moved back by 1 us.  Streaming jobs put the
+    watermark on this column so the (start, end] windows are recognised as
+    event-time windows."""
+    return df.withColumn(name, F.col("event_timestamp") - F.expr("INTERVAL 1 MICROSECOND"))
+
+
+def tumbling_by_type(tel: DataFrame, size: str = "1 minute", ts_col: str = "event_timestamp",
+                     pre_shifted: bool = False) -> DataFrame:
     """Per device type and 1-minute window: counts, temperature / humidity /
     battery statistics, anomaly count and rate."""
     flag = F.col("anomaly_flag").cast("long")
     return (
-        tel.groupBy(asa_window("event_timestamp", size).alias("w"), "device_type")
+        tel.groupBy(_asa_w(ts_col, pre_shifted, size).alias("w"), "device_type")
         .agg(F.count(F.lit(1)).alias("event_count"),
              exact_avg("temperature_c").alias("avg_temperature_c"),
              F.max("temperature_c").alias("max_temperature_c"),
@@ -35,12 +49,13 @@ def tumbling_by_type(tel: DataFrame, size: str = "1 minute") -> DataFrame:
     )
 
 
-def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 minute") -> DataFrame:
+def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 minute",
+                      ts_col: str = "event_timestamp", pre_shifted: bool = False) -> DataFrame:
     """Per device and overlapping 5-minute window every minute.  Each event
     is expanded into its 5 windows before the partial aggregate, so the
     shuffle carries one partial row per (window, device) per task."""
     return (
-        tel.groupBy(asa_window("event_timestamp", size, hop).alias("w"), "device_id", "device_type")
+        tel.groupBy(_asa_w(ts_col, pre_shifted, size, hop).alias("w"), "device_id", "device_type")
         .agg(F.count(F.lit(1)).alias("event_count"),
              *moment_aggs("temperature_c", "t"),
              F.max("temperature_c").alias("max_temp_c"),

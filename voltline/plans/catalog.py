@@ -201,6 +201,33 @@ def q_alerts_stream(spark, sf):
     return spark.read.parquet(p.alerts).drop("alert_raised_at")
 
 
+def q_asa_tumbling_stream(spark, sf):
+    p = _replay(spark, sf, {"tumbling"}, True, "tumbling-stream")
+    return spark.read.parquet(f"{p.stream_sql}/tumbling")
+
+
+def q_asa_hopping_stream(spark, sf):
+    p = _replay(spark, sf, {"hopping"}, True, "hopping-stream")
+    return spark.read.parquet(f"{p.stream_sql}/hopping")
+
+
+def q_bronze_schema_evolution(spark, sf):
+    """Bronze landed by two producer versions: records that reached the hub
+    after the rollout carry an extra ``schema_version`` column.  Reading the
+    folder with mergeSchema yields one table with the union of columns."""
+    from voltline.operators.bronze import read_bronze
+    from voltline.session import scratch_path
+    root = scratch_path(spark, "bronze-evolution")
+    b = I.bronze(spark, sf)
+    rollout = F.col("kafka_timestamp") >= F.lit(I.UPSERT_SPLIT)
+    b.where(~rollout).write.mode("append").partitionBy("event_date").parquet(root)
+    (b.where(rollout).withColumn("schema_version", F.lit(2))
+     .write.mode("append").partitionBy("event_date").parquet(root))
+    return read_bronze(spark, root).select(
+        "kafka_partition", "kafka_offset", "kafka_timestamp",
+        F.date_format("event_date", "yyyy-MM-dd").alias("event_date"), "schema_version")
+
+
 QUERIES = {
     "bronze_project": q_bronze_project,
     "silver_parse": q_silver_parse,
@@ -238,4 +265,7 @@ QUERIES = {
     "asa_alerts_stream": q_asa_alerts_stream,
     "asa_sessions_stream": q_asa_sessions_stream,
     "alerts_stream": q_alerts_stream,
+    "asa_tumbling_stream": q_asa_tumbling_stream,
+    "asa_hopping_stream": q_asa_hopping_stream,
+    "bronze_schema_evolution": q_bronze_schema_evolution,
 }

@@ -457,7 +457,8 @@ SQL["gold_kpis_stream"] = SQL["gold_kpis"].replace(f"WITH {SILVER}", f"WITH {SIL
 def _on_deliveries(sql: str) -> str:
     """Re-target a query written over ``tel`` to the well-formed deliveries
     (duplicates included, as a stream consumer sees them)."""
-    body = sql[len(f"WITH {TEL}"):].replace("FROM tel", "FROM feed")
+    body = (sql[len(f"WITH {TEL}"):].replace("FROM tel", "FROM feed")
+            .replace("tel.*", "feed.*"))
     return f"WITH {DELIVERIES},\nfeed AS (SELECT * FROM deliv WHERE NOT broken)" + body
 
 
@@ -472,4 +473,12 @@ SQL["alerts_stream"] = (SQL["alerts_range"]
                                  "s.event_timestamp >= r.window_start "
                                  "AND s.event_timestamp < r.window_end"))
 
+SQL["asa_tumbling_stream"] = _on_deliveries(SQL["asa_tumbling"])
+SQL["asa_hopping_stream"] = _on_deliveries(SQL["asa_hopping"])
+
+SQL["bronze_schema_evolution"] = f"""WITH {DELIVERIES}
+SELECT kafka_partition, kafka_offset, kafka_timestamp, event_date,
+       CASE WHEN kafka_timestamp >= TIMESTAMP '2024-01-01 03:00:00' THEN 2 END AS schema_version
+FROM deliv"""
+
 ORACLE_SQL = SQL

@@ -51,13 +51,14 @@ class Paths:
     alerts: str
     threshold: str
     sessions: str
+    stream_sql: str
     ckpt: str
 
     @classmethod
     def under(cls, root: str) -> "Paths":
         return cls(*(f"{root}/{x}" for x in
                      ("hub", "bronze", "silver", "gold_kpis", "alerts", "threshold_alerts",
-                      "sessions", "_checkpoints")))
+                      "sessions", "stream_sql", "_checkpoints")))
 
 
 def _run(q) -> None:
@@ -82,6 +83,12 @@ def run_round(spark: SparkSession, p: Paths, registry: DataFrame, stages: set[st
     if "sessions" in stages:
         _run(jobs.start_sessions(hub_folder_stream(spark, p.hub), p.sessions,
                                  f"{p.ckpt}/sessions", available_now=True))
+    fan = {"tumbling", "hopping"} & stages
+    if fan:
+        from voltline.streaming.pipeline import start_stream_sql
+        for q in start_stream_sql(hub_folder_stream(spark, p.hub), p.stream_sql,
+                                  f"{p.ckpt}/stream_sql", available_now=True, only=fan):
+            _run(q)
 
 
 def replay(spark: SparkSession, records: DataFrame, registry: DataFrame, stages: set[str],
