@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltline.functions.quality import quality_flags
+from voltline.operators.joins import broadcast_if_small
 from voltline.functions.timefmt import parse_event_time
 from voltline.schemas import (CORRUPT_COLUMN, PARSE_SCHEMA, REGISTRY_COLUMNS,
                               REQUIRED_FIELDS, TELEMETRY_FIELDS)
@@ -64,14 +65,18 @@ def add_quality(df: DataFrame) -> DataFrame:
               .withColumn("is_valid", F.size("quality_flags") == 0))
 
 
-def enrich(df: DataFrame, registry: DataFrame) -> DataFrame:
+def enrich(df: DataFrame, registry: DataFrame, check_size: bool = True) -> DataFrame:
     """Left join with the device registry on device_id.
 
-    No broadcast hint: Spark broadcasts the registry only when its estimated
-    size is under ``spark.sql.autoBroadcastJoinThreshold`` (or AQE's runtime
-    threshold) and otherwise plans a shuffle join, whose skewed partitions
-    (a hot device) AQE splits."""
-    return df.join(registry.select(*REGISTRY_COLUMNS), on="device_id", how="left")
+    The registry is measured first and broadcast only when it is under
+    ``BROADCAST_MAX_BYTES``: the telemetry side then never shuffles for the
+    join, so a hot device does not pile up in one join task, and later
+    aggregations shuffle on their own full keys.  Above the bound Spark
+    plans a shuffle join whose skewed partitions AQE splits."""
+    reg = registry.select(*REGISTRY_COLUMNS)
+    if check_size:
+        reg = broadcast_if_small(reg)
+    return df.join(reg, on="device_id", how="left")
 
 
 def reject_reason():
