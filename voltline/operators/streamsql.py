@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.functions.stats import exact_avg, mean_from_moments, moment_aggs, stddev_from_moments
+from voltline.functions.stats import (centi, exact_avg, mean_from_moments, moment_aggs,
+                                     stddev_from_moments)
 from voltline.functions.timefmt import asa_window
 
 
@@ -51,11 +52,45 @@ def tumbling_by_type(tel: DataFrame, size: str = "1 minute", ts_col: str = "even
 
 def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 minute",
                       ts_col: str = "event_timestamp", pre_shifted: bool = False) -> DataFrame:
-    """Per device and overlapping 5-minute window every minute.  Each event
-    is expanded into its 5 windows before the partial aggregate, so the
-    shuffle carries one partial row per (window, device) per task."""
+    """Per device and overlapping 5-minute window every minute.
+
+    Batch: readings are first reduced to one row per (device, 1-minute
+    bucket) of mergeable partials -- counts, exact moments, min/max -- and
+    only those buckets are expanded into the 5 windows that contain them, so
+    the expansion does not grow with the event rate.  Streaming
+    (``pre_shifted``): events are windowed directly so that the window stays
+    on the watermarked column."""
+    if pre_shifted:
+        return _hopping_direct(tel, size, hop, ts_col)
+    shifted = F.col(ts_col) - F.expr("INTERVAL 1 MICROSECOND")
+    buckets = (tel.where(F.col(ts_col).isNotNull())
+               .groupBy("device_id", "device_type",
+                        F.date_trunc("minute", shifted).alias("bucket"))
+               .agg(F.count(F.lit(1)).alias("n"),
+                    *moment_aggs("temperature_c", "t"),
+                    F.max("temperature_c").alias("mx"), F.min("temperature_c").alias("mn"),
+                    F.count("pressure_hpa").alias("p_n"), F.sum(centi("pressure_hpa")).alias("p_s1"),
+                    F.min("battery_pct").alias("mb"),
+                    F.sum(F.col("anomaly_flag").cast("long")).alias("an")))
+    p_n = F.sum("p_n")
     return (
-        tel.groupBy(_asa_w(ts_col, pre_shifted, size, hop).alias("w"), "device_id", "device_type")
+        buckets.groupBy(F.window("bucket", size, hop).alias("w"), "device_id", "device_type")
+        .agg(F.sum("n").alias("event_count"), F.sum("t_n").alias("t_n"),
+             F.sum("t_s1").alias("t_s1"), F.sum("t_s2").alias("t_s2"),
+             F.max("mx").alias("max_temp_c"), F.min("mn").alias("min_temp_c"),
+             F.when(p_n > 0, F.sum("p_s1") / F.lit(100.0) / p_n).alias("avg_pressure_hpa"),
+             F.min("mb").alias("min_battery_pct"), F.sum("an").alias("anomaly_count"))
+        .select(F.col("w.end").alias("window_end"), F.col("w.start").alias("window_start"),
+                "device_id", "device_type", "event_count",
+                mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("avg_temp_c"),
+                stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2")).alias("stddev_temp_c"),
+                "max_temp_c", "min_temp_c", "avg_pressure_hpa", "min_battery_pct", "anomaly_count")
+    )
+
+
+def _hopping_direct(tel: DataFrame, size: str, hop: str, ts_col: str) -> DataFrame:
+    return (
+        tel.groupBy(F.window(ts_col, size, hop).alias("w"), "device_id", "device_type")
         .agg(F.count(F.lit(1)).alias("event_count"),
              *moment_aggs("temperature_c", "t"),
              F.max("temperature_c").alias("max_temp_c"),

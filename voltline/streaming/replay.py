@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.functions.timefmt import format_iso_utc, parse_event_time
-from voltline.schemas import PARSE_SCHEMA, TELEMETRY_FIELDS
+from voltline.schemas import KAFKA_SCHEMA, PARSE_SCHEMA, TELEMETRY_FIELDS
 from voltline.session import scratch_path
 from voltline.streaming import jobs
 from voltline.streaming.sources import hub_folder_stream
@@ -97,7 +97,9 @@ def replay(spark: SparkSession, records: DataFrame, registry: DataFrame, stages:
     land(records, p.hub)
     run_round(spark, p, registry, stages)
     if close_windows:
-        land(sentinel(records), p.hub)
+        # derived from the landed files, not by recomputing ``records``
+        landed = spark.read.schema(KAFKA_SCHEMA).parquet(p.hub)
+        land(sentinel(landed), p.hub)
         run_round(spark, p, registry, stages)
         # a no-data round lets stateful operators emit what the advanced
         # watermark has closed
