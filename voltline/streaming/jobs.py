@@ -53,7 +53,25 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFrame):
+def target_keys(spark: SparkSession, silver_path: str, batch_id: int,
+                lookback_days: int | None = None, since: str | None = None) -> DataFrame:
+    """event_ids already in Silver, excluding micro-batch ``batch_id``.
+
+    Only the key column is read.  With ``lookback_days`` the read is limited
+    to ``event_date`` partitions from ``since`` minus that many days
+    (partition pruning): redeliveries of an event reach the hub close in
+    time, so this bounds the per-batch scan on a large table.  Without it
+    the whole key history is checked (exact)."""
+    t = (spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_path)
+         .where(F.col("batch_id") != F.lit(batch_id)))
+    if lookback_days is not None and since is not None:
+        t = t.where(F.col("event_date") >= F.date_format(
+            F.date_sub(F.lit(since).cast("date"), lookback_days), "yyyy-MM-dd"))
+    return t.select("event_id")
+
+
+def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFrame,
+                        lookback_days: int | None = None):
     """foreachBatch function: parse + validate + flag + enrich the batch,
     drop in-batch duplicates, insert only event_ids the table does not hold.
 
@@ -62,8 +80,10 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFra
     own output instead of adding to it."""
     def upsert(batch_df: DataFrame, batch_id: int) -> None:
         rows = silver_rows(batch_df, registry)
-        target = (spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_path)
-                  .where(F.col("batch_id") != F.lit(batch_id)).select("event_id"))
+        since = None
+        if lookback_days is not None:
+            since = batch_df.agg(F.min("event_date")).first()[0]
+        target = target_keys(spark, silver_path, batch_id, lookback_days, since)
         fresh = upsert_new_rows(rows, target).withColumn("batch_id", F.lit(batch_id).cast("long"))
         (fresh.select(*SILVER_TABLE_SCHEMA.fieldNames()).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
@@ -72,11 +92,12 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFra
 
 
 def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, registry: DataFrame,
-                 checkpoint: str, available_now: bool = False):
+                 checkpoint: str, available_now: bool = False, lookback_days: int | None = None):
     """Bronze table (as a stream) -> Silver via foreachBatch upsert."""
     ensure_table(spark, silver_path, SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
     bronze = table_stream(spark, bronze_path, BRONZE_SCHEMA)
-    w = (bronze.writeStream.foreachBatch(silver_upsert_batch(spark, silver_path, registry))
+    fn = silver_upsert_batch(spark, silver_path, registry, lookback_days)
+    w = (bronze.writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, "silver", available_now).start()
 
