@@ -83,3 +83,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    * file splits of ``target_partition_bytes`` (scan tasks that fit in
+      executor memory with room for decompression);
+    * initial shuffle partitions = max(2 x cores, input / target) so the
+      largest stage gets ~target-sized partitions; AQE then coalesces small
+      ones toward the advisory size and splits skewed ones (a partition 5x
+      the median and over 512 MiB);
+    * for streaming queries the shuffle-partition count is frozen in the
+      checkpoint at first start, so it is sized from the hub throughput by
+      the caller, not from this function.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
