@@ -8,6 +8,8 @@ stopped and a replayed micro-batch does not duplicate rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,23 @@ ALERT_WATERMARK = "1 minute"
 SILVER_TABLE_SCHEMA = T.StructType(SILVER_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
 
 
+@contextmanager
+def stream_partitions(spark: SparkSession):
+    """Shuffle (= state store) partitions for streaming queries started in
+    this block.  A streaming query fixes this number in its checkpoint at
+    first start, so it is sized for the source -- ``pipeline.stream.partitions``,
+    else the cluster's default parallelism -- instead of inheriting a batch
+    setting.  The session value is restored afterwards."""
+    wanted = spark.conf.get("pipeline.stream.partitions", None) \
+        or str(spark.sparkContext.defaultParallelism)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    try:
+        yield int(wanted)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _trigger(writer, name: str, available_now: bool):
     return writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime=TRIGGERS[name])

@@ -21,12 +21,16 @@ def start_pipeline(spark: SparkSession, records: DataFrame | None = None,
     registry = read_registry(spark, cfg.registry_path, cfg.registry_format)
     jobs.ensure_table(spark, cfg.silver, jobs.SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
     ck = cfg.checkpoints
-    return [
-        jobs.start_bronze(records, cfg.bronze, f"{ck}/bronze", available_now),
-        jobs.start_silver(spark, cfg.bronze, cfg.silver, registry, f"{ck}/silver", available_now),
-        jobs.start_gold_kpis(spark, cfg.silver, cfg.gold_kpis, f"{ck}/gold_kpis", available_now),
-        jobs.start_alerts(spark, cfg.silver, cfg.gold_alerts, f"{ck}/gold_alerts", available_now),
-    ]
+    with jobs.stream_partitions(spark):
+        return [
+            jobs.start_bronze(records, cfg.bronze, f"{ck}/bronze", available_now),
+            jobs.start_silver(spark, cfg.bronze, cfg.silver, registry, f"{ck}/silver",
+                              available_now),
+            jobs.start_gold_kpis(spark, cfg.silver, cfg.gold_kpis, f"{ck}/gold_kpis",
+                                 available_now),
+            jobs.start_alerts(spark, cfg.silver, cfg.gold_alerts, f"{ck}/gold_alerts",
+                              available_now),
+        ]
 
 
 def run_forever(spark: SparkSession) -> None:

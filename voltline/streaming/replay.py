@@ -69,6 +69,11 @@ def _run(q) -> None:
 
 def run_round(spark: SparkSession, p: Paths, registry: DataFrame, stages: set[str]) -> None:
     """One availableNow pass of the requested jobs, upstream first."""
+    with jobs.stream_partitions(spark):
+        _run_round(spark, p, registry, stages)
+
+
+def _run_round(spark: SparkSession, p: Paths, registry: DataFrame, stages: set[str]) -> None:
     if "bronze" in stages:
         _run(jobs.start_bronze(hub_folder_stream(spark, p.hub), p.bronze, f"{p.ckpt}/bronze", True))
     if "silver" in stages:
