@@ -72,6 +72,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: executors and "
+                               "restarted drivers must see checkpoints and scratch tables")
         current = tempfile.mkdtemp(prefix="voltline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
