@@ -59,3 +59,21 @@ def test_late_event_beyond_watermark_dropped(spark, tmp_path):
     assert by_start.get(5) == 1           # "kept"
     assert 0 not in by_start              # "late" dropped
     assert jobs.KPI_WATERMARK == "2 minutes"
+
+
+def test_alert_join_state_holds_each_event_once(spark):
+    from voltline.operators.alerts import alerts_stream
+    from voltline.session import scratch_path
+    from voltline.streaming.jobs import silver_stream
+
+    recs = fixture.kafka_records(I.events(spark, SF_SMALL))
+    p = R.replay(spark, recs, I.registry(spark, SF_SMALL), {"bronze", "silver"})
+    events = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(p.silver).count()
+    ck = scratch_path(spark, "alert-state")
+    q = (alerts_stream(silver_stream(spark, p.silver)).writeStream.format("noop")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    joins = [[o for o in pp["stateOperators"] if o["operatorName"] == "symmetricHashJoin"][0]
+             for pp in q.recentProgress if pp["stateOperators"]]
+    assert max(j["numRowsTotal"] for j in joins) <= events          # 1x, not 10x
+    assert joins[-1]["numRowsTotal"] <= 2                            # evicted past the watermark

@@ -126,26 +126,29 @@ def alerts_trailing(silver: DataFrame, frame_seconds: int = 600, chunk_seconds:
 
 def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
                   watermark: str = "1 minute") -> DataFrame:
-    """Streaming twin: stream-stream equi-join of events (expanded to their
-    windows) with the windowed statistics on (device, window).  Windows are
-    half-open here, so each event meets exactly ``size_minutes`` windows."""
+    """Streaming twin: stream-stream join of events with the windowed
+    statistics.  Windows are half-open here, so each event meets exactly
+    ``size_minutes`` windows.
+
+    The statistics side exposes its window as an event-time column
+    (``window_time``: the window's last instant) and the join is a time
+    range, ``wt - size < ts <= wt``.  Spark derives watermark eviction for
+    both sides from that condition, so every event is buffered once (not
+    once per window) and dropped as soon as its last window has closed."""
     base = silver_stream.select(*ALERT_INPUT).withWatermark("event_timestamp", watermark)
-    stats = (base.groupBy("device_id", F.window("event_timestamp", f"{size_minutes} minutes",
-                                               "1 minute").alias("w"))
+    stats = (base.groupBy(F.col("device_id").alias("r_device"),
+                          F.window("event_timestamp", f"{size_minutes} minutes", "1 minute").alias("w"))
              .agg(*moment_aggs("temperature_c", "t"))
-             .select(F.col("device_id").alias("r_device"), F.col("w").alias("r_w"),
+             .select("r_device", F.window_time("w").alias("wt"),
+                     F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                      mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("rolling_avg_temp"),
                      stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2"))
                      .alias("rolling_std_temp")))
-    # one event-time column per side: the window carries the watermark, the
-    # raw timestamp is rebuilt as a plain value
-    plain_ts = F.timestamp_micros(F.unix_micros("event_timestamp"))
-    events = base.select(*[c for c in ALERT_INPUT if c != "event_timestamp"],
-                         plain_ts.alias("event_timestamp"),
-                         F.window("event_timestamp", f"{size_minutes} minutes", "1 minute")
-                         .alias("e_w"))
-    joined = events.join(stats, (F.col("device_id") == F.col("r_device"))
-                         & (F.col("e_w") == F.col("r_w")), "inner")
+    span = F.expr(f"INTERVAL {size_minutes} MINUTES")
+    cond = ((F.col("device_id") == F.col("r_device"))
+            & (F.col("event_timestamp") > F.col("wt") - span)
+            & (F.col("event_timestamp") <= F.col("wt")))
+    joined = base.join(stats, cond, "inner")
     stat = F.abs(F.col("temperature_c") - F.col("rolling_avg_temp")) > 3 * F.col("rolling_std_temp")
     return (joined.where(F.col("anomaly_flag") | stat)
             .select("event_id", "device_id", "device_type", "region", "event_timestamp",
@@ -153,4 +156,4 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
                     F.col("anomaly_flag").alias("model_anomaly_flag"),
                     F.lit("statistical_outlier").alias("detection_method"),
                     _trigger(F.col("anomaly_flag"), stat).alias("trigger"),
-                    F.col("e_w.start").alias("window_start"), F.col("e_w.end").alias("window_end")))
+                    "window_start", "window_end"))
