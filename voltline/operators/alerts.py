@@ -134,18 +134,29 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
     (``window_time``: the window's last instant) and the join is a time
     range, ``wt - size < ts <= wt``.  Spark derives watermark eviction for
     both sides from that condition, so every event is buffered once (not
-    once per window) and dropped as soon as its last window has closed."""
-    base = silver_stream.select(*ALERT_INPUT).withWatermark("event_timestamp", watermark)
+    once per window) and dropped as soon as its last window has closed.
+
+    Besides the device, both sides carry an aligned ``size``-long bucket id
+    as an equality key: a window overlaps at most two buckets (its row is
+    repeated for each), so a statistics row only probes the events of its
+    own device *and* time bucket instead of every buffered event of the
+    device."""
+    bucket_s = size_minutes * 60
+    base = (silver_stream.select(*ALERT_INPUT).withWatermark("event_timestamp", watermark)
+            .withColumn("bucket", F.floor(F.unix_seconds("event_timestamp") / bucket_s)))
     stats = (base.groupBy(F.col("device_id").alias("r_device"),
                           F.window("event_timestamp", f"{size_minutes} minutes", "1 minute").alias("w"))
              .agg(*moment_aggs("temperature_c", "t"))
              .select("r_device", F.window_time("w").alias("wt"),
+                     F.explode(F.array_distinct(F.array(
+                         F.floor(F.unix_seconds(F.col("w.start")) / bucket_s),
+                         F.floor(F.unix_seconds(F.window_time("w")) / bucket_s)))).alias("r_bucket"),
                      F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                      mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("rolling_avg_temp"),
                      stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2"))
                      .alias("rolling_std_temp")))
     span = F.expr(f"INTERVAL {size_minutes} MINUTES")
-    cond = ((F.col("device_id") == F.col("r_device"))
+    cond = ((F.col("device_id") == F.col("r_device")) & (F.col("bucket") == F.col("r_bucket"))
             & (F.col("event_timestamp") > F.col("wt") - span)
             & (F.col("event_timestamp") <= F.col("wt")))
     joined = base.join(stats, cond, "inner")
