@@ -481,4 +481,22 @@ SELECT kafka_partition, kafka_offset, kafka_timestamp, event_date,
        CASE WHEN kafka_timestamp >= TIMESTAMP '2024-01-01 03:00:00' THEN 2 END AS schema_version
 FROM deliv"""
 
+# Hub payload text.  Spark's to_json leaves NULL fields out (ignoreNullFields);
+# battery_pct is the only field the mapping can leave NULL.
+PAYLOAD_JSON = """replace(CAST(to_json({'event_id': event_id, 'device_id': device_id,
+    'device_type': device_type, 'timestamp_utc': timestamp_utc, 'latitude': latitude,
+    'longitude': longitude, 'temperature_c': temperature_c, 'humidity_pct': humidity_pct,
+    'pressure_hpa': pressure_hpa, 'battery_pct': battery_pct,
+    'firmware_version': firmware_version, 'anomaly_flag': anomaly_flag,
+    'payload': MAP {'seq': payload_seq}}) AS VARCHAR), '"battery_pct":null,', '')"""
+
+SQL["bronze_project"] = f"""WITH {DELIVERIES}
+SELECT kafka_key,
+       CASE WHEN broken THEN '{{"event_id": "' || event_id || '", "device_id": '
+            ELSE {PAYLOAD_JSON} END AS raw_payload,
+       'telemetry-events' AS kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, event_date
+FROM deliv"""
+
+SQL["bronze_stream"] = SQL["bronze_project"]
+
 ORACLE_SQL = SQL

@@ -29,8 +29,8 @@ SESSION_CONF = {
 # choice for cluster runs (minutes of telemetry per device in join and
 # aggregation state).  Each store instance has a fixed open/commit cost that
 # dominates when state is tiny, so local runs use Spark's default in-memory
-# (HDFS-backed) provider.  ``pipeline.stream.stateStore`` = rocksdb | memory
-# overrides the choice.
+# (HDFS-backed) provider.  VOLTLINE_STATE_STORE = rocksdb | memory overrides
+# the choice.
 STATE_STORES = {
     "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "memory": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
@@ -56,7 +56,6 @@ def get_spark(master: str | None = None, app: str = "voltline",
     local = (master or os.environ.get("SPARK_MASTER") or "local").startswith("local")
     store = os.environ.get("VOLTLINE_STATE_STORE") or ("memory" if local else "rocksdb")
     conf["spark.sql.streaming.stateStore.providerClass"] = STATE_STORES[store]
-    conf["pipeline.stream.stateStore"] = store
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
