@@ -27,8 +27,6 @@ def spark(tmp_path_factory):
 def telemetry_rows(spark, rows):
     """Typed telemetry rows from (event_id, device_id, iso time, temp, flag)
     tuples; other readings are in range."""
-    import datetime as dt
-
     from pyspark.sql import functions as F
 
     from voltline.functions.timefmt import parse_event_time
@@ -37,7 +35,6 @@ def telemetry_rows(spark, rows):
     df = spark.createDataFrame(
         data, "event_id string, device_id string, timestamp_utc string, temperature_c double, "
               "anomaly_flag boolean")
-    del dt
     return (df.withColumn("event_timestamp", parse_event_time("timestamp_utc"))
               .withColumn("device_type", F.lit("sensor_v2"))
               .withColumn("region", F.lit("EUROPE"))

@@ -31,17 +31,17 @@ def format_iso_utc(ts: Column) -> Column:
     return F.concat(whole, frac, F.lit("+00:00"))
 
 
-def micros(ts: Column | str) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c)
-
-
-def seconds_between(start: Column, end: Column) -> Column:
+def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Whole-second boundaries crossed between two instants (DATEDIFF(second)
     semantics: .9 s -> 1.1 s counts 1)."""
     return F.unix_seconds(end) - F.unix_seconds(start)
 
 
+def hub_latency_ms() -> Column:
+    """Whole milliseconds from event time to arrival at the hub."""
+    return F.expr("(unix_micros(kafka_timestamp) - unix_micros(event_timestamp)) div 1000")
+
+
 def asa_window(ts: Column | str, size: str, slide: str | None = None) -> Column:
     """Tumbling / hopping window closed on the right: (start, end].
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltline.functions.timefmt import hub_latency_ms
 from voltline.operators.streamsql import BATTERY_CRITICAL_PCT
 
 # Check statuses and the rollup order.
@@ -16,7 +17,7 @@ def device_checks(silver: DataFrame) -> DataFrame:
     ("environment").  unknown: device not in the registry; critical: a
     battery reading below the critical level; degraded: any row failing a
     quality rule; healthy otherwise.  latency_ms: mean hub latency."""
-    lat_ms = F.expr("(unix_micros(kafka_timestamp) - unix_micros(event_timestamp)) div 1000")
+    lat_ms = hub_latency_ms()
     agg = (silver.groupBy("device_id", "region")
            .agg(F.count(F.lit(1)).alias("events"),
                 F.count_if(~F.col("is_valid")).alias("invalid"),

@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltline.functions.timefmt import hub_latency_ms
+
 from voltline.operators.streamsql import (BATTERY_CRITICAL_PCT, TEMP_HIGH_C, TEMP_LOW_C,
                                          threshold_alerts)
 
 
-def hub_latency_ms(df: DataFrame):
-    """Milliseconds from event time to arrival at the hub."""
-    return F.expr("(unix_micros(kafka_timestamp) - unix_micros(event_timestamp)) div 1000")
-
-
 def throughput_series(tel: DataFrame, bucket: str = "2 seconds", points: int = 40) -> DataFrame:
     """Events per second in consecutive buckets; the newest ``points``."""
     secs = float(bucket.split()[0])
@@ -29,7 +26,7 @@ def latency_percentiles(tel: DataFrame) -> DataFrame:
     """Exact p50 / p95 / p99 of hub latency per device type.  Latency is an
     integer number of milliseconds, so each partial aggregate is a map of
     distinct values -> counts (bounded by the latency range, not by rows)."""
-    lat = hub_latency_ms(tel)
+    lat = hub_latency_ms()
     return (tel.where(F.col("event_timestamp").isNotNull())
             .select("device_type", lat.alias("lat"))
             .groupBy("device_type")
@@ -105,7 +102,7 @@ def sla_attainment(tel: DataFrame) -> DataFrame:
     bronze = slowest hub arrival + bronze trigger; silver = bronze + silver
     trigger; gold = silver + KPI window + watermark + KPI trigger.
     pct = min(100, lag / target * 100): < 60 green, < 85 amber, else red."""
-    hub = tel.agg(F.max(hub_latency_ms(tel)).alias("ms"))
+    hub = tel.agg(F.max(hub_latency_ms()).alias("ms"))
     bronze = F.col("ms") / F.lit(1000.0) + F.lit(float(BRONZE_TRIGGER_S))
     silver = bronze + F.lit(float(SILVER_TRIGGER_S))
     gold = silver + F.lit(float(GOLD_WINDOW_S + GOLD_WATERMARK_S + GOLD_TRIGGER_S))

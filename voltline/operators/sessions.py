@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltline.functions.timefmt import seconds_between
+
 
 def sessionize(df: DataFrame, key: str = "device_id", ts: str = "event_timestamp",
                gap_seconds: int = 300, chunk_seconds: int = 3600) -> DataFrame:
@@ -62,8 +64,7 @@ def sessionize(df: DataFrame, key: str = "device_id", ts: str = "event_timestamp
 def device_sessions(tel: DataFrame, gap_seconds: int = 300) -> DataFrame:
     """Sessions with duration in whole-second boundaries crossed."""
     s = sessionize(tel, "device_id", "event_timestamp", gap_seconds)
-    return s.withColumn("session_duration_sec",
-                        F.unix_seconds("session_end") - F.unix_seconds("session_start"))
+    return s.withColumn("session_duration_sec", seconds_between("session_start", "session_end"))
 
 
 def device_sessions_stream(tel: DataFrame, gap: str = "5 minutes") -> DataFrame:
@@ -74,8 +75,7 @@ def device_sessions_stream(tel: DataFrame, gap: str = "5 minutes") -> DataFrame:
                  F.max("event_timestamp").alias("session_end"),
                  F.count(F.lit(1)).alias("events_in_session"))
             .select("device_id", "session_start", "session_end", "events_in_session",
-                    (F.unix_seconds("session_end") - F.unix_seconds("session_start"))
-                    .alias("session_duration_sec")))
+                    seconds_between("session_start", "session_end").alias("session_duration_sec")))
 
 
 def silent_devices(tel: DataFrame, silence_seconds: int = 300) -> DataFrame:

@@ -47,10 +47,6 @@ def _required(p):
     return cond
 
 
-def required_present():
-    return _required(F)
-
-
 def parse_and_validate(bronze: DataFrame) -> DataFrame:
     """Bronze -> typed rows that carry the three required fields, with
     ``event_timestamp`` (NULL when the text has no accepted layout)."""
