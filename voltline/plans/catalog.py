@@ -159,8 +159,8 @@ def q_compact_cluster(spark, sf):
     s = I.silver(spark, sf).select("event_id", "device_id", "event_timestamp", "event_date",
                                    "temperature_c", "humidity_pct", "battery_pct", "is_valid",
                                    "region")
-    return maintenance.cluster(s, ["device_id", "event_timestamp"],
-                               spark.sparkContext.defaultParallelism)
+    from voltline.session import default_parallelism
+    return maintenance.cluster(s, ["device_id", "event_timestamp"], default_parallelism(spark))
 
 
 def _replay(spark, sf, stages, close_windows, name):

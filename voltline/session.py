@@ -73,6 +73,27 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(key, SESSION_CONF[key])
 
 
+def _context(spark: SparkSession):
+    """The SparkContext when the session has one (not under Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
+def is_local(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+    return master.startswith("local")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", str(os.cpu_count() or 8)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -80,16 +101,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     shared storage).  Only when it is unset -- local runs and tests -- a
     fresh scratch folder is created and registered.
     """
+    sc = _context(spark)
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: executors and "
                                "restarted drivers must see checkpoints and scratch tables")
         current = tempfile.mkdtemp(prefix="voltline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+        if sc is not None:
+            sc.setCheckpointDir(current)
     return current.rstrip("/")
 
 

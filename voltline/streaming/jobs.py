@@ -19,6 +19,7 @@ from voltline.operators import gold, sessions, streamsql
 from voltline.operators.bronze import project_bronze
 from voltline.operators.silver import parse_and_validate, silver_rows, upsert_new_rows
 from voltline.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from voltline.session import default_parallelism
 from voltline.streaming.sources import table_stream
 
 # Trigger intervals and watermarks of the jobs.
@@ -38,7 +39,7 @@ def stream_partitions(spark: SparkSession):
     else the cluster's default parallelism -- instead of inheriting a batch
     setting.  The session value is restored afterwards."""
     wanted = spark.conf.get("pipeline.stream.partitions", None) \
-        or str(spark.sparkContext.defaultParallelism)
+        or str(default_parallelism(spark))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", wanted)
     try:
