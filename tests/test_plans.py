@@ -54,3 +54,11 @@ def test_broadcast_only_below_bound(spark):
     assert "BroadcastHashJoin [device_id]" not in big   # no hint above the bound
     small = _plan(enrich(tel, reg))
     assert "BroadcastHashJoin [device_id]" in small
+
+
+def test_hub_records_shuffle_only_small_inputs(spark):
+    from voltline.sources import fixture
+    small = fixture.kafka_records(I.events(spark, SF_SMALL))
+    assert "hashpartitioning(kafka_offset" in _plan(small)
+    wide = I.events(spark, SF_SMALL).repartition(64)          # stands in for a many-file scan
+    assert "hashpartitioning(kafka_offset" not in _plan(fixture.kafka_records(wide))
