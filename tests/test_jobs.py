@@ -31,7 +31,7 @@ def test_compact_table_preserves_rows_and_clusters(spark, tmp_path):
 
 def test_start_pipeline_with_config(spark, tmp_path):
     from voltline.config import PipelineConfig
-    from voltline.streaming.pipeline import start_pipeline
+    from voltline.streaming.medallion import start_pipeline
 
     root = str(tmp_path)
     spark.conf.set("pipeline.storage", f"{root}/tables")

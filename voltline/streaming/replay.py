@@ -90,7 +90,7 @@ def _run_round(spark: SparkSession, p: Paths, registry: DataFrame, stages: set[s
                                  f"{p.ckpt}/sessions", available_now=True))
     fan = {"tumbling", "hopping"} & stages
     if fan:
-        from voltline.streaming.pipeline import start_stream_sql
+        from voltline.streaming.medallion import start_stream_sql
         for q in start_stream_sql(hub_folder_stream(spark, p.hub), p.stream_sql,
                                   f"{p.ckpt}/stream_sql", available_now=True, only=fan):
             _run(q)
