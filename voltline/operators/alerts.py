@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from voltline.functions.stats import centi, mean_from_moments, moment_aggs, stddev_from_moments
 
+# Fixed value: detection method label written on every alert row.
+DETECTION_METHOD = "statistical_outlier"
+
 ALERT_INPUT = ["event_id", "device_id", "device_type", "region", "event_timestamp",
                "temperature_c", "anomaly_flag"]
 MINUTE_US = 60_000_000
@@ -67,7 +70,7 @@ def alerts_range(silver: DataFrame, size_minutes: int = 10) -> DataFrame:
             .select("event_id", "device_id", "device_type", "region", "event_timestamp",
                     "temperature_c", "rolling_avg_temp", "rolling_std_temp",
                     F.col("anomaly_flag").alias("model_anomaly_flag"),
-                    F.lit("statistical_outlier").alias("detection_method"),
+                    F.lit(DETECTION_METHOD).alias("detection_method"),
                     _trigger(F.col("anomaly_flag"), stat).alias("trigger"),
                     "window_start", "window_end"))
 
@@ -165,6 +168,6 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
             .select("event_id", "device_id", "device_type", "region", "event_timestamp",
                     "temperature_c", "rolling_avg_temp", "rolling_std_temp",
                     F.col("anomaly_flag").alias("model_anomaly_flag"),
-                    F.lit("statistical_outlier").alias("detection_method"),
+                    F.lit(DETECTION_METHOD).alias("detection_method"),
                     _trigger(F.col("anomaly_flag"), stat).alias("trigger"),
                     "window_start", "window_end"))

@@ -106,10 +106,13 @@ def _hopping_direct(tel: DataFrame, size: str, hop: str, ts_col: str) -> DataFra
     )
 
 
-# Alert thresholds and labels.
+# Alert thresholds, alert labels (in priority order) and the
+# detection source label.
 TEMP_HIGH_C = 80
 TEMP_LOW_C = -20
 BATTERY_CRITICAL_PCT = 10
+ALERT_LABELS = ["MODEL_ALERT", "TEMP_HIGH", "TEMP_LOW", "BATTERY_CRITICAL", "UNKNOWN"]
+DETECTION_SOURCE = "STREAM_ANALYTICS"
 
 
 def threshold_alerts(tel: DataFrame) -> DataFrame:
@@ -119,13 +122,14 @@ def threshold_alerts(tel: DataFrame) -> DataFrame:
     hot = F.col("temperature_c") > TEMP_HIGH_C
     cold = F.col("temperature_c") < TEMP_LOW_C
     low_batt = F.col("battery_pct") < BATTERY_CRITICAL_PCT
-    alert_type = (F.when(flag, F.lit("MODEL_ALERT")).when(hot, F.lit("TEMP_HIGH"))
-                  .when(cold, F.lit("TEMP_LOW")).when(low_batt, F.lit("BATTERY_CRITICAL"))
-                  .otherwise(F.lit("UNKNOWN")))
+    model, high, low, batt, unknown = ALERT_LABELS
+    alert_type = (F.when(flag, F.lit(model)).when(hot, F.lit(high))
+                  .when(cold, F.lit(low)).when(low_batt, F.lit(batt))
+                  .otherwise(F.lit(unknown)))
     return (tel.where(flag | hot | cold | low_batt)
             .select("event_id", "device_id", "device_type",
                     F.col("timestamp_utc").alias("event_time"),
                     F.col("event_timestamp").alias("detected_at"),
                     "temperature_c", "humidity_pct", "battery_pct", "anomaly_flag",
                     alert_type.alias("alert_type"),
-                    F.lit("STREAM_ANALYTICS").alias("detection_source")))
+                    F.lit(DETECTION_SOURCE).alias("detection_source")))
