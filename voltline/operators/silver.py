@@ -97,9 +97,10 @@ def rejects(bronze: DataFrame) -> DataFrame:
                     "event_id", "reject_reason"))
 
 
-def silver_rows(bronze: DataFrame, registry: DataFrame) -> DataFrame:
-    """Full Silver transformation of one batch of Bronze rows (no dedup)."""
-    return enrich(add_quality(parse_and_validate(bronze)), registry)
+def silver_rows(bronze: DataFrame, registry: DataFrame, check_size: bool = True) -> DataFrame:
+    """Full Silver transformation of one batch of Bronze rows (no dedup).
+    ``check_size=False`` when the caller already measured the registry."""
+    return enrich(add_quality(parse_and_validate(bronze)), registry, check_size)
 
 
 def dedup_batch(df: DataFrame, key: str = "event_id",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voltline.operators import alerts, gold, metrics, sessions, silver as silver_ops, streamsql
 from voltline.operators import health, maintenance
+from voltline.operators.joins import broadcast_if_small
 from voltline.plans import inputs as I
 from voltline.schemas import BRONZE_SCHEMA
 from voltline.sources import fixture
@@ -24,7 +25,7 @@ def q_bronze_project(spark, sf):
 
 def q_silver_parse(spark, sf):
     parsed = silver_ops.parse_and_validate(I.bronze(spark, sf))
-    return parsed.select(*[c for c in I.SILVER_SCALAR],
+    return parsed.select(*I.SILVER_SCALAR,
                          F.col("payload").getItem("seq").alias("payload_seq"))
 
 
@@ -49,10 +50,11 @@ def q_silver_upsert(spark, sf):
     the hub before the split time, then a replay of the whole topic (which
     repeats every record and carries in-batch duplicates)."""
     b = I.bronze(spark, sf)
-    reg = I.registry(spark, sf)
-    first = silver_ops.silver_rows(b.where(F.col("kafka_timestamp") < F.lit(I.UPSERT_SPLIT)), reg)
+    reg = broadcast_if_small(I.registry(spark, sf))     # measured once for both batches
+    first = silver_ops.silver_rows(b.where(F.col("kafka_timestamp") < F.lit(I.UPSERT_SPLIT)), reg,
+                                   check_size=False)
     table = silver_ops.upsert_new_rows(first, None).withColumn("batch_id", F.lit(0))
-    replay = silver_ops.silver_rows(b, reg)
+    replay = silver_ops.silver_rows(b, reg, check_size=False)
     added = silver_ops.upsert_new_rows(replay, table).withColumn("batch_id", F.lit(1))
     return (table.unionByName(added)
             .select("event_id", "device_id", "kafka_partition", "kafka_offset", "event_date",
