@@ -70,3 +70,9 @@ def dedup_within_watermark(stream: DataFrame, watermark: str = "10 minutes") ->
     event_id that arrive within the watermark delay of each other."""
     return (stream.withWatermark("event_timestamp", watermark)
             .dropDuplicatesWithinWatermark(["event_id"]))
+
+
+if __name__ == "__main__":  # spark-submit -m voltline.streaming.medallion
+    from voltline.session import get_spark
+
+    run_forever(get_spark(app="voltline-medallion"))
