@@ -62,6 +62,15 @@ def main():
     out = {"metric": "total_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": sf_of(sf_dir), "cpus": cpus, "events": events,
            "repeat": repeat}
+    # throughput views of the same runs (the reference states events/s)
+    rates = {}
+    if times.get("silver_parse"):
+        rates["silver_parse_events_per_sec"] = round(events / times["silver_parse"])
+    if times.get("gold_kpis"):
+        rates["gold_kpis_events_per_sec"] = round(events / times["gold_kpis"])
+    if times.get("gold_kpis_stream"):
+        rates["stream_bronze_to_gold_events_per_sec"] = round(events / times["gold_kpis_stream"])
+    out["throughput"] = rates
     print(json.dumps(out))
     spark.stop()
 
