@@ -77,3 +77,31 @@ def test_alert_join_state_holds_each_event_once(spark):
              for pp in q.recentProgress if pp["stateOperators"]]
     assert max(j["numRowsTotal"] for j in joins) <= events          # 1x, not 10x
     assert joins[-1]["numRowsTotal"] <= 2                            # evicted past the watermark
+
+
+def test_dedup_within_watermark_and_rate_limit(spark, tmp_path):
+    from voltline.streaming.medallion import dedup_within_watermark
+    from voltline.streaming.sources import hub_folder_stream
+
+    src = str(tmp_path / "tel")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("e1", t0), ("e1", t0 + dt.timedelta(seconds=5)), ("e2", t0 + dt.timedelta(seconds=9))]
+    spark.createDataFrame(rows, "event_id string, event_timestamp timestamp").write.parquet(src)
+    stream = spark.readStream.schema("event_id string, event_timestamp timestamp").parquet(src)
+    out = str(tmp_path / "out")
+    q = (dedup_within_watermark(stream, "10 minutes").writeStream.format("parquet")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["e1", "e2"]
+
+    # rate limit: one hub file per micro-batch
+    hub = str(tmp_path / "hub")
+    recs = fixture.kafka_records(I.events(spark, SF_SMALL))
+    for part in range(3):
+        recs.where(F.col("partition") % 3 == part).coalesce(1).write.mode("append").parquet(hub)
+    files = len([f for f in __import__("os").listdir(hub) if f.endswith(".parquet")])
+    q = (hub_folder_stream(spark, hub, max_files=1).writeStream.format("noop")
+         .option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == files
