@@ -62,3 +62,16 @@ def test_hub_records_shuffle_only_small_inputs(spark):
     assert "hashpartitioning(kafka_offset" in _plan(small)
     wide = I.events(spark, SF_SMALL).repartition(64)          # stands in for a many-file scan
     assert "hashpartitioning(kafka_offset" not in _plan(fixture.kafka_records(wide))
+
+
+def test_size_check_is_cached_per_snapshot(spark, tmp_path):
+    from voltline.operators import joins
+    path = str(tmp_path / "reg")
+    I.registry(spark, SF_SMALL).write.parquet(path)
+    reg = spark.read.parquet(path)
+    joins.broadcast_if_small(reg)
+    key = joins._snapshot_key(reg)
+    assert key in joins._MEASURED
+    # a new snapshot (new files) is measured again
+    I.registry(spark, SF_SMALL).write.mode("overwrite").parquet(path)
+    assert joins._snapshot_key(spark.read.parquet(path)) != key

@@ -23,9 +23,28 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
+# Measurements by (plan hash, input files).  Parquet files are immutable and
+# every write creates new file names, so a new snapshot gets a new key; a
+# micro-batch loop measures an unchanged registry once instead of per batch.
+_MEASURED: dict = {}
+
+
+def _snapshot_key(df: DataFrame):
+    try:
+        return df.semanticHash(), tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - no stable key: always measure
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint only behind a measured size bound; above it the side
     is returned unchanged and Spark plans a shuffle join (with AQE splitting
     skewed partitions)."""
-    _, size = measured_bytes(df)
+    key = _snapshot_key(df)
+    if key is not None and key in _MEASURED:
+        size = _MEASURED[key]
+    else:
+        _, size = measured_bytes(df)
+        if key is not None:
+            _MEASURED[key] = size
     return F.broadcast(df) if size <= max_bytes else df
