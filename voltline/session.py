@@ -18,11 +18,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # Constraint propagation re-derives constraints through every alias; on
-    # plans that carry the JSON envelope (to_json / from_json over ~20
-    # fields) it spent ~40 s planning a 10k-row join.  Filters that matter
-    # are written explicitly instead.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 # Streaming state store.  RocksDB keeps state off the JVM heap and is the
@@ -68,8 +63,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime-modifiable settings to an existing session."""
     for key in ("spark.sql.session.timeZone",
                 "spark.sql.adaptive.enabled",
-                "spark.sql.adaptive.skewJoin.enabled",
-                "spark.sql.constraintPropagation.enabled"):
+                "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(key, SESSION_CONF[key])
 
 
