@@ -105,3 +105,19 @@ def test_dedup_within_watermark_and_rate_limit(spark, tmp_path):
     q.awaitTermination()
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == files
+
+
+def test_stream_sessions_merge_before_shuffle(spark, tmp_path):
+    from voltline.session import apply_runtime_conf
+    from voltline.streaming import jobs
+    from voltline.streaming.sources import hub_folder_stream
+
+    apply_runtime_conf(spark)
+    hub = str(tmp_path / "hub")
+    fixture.kafka_records(I.events(spark, SF_SMALL)).write.parquet(hub)
+    q = jobs.start_sessions(hub_folder_stream(spark, hub), str(tmp_path / "out"),
+                            str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    below_exchange = plan.split("Exchange hashpartitioning(device_id")[1]
+    assert "MergingSessions" in below_exchange     # partial sessions built per input task

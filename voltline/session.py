@@ -18,6 +18,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Streaming session windows: merge each input partition's events into
+    # partial sessions before the shuffle, so a hot device reaches its state
+    # task as a few partial sessions instead of all of its raw events.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Streaming state store.  RocksDB keeps state off the JVM heap and is the
@@ -63,7 +67,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime-modifiable settings to an existing session."""
     for key in ("spark.sql.session.timeZone",
                 "spark.sql.adaptive.enabled",
-                "spark.sql.adaptive.skewJoin.enabled"):
+                "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"):
         spark.conf.set(key, SESSION_CONF[key])
 
 
