@@ -8,7 +8,9 @@ stopped and a replayed micro-batch does not duplicate rows.
 
 from __future__ import annotations
 
+import os
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +66,6 @@ def start_bronze(records: DataFrame, bronze_path: str, checkpoint: str,
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str]):
     """Create an empty table with a fixed schema so readers can start
     before the first writer batch lands."""
-    import os
-    from urllib.parse import urlparse
-
     local = urlparse(path).scheme in ("", "file")
     if local and os.path.exists(urlparse(path).path):
         return
