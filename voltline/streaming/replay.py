@@ -97,7 +97,12 @@ def _run_round(spark: SparkSession, p: Paths, registry: DataFrame, stages: set[s
 
 
 def replay(spark: SparkSession, records: DataFrame, registry: DataFrame, stages: set[str],
-           close_windows: bool = True, name: str = "replay") -> Paths:
+           close_windows: bool = True, name: str = "replay", settle_rounds: int = 0) -> Paths:
+    """Land ``records``, run the jobs, then (``close_windows``) land the
+    sentinel and run them again from their checkpoints.  An availableNow run
+    ends with the no-data batch that emits what the advanced watermark has
+    closed, so no extra round is needed; ``settle_rounds`` adds idle rounds
+    anyway (restart checks)."""
     p = Paths.under(scratch_path(spark, name))
     land(records, p.hub)
     run_round(spark, p, registry, stages)
@@ -106,7 +111,6 @@ def replay(spark: SparkSession, records: DataFrame, registry: DataFrame, stages:
         landed = spark.read.schema(KAFKA_SCHEMA).parquet(p.hub)
         land(sentinel(landed), p.hub)
         run_round(spark, p, registry, stages)
-        # a no-data round lets stateful operators emit what the advanced
-        # watermark has closed
+    for _ in range(settle_rounds):
         run_round(spark, p, registry, stages)
     return p
