@@ -51,10 +51,45 @@ def main():
             plan = plan.split("== Initial Plan ==")[0]
         parts.append(f"## {name}\n\n{summary(plan)}\n\n```\n{plan.strip()}\n```\n")
         print(name, summary(plan)[:160], flush=True)
+    parts.extend(streaming_plans(spark, sf))
     with open(out, "w") as fh:
         fh.write("\n".join(parts))
     spark.stop()
 
 
+def streaming_plans(spark, sf):
+    """Executed plans of the stateful streaming jobs, from a replay on the
+    same tables (state operators, watermark predicates, exchanges)."""
+    from voltline.plans import inputs as I
+    from voltline.session import scratch_path
+    from voltline.sources import fixture
+    from voltline.streaming import jobs, replay
+    from voltline.streaming.medallion import start_stream_sql
+    from voltline.streaming.sources import hub_folder_stream
+
+    p = replay.replay(spark, fixture.kafka_records(I.events(spark, sf)), I.registry(spark, sf),
+                      {"bronze", "silver"}, close_windows=False, name="plans")
+    root = scratch_path(spark, "stream-plans")
+    starts = {
+        "gold_kpis (stream)": lambda: jobs.start_gold_kpis(spark, p.silver, f"{root}/g",
+                                                           f"{root}/g_ck", True),
+        "alerts (stream)": lambda: jobs.start_alerts(spark, p.silver, f"{root}/a", f"{root}/a_ck", True),
+        "sessions (stream)": lambda: jobs.start_sessions(hub_folder_stream(spark, p.hub), f"{root}/s",
+                                                         f"{root}/s_ck", available_now=True),
+        "tumbling (stream)": lambda: start_stream_sql(hub_folder_stream(spark, p.hub), f"{root}/t",
+                                                      f"{root}/t_ck", True, {"tumbling"})[0],
+    }
+    out = ["# Streaming plans\n\nLast executed micro-batch of each stateful job "
+           "(`StreamingQuery.explain`).\n"]
+    with jobs.stream_partitions(spark):
+        for name, start in starts.items():
+            q = start()
+            q.awaitTermination()
+            plan = re.sub(r"#\d+L?", "", q._jsq.explainInternal(False))
+            out.append(f"## {name}\n\n```\n{plan.strip()}\n```\n")
+            print(name, "ok", flush=True)
+    return out
+
+
 if __name__ == "__main__":
     main()
