@@ -117,6 +117,17 @@ def dedup_batch(df: DataFrame, key: str = "event_id",
               .select(*df.columns))
 
 
+def silver_upsert_rows(bronze: DataFrame, registry: DataFrame, target_keys: DataFrame | None,
+                       check_size: bool = True) -> DataFrame:
+    """New Silver rows for one batch: parse, de-duplicate and drop keys the
+    table already holds *before* flagging and enriching.  Flags and the
+    registry join are row-wise functions of the payload, so the result equals
+    flag -> enrich -> dedup, but duplicates are never flagged or joined and
+    the dedup shuffle carries the narrower parsed rows."""
+    fresh = upsert_new_rows(parse_and_validate(bronze), target_keys)
+    return enrich(add_quality(fresh), registry, check_size)
+
+
 def upsert_new_rows(batch: DataFrame, target_keys: DataFrame | None,
                     key: str = "event_id") -> DataFrame:
     """Insert-only upsert: rows of ``batch`` (de-duplicated) whose key is not

@@ -51,11 +51,11 @@ def q_silver_upsert(spark, sf):
     repeats every record and carries in-batch duplicates)."""
     b = I.bronze(spark, sf)
     reg = broadcast_if_small(I.registry(spark, sf))     # measured once for both batches
-    first = silver_ops.silver_rows(b.where(F.col("kafka_timestamp") < F.lit(I.UPSERT_SPLIT)), reg,
-                                   check_size=False)
-    table = silver_ops.upsert_new_rows(first, None).withColumn("batch_id", F.lit(0))
-    replay = silver_ops.silver_rows(b, reg, check_size=False)
-    added = silver_ops.upsert_new_rows(replay, table).withColumn("batch_id", F.lit(1))
+    early = b.where(F.col("kafka_timestamp") < F.lit(I.UPSERT_SPLIT))
+    table = (silver_ops.silver_upsert_rows(early, reg, None, check_size=False)
+             .withColumn("batch_id", F.lit(0)))
+    added = (silver_ops.silver_upsert_rows(b, reg, table.select("event_id"), check_size=False)
+             .withColumn("batch_id", F.lit(1)))
     return (table.unionByName(added)
             .select("event_id", "device_id", "kafka_partition", "kafka_offset", "event_date",
                     "is_valid", "region", "batch_id"))
@@ -147,7 +147,7 @@ def q_health_flatten(spark, sf):
 
 def q_layer_presence(spark, sf):
     b = I.bronze(spark, sf)
-    s = silver_ops.dedup_batch(silver_ops.silver_rows(b, I.registry(spark, sf)))
+    s = silver_ops.silver_upsert_rows(b, I.registry(spark, sf), None)
     return health.layer_presence(b, s, gold.device_kpis(s))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from voltline.operators import alerts as alert_ops
 from voltline.operators import gold, sessions, streamsql
 from voltline.operators.bronze import project_bronze
-from voltline.operators.silver import parse_and_validate, silver_rows, upsert_new_rows
+from voltline.operators.silver import parse_and_validate, silver_upsert_rows
 from voltline.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from voltline.session import default_parallelism
 from voltline.streaming.sources import table_stream
@@ -98,12 +98,12 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFra
     the anti-join reads every batch except N: a replayed batch rewrites its
     own output instead of adding to it."""
     def upsert(batch_df: DataFrame, batch_id: int) -> None:
-        rows = silver_rows(batch_df, registry)
         since = None
         if lookback_days is not None:
             since = batch_df.agg(F.min("event_date")).first()[0]
         target = target_keys(spark, silver_path, batch_id, lookback_days, since)
-        fresh = upsert_new_rows(rows, target).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        fresh = (silver_upsert_rows(batch_df, registry, target)
+                 .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (fresh.select(*SILVER_TABLE_SCHEMA.fieldNames()).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "event_date").parquet(silver_path))
