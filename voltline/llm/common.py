@@ -35,12 +35,12 @@ def bounded_batches(spark: SparkSession) -> None:
         env["PYTHONPATH"] = f"{home}:{env.get('PYTHONPATH', '')}".rstrip(":")
 
 
-def materialise(df: DataFrame, name: str, compression: str = "lz4raw") -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the
     lineage, survives lost executors, and fixes non-deterministic columns."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "lz4_raw" if compression == "lz4raw" else compression).parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -59,6 +59,11 @@ def _grams(s: str) -> frozenset[str]:
     return frozenset(s[i:i + 3] for i in range(len(s) - 2))
 
 
+def _minimal(alternatives: set[frozenset[str]]) -> frozenset[frozenset[str]]:
+    """Without alternatives that ask for all that another one asks for, and more."""
+    return frozenset(a for a in alternatives if not any(b < a for b in alternatives))
+
+
 class _Query:
     """Walks a parsed pattern.  ``run``: the strings that the literals since the
     last gap can spell; ``groups``: alternatives that must occur."""
@@ -66,12 +71,13 @@ class _Query:
     def __init__(self) -> None:
         self.run: set[str] = {""}
         self.groups: list[frozenset[frozenset[str]]] = []
+        self.whole = True  # the run spells all that was walked
 
     def gap(self) -> None:
         alternatives = {_grams(s) for s in self.run}
         if all(alternatives):
-            self.groups.append(frozenset(alternatives))
-        self.run = {""}
+            self.groups.append(_minimal(alternatives))
+        self.run, self.whole = {""}, False
 
     def extend(self, strings: set[str] | None) -> None:
         if strings is None or len(self.run) * len(strings) > MAX_STRINGS:
@@ -108,7 +114,7 @@ class _Query:
             if not q.groups:
                 return  # a choice without mandatory trigrams
             wanted |= max(q.groups, key=lambda g: min(map(len, g)))
-        self.groups.append(frozenset(wanted))
+        self.groups.append(_minimal(wanted))
 
     def repeat(self, least: int, most: int, item) -> None:
         one = _strings(item)
@@ -142,7 +148,7 @@ def _strings(nodes) -> set[str] | None:
     """All strings that a pattern matches, if they are few."""
     q = _Query()
     q.walk(nodes)
-    return q.run if not q.groups and _exact(nodes) else None
+    return q.run if q.whole and _exact(nodes) else None
 
 
 def _exact(nodes) -> bool:
@@ -250,8 +256,9 @@ def span_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts and digests of the base rules, and all spans as text."""
     base = F.filter("spans", lambda s: s["kind_order"] < len(BASE_RULES))
-    count = [F.size(F.filter("spans", lambda s, i=i: s["kind_order"] == i)).cast("long").alias(f"n_{r.kind}")
-             for i, r in enumerate(BASE_RULES)]
+    kinds = F.transform(base, lambda s: s["kind_order"])
+    count = [F.size(F.filter(kinds, lambda k: k == order)).cast("long").alias(f"n_{r.kind}")
+             for order, r in enumerate(BASE_RULES)]
     return found.select("doc_id", *count, F.sha2(span_text(base, rules), 256).alias("base_sha256"),
                         span_text(F.col("spans"), rules).alias("spans"))
 
