@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,6 @@ from voltline.session import scratch_path
 BROADCAST_ROWS = 500_000
 # Arrow batches carry at most this many bytes, whatever the text length.
 BATCH_BYTES = 16 * 1024 * 1024
-WORD_CACHE = 400_000
 U64 = np.uint64
 
 
@@ -56,23 +54,6 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.col(text).isNull(), F.col(text))
 
 
-class WordHash(dict):
-    """word (bytes) -> 64-bit hash; remembers recent words only."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_WORDS = WordHash()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_WORDS.__getitem__, words), U64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser (splitmix64): spreads the bits of a polynomial hash."""
     x = x.copy()
@@ -112,6 +93,43 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     return mix((pre[k:] - pre[:-k]) * powers(BASE, n))
 
 
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
+SAME = np.arange(1, 257).astype(U64)
+LOWERED = SAME.copy()
+LOWERED[ord("A"):ord("Z") + 1] = SAME[ord("a"):ord("z") + 1]
+BLOCK_BYTES = 1 << 18  # texts hashed at once, so that the arrays stay in the cache
+_POWERS = [powers(BASE, 0), powers(BASE_INV, 0)]
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        size = 1 << max(18, (n - 1).bit_length())
+        if n > 1 << 23:  # for one very long text only
+            return powers(BASE, n), powers(BASE_INV, n)
+        _POWERS[:] = powers(BASE, size), powers(BASE_INV, size)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def hashed_words(raws: list[bytes | None], lower: bool = False) -> Iterator[np.ndarray]:
+    """The hashes of each text's words (runs of bytes but the six ASCII white
+    spaces; ``lower`` folds A-Z): byte polynomials from prefix sums."""
+    raws = [r or b"" for r in raws]
+    values = LOWERED if lower else SAME
+    for begin, end in chunks(np.fromiter(map(len, raws), np.int64, len(raws)), BLOCK_BYTES):
+        part = raws[begin:end]
+        buf = np.frombuffer(b" ".join(part) + b" ", np.uint8)
+        power, inverse = _power_tables(len(buf))
+        space = SPACES[buf]
+        before = np.concatenate(([True], space[:-1]))
+        starts, ends = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
+        sums = np.zeros(len(buf) + 1, U64)
+        np.cumsum(values[buf] * power, dtype=U64, out=sums[1:])
+        h = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+        edges = np.cumsum([0, *(len(r) + 1 for r in part)])
+        yield from np.split(h, np.searchsorted(starts, edges[1:-1]))
+
+
 def chunks(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Index ranges whose lengths sum to about ``limit`` (one long item may
     exceed it alone)."""

@@ -42,7 +42,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.llm.common import U64, bounded_batches, materialise, mix, rolling, sized, text_hash, word_hashes
+from voltline.llm.common import (
+    BROADCAST_ROWS,
+    U64,
+    bounded_batches,
+    hashed_words,
+    materialise,
+    mix,
+    rolling,
+    sized,
+    text_hash,
+)
 from voltline.llm.graph import components
 
 WORDS = 5
@@ -52,16 +62,13 @@ LONG_LIST = 100_000  # a list that is longer is dealt out in parts
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
 
 
-def shingles(raw: bytes | None, k: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles; a shorter text is one."""
-    words = (raw or b"").lower().split()  # of bytes: A-Z and the six ASCII white spaces only
-    if not words:
-        return np.empty(0, U64)
-    h = word_hashes(words)
-    if len(h) < k:
-        return mix(np.array([len(h) + sum(int(x) * (2 * i + 3) for i, x in enumerate(h))
-                             & (2**64 - 1)], dtype=object).astype(U64))
-    return np.unique(rolling(h, k))
+def shingle_sets(raws: list[bytes | None], k: int = WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's k-word shingles; a shorter text is one."""
+    for h in hashed_words(raws, lower=True):
+        if len(h) >= k:
+            yield np.unique(rolling(h, k))
+        else:
+            yield rolling(h, len(h)) ^ U64(len(h)) if len(h) else h
 
 
 def _binary(texts: pa.Array) -> list[bytes | None]:
@@ -73,8 +80,7 @@ def set_sizes(docs: DataFrame, k: int = WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, key = [], []
-            for raw in _binary(b.column(2)):
-                s = shingles(raw, k)
+            for s in shingle_sets(_binary(b.column(2)), k):
                 n.append(len(s))
                 key.append(_set_key(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
@@ -105,8 +111,7 @@ def _frequent(reps: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
                 [pa.array(values[twice].view(np.int64)), pa.array(counts[twice])], ["h", "c"])
 
         for b in batches:
-            for raw in _binary(b.column(0)):
-                s = shingles(raw, k)
+            for s in shingle_sets(_binary(b.column(0)), k):
                 kept.append(s)
                 size += len(s)
                 if size > 4_000_000:
@@ -148,8 +153,7 @@ def _postings(reps: DataFrame, shared, ranges: int, k: int, percent: int) -> Dat
         by_value = frequent[rank]
         for b in batches:
             hs, reps_, ns, ps = [], [], [], []
-            for rep, raw in zip(b.column(0).to_pylist(), _binary(b.column(1)), strict=True):
-                s = shingles(raw, k)
+            for rep, s in zip(b.column(0).to_pylist(), shingle_sets(_binary(b.column(1)), k), strict=True):
                 n = len(s)
                 pre = n - -(-percent * n // 100) + 1
                 hs.append(_ordered(s, frequent, by_value, rank)[:pre])
@@ -176,7 +180,7 @@ def _postings(reps: DataFrame, shared, ranges: int, k: int, percent: int) -> Dat
 # ENTRY: an entry of a list of three or more (or of a list in parts);
 # PIVOT: the pivot of one part of a list.
 PAIR, ENTRY, PIVOT = 0, 1, 2
-LISTS = "kind int, list_key long, pivot long, rep long, n int"
+LISTS = "kind int, list_key long, pivot long, rep long, n int, pos int"
 
 
 def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.DataFrame:
@@ -192,7 +196,7 @@ def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.Data
     h, rep, n, pos = h[rows], rep[rows], n[rows].astype(np.int64), pos[rows]
     sizes, cut = sizes[use], cut[use]
     if not len(sizes):
-        return pd.DataFrame({"kind": [], "list_key": [], "pivot": [], "rep": [], "n": []})
+        return pd.DataFrame({"kind": [], "list_key": [], "pivot": [], "rep": [], "n": [], "pos": []})
     starts = np.cumsum(sizes) - sizes
     pivot, pn, ppos = (np.repeat(v[starts], sizes) for v in (rep, n, pos))
     # skipped: the pivot itself, sizes too far apart, and positions after which
@@ -200,40 +204,32 @@ def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.Data
     need = -(-percent * (pn + n) // (100 + percent))
     fits = ((rep != pivot) & (100 * pn >= percent * n)
             & (1 + np.minimum(pn - 1 - ppos, n - 1 - pos) >= need))
-    pairs = pd.DataFrame({"kind": PAIR, "list_key": 0, "pivot": pivot[fits], "rep": rep[fits], "n": n[fits]})
-    # lists with the same members ask the same questions; parts of a list share its hash
+    pairs = pd.DataFrame({"kind": PAIR, "list_key": 0, "pivot": pivot[fits], "rep": rep[fits], "n": n[fits],
+                          "pos": pos[fits]})
+    # lists with the same members ask the same questions: the first in the order does
+    # (its positions tell most); parts of a list share its hash
     member = mix(rep.astype(U64) ^ U64(0x51ED270B7F3C2A11))
     key = np.where(cut, h[starts], mix(np.add.reduceat(member, starts) ^ mix(rep[starts].astype(U64))))
     open_ = (sizes > 2) | cut
-    _, once = np.unique(key[open_], return_index=True)
+    at = np.flatnonzero(open_)
+    at = at[np.argsort(pos[starts[at]], kind="stable")]
+    _, once = np.unique(np.where(cut[at], key[at] ^ mix(rep[starts[at]].astype(U64)), key[at]), return_index=True)
     chosen = np.zeros(len(sizes), bool)
-    chosen[np.flatnonzero(open_)[once]] = True
+    chosen[at[once]] = True
     rows = np.repeat(chosen, sizes)
     entries = pd.DataFrame({"kind": ENTRY, "list_key": np.repeat(key.view(np.int64), sizes)[rows],
-                            "pivot": pivot[rows], "rep": rep[rows], "n": n[rows]})
+                            "pivot": pivot[rows], "rep": rep[rows], "n": n[rows], "pos": pos[rows]})
     at = starts[cut]
     pivots = pd.DataFrame({"kind": PIVOT, "list_key": h[at].view(np.int64), "pivot": rep[at], "rep": rep[at],
-                           "n": n[at]})
+                           "n": n[at], "pos": pos[at]})
     return pd.concat([pairs.drop_duplicates(["pivot", "rep"]), entries, pivots])
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, distance, linked: exact overlap of the pairs' sets."""
-    left = sets.select(F.col("rep").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(right, "b").join(left, "a")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - F.col("shared")
-    return (both.withColumn("shared", shared)
-            .select("a", "b", (1 - F.col("shared") / union).alias("distance"),
-                    (100 * F.col("shared") >= percent * union).alias("linked")))
-
-
 def _sets(reps: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """rep, s (the set as an array) of the wanted representatives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [pa.array(shingles(raw, k).view(np.int64)) for raw in _binary(b.column(1))]
+            got = [pa.array(s.view(np.int64)) for s in shingle_sets(_binary(b.column(1)), k)]
             sizes = np.cumsum([0, *(len(x) for x in got)]).astype(np.int32)
             flat = pa.concat_arrays(got) if got else pa.array([], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -242,6 +238,19 @@ def _sets(reps: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return reps.select("rep", "text").join(sized(wanted), "rep", "left_semi").mapInArrow(run, "rep long, s array<long>")
 
 
+def _compared(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b, distance, linked: exact overlap of the pairs' sets."""
+    pairs = materialise(pairs, "pairs")
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "paired")
+    sets = materialise(_sets(reps, wanted, k), "sets")
+    both = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
+            .join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a"))
+    union = F.size("sa") + F.size("sb") - F.col("shared")
+    return materialise(both.withColumn("shared", F.size(F.array_intersect("sa", "sb")))
+                       .select("a", "b", (1 - F.col("shared") / union).alias("distance"),
+                               (100 * F.col("shared") >= percent * union).alias("linked")), "answers")
+
+
 def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERCENT,
                 long_list: int = LONG_LIST) -> DataFrame:
     """node, component over representatives.  ``reps``: rep (unique long), text."""
@@ -261,13 +270,9 @@ def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERC
     least = heads.groupBy("list_key").agg(F.min(F.struct("n", "pivot")).alias("head"))
     among = heads.join(least, "list_key").where("pivot != head.pivot").select(
         F.col("head.pivot").alias("a"), F.col("pivot").alias("b"))
-    first = materialise(lists.where(F.col("kind") == PAIR).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-                        .unionByName(among).distinct(), "pairs")
+    first = lists.where(F.col("kind") == PAIR).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    answers = _compared(first.unionByName(among).distinct(), reps, k, percent)
     entries = lists.where(F.col("kind") == ENTRY)
-    wanted = materialise(first.select(F.explode(F.array("a", "b")).alias("rep"))
-                         .unionByName(entries.select("rep")).distinct(), "in-lists")
-    sets = materialise(_sets(reps, wanted, k), "sets")
-    answers = materialise(_compared(first, sets, percent), "answers")
     edges = answers.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = components(edges)
 
@@ -284,15 +289,36 @@ def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERC
     apart = F.abs(F.col("x.distance") - F.col("y.distance")) > 1 - percent / 100 + 1e-9
     answered = one_pivot & ((F.col("x.rep") == F.col("x.pivot")) | (F.col("y.rep") == F.col("y.pivot"))
                             | F.coalesce(apart, F.lit(False)))
+    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))  # after the shared shingle, with it
     rest = (x.join(y, F.col("x.list_key") == F.col("y.list_key"))
             .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & ~answered)
+                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & ~answered
+                   & ((100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    more = _compared(materialise(rest, "pairs"), sets, percent).where("linked").select(
+    more = _compared(rest, reps, k, percent).where("linked").select(
         F.col("a").alias("u"), F.col("b").alias("v"))
     return components(edges.unionByName(more))
 
 
+def _representatives(rows: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """rep, text.  Texts move only if the table of representatives is too large
+    to broadcast; of rows repeated in full, one is taken."""
+    same = (F.col("doc_id").eqNullSafe(F.col("c_doc_id"))) & (F.col("text_key") == F.col("c_text_key"))
+    again = materialise(rows.groupBy("doc_id", "text_key").count().where("count > 1")
+                        .select(F.col("doc_id").alias("c_doc_id"), F.col("text_key").alias("c_text_key")), "again")
+    if again.isEmpty():
+        reps = texts.join(sized(chosen), same).select("rep", "text")
+    else:
+        twice = F.col("chosen.c_doc_id").eqNullSafe(F.col("again.c_doc_id")) & (
+            F.col("chosen.c_text_key") == F.col("again.c_text_key"))
+        pair = chosen.alias("chosen"), sized(again).alias("again")
+        once = materialise(pair[0].join(pair[1], twice, "left_anti"), "reps-once")
+        more = materialise(pair[0].join(pair[1], twice, "left_semi"), "reps-again")
+        reps = texts.join(sized(once), same).select("rep", "text").unionByName(
+            texts.join(sized(more), same).select("rep", "text").dropDuplicates(["rep"]))
+    return reps if chosen.count() <= BROADCAST_ROWS else materialise(reps, "representatives")
+
+
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
                     long_list: int = LONG_LIST) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id: one row for each row."""
@@ -305,10 +331,8 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
         .withColumn("rep", F.monotonically_increasing_id()), "set-classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     chosen = classes.select(F.col("one.doc_id").alias("c_doc_id"), F.col("one.text_key").alias("c_text_key"), "rep")
-    same = (F.col("doc_id").eqNullSafe(F.col("c_doc_id"))) & (F.col("text_key") == F.col("c_text_key"))
-    reps = materialise(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_key"), "text")
-        .join(sized(chosen), same).dropDuplicates(["rep"]).select("rep", "text"), "representatives")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_key"), "text")
+    reps = _representatives(rows, texts, chosen)
     parts = linked_sets(reps, total, k, percent, long_list)
     # smallest doc_id of each component, then of each class, then of each row
     ids = classes.join(parts, classes.rep == parts.node, "left").withColumn(

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.llm.common import U64, bounded_batches, materialise, rolling, sized, text_hash, word_hashes
+from voltline.llm.common import U64, bounded_batches, hashed_words, materialise, rolling, sized, text_hash
 
 SPAN = 50
 INNER = 25
@@ -69,7 +69,7 @@ def _whole(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_words, whole_sha256 (of all words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [_words(x) for x in b.column(2).cast(pa.binary()).to_pylist()]
+            words = [_words(x) for x in _raw(b)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(w) for w in words], pa.int64()),
                  pa.array([_sha(w) for w in words])], ["doc_id", "text_key", "n_words", "whole_sha256"])
@@ -92,8 +92,8 @@ def _marks(texts: DataFrame, span: int, inner: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list[np.ndarray]] = [[], [], []]
-            for doc, key, raw in _rows(b):
-                m = np.unique(minimizers(word_hashes(_words(raw)), span, inner)).view(np.int64)
+            for doc, key, h in zip(*_keys(b), hashed_words(_raw(b)), strict=True):
+                m = np.unique(minimizers(h, span, inner)).view(np.int64)
                 for column, x in zip(out, (m, np.full(len(m), doc), np.full(len(m), key)), strict=True):
                     column.append(x)
             yield from _parts(out, names)
@@ -101,10 +101,12 @@ def _marks(texts: DataFrame, span: int, inner: int) -> DataFrame:
     return texts.mapInArrow(run, "m long, doc long, text_key long")
 
 
-def _rows(b: pa.RecordBatch) -> Iterator[tuple]:
-    """doc, text_key, raw text and what follows, a row at a time."""
-    return zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(),
-               *(c.to_pylist() for c in b.columns[3:]), strict=True)
+def _raw(b: pa.RecordBatch) -> list[bytes | None]:
+    return b.column(2).cast(pa.binary()).to_pylist()
+
+
+def _keys(b: pa.RecordBatch) -> tuple[list, list]:
+    return b.column(0).to_pylist(), b.column(1).to_pylist()
 
 
 def _windows(texts: DataFrame, span: int, inner: int) -> DataFrame:
@@ -114,8 +116,7 @@ def _windows(texts: DataFrame, span: int, inner: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list[np.ndarray]] = [[], [], [], []]
         for b in batches:
-            for doc, key, raw, marks in _rows(b):
-                h = word_hashes(_words(raw))
+            for doc, key, h, marks in zip(*_keys(b), hashed_words(_raw(b)), b.column(3).to_pylist(), strict=True):
                 pos = np.flatnonzero(np.isin(minimizers(h, span, inner), np.array(marks, np.int64).view(U64)))
                 new = (rolling(h, span)[pos].view(np.int64), np.full(len(pos), doc), np.full(len(pos), key),
                        pos.astype(np.int32))
@@ -152,7 +153,7 @@ def _cut(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, key, raw, lo, hi in _rows(b):
+            for doc, key, raw, lo, hi in zip(*_keys(b), _raw(b), *(c.to_pylist() for c in b.columns[3:]), strict=True):
                 words = _words(raw)
                 kept, at = [], 0
                 for begin, end in zip(lo, hi, strict=True):
@@ -188,11 +189,14 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, inner: int = INNER, with_t
                        .distinct(), "word-firsts")
     texts = _pick(docs, sized(keys))
     marks = materialise(_marks(texts, span, inner).distinct(), "marks")
-    shared = marks.groupBy("m").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("m")
+    # written before the join: a join of two plain tables can be split at a hot key
+    shared = materialise(marks.groupBy("m").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                         .where("lo < hi").select("m"), "shared")
     again = materialise(marks.join(shared, "m", "left_semi").groupBy("doc", "text_key")
                         .agg(F.collect_list("m").alias("marks")), "shared-marks")
     windows = materialise(_windows(_pick(texts, sized(again, ELEMENTS, F.size("marks"))), span, inner), "windows")
-    least = windows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
+    least = materialise(windows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                        .where("lo < hi").select("h", "lo"), "first-windows")
     begins = windows.join(least, "h").where("doc > lo").groupBy("doc", "text_key").agg(
         F.collect_set("pos").alias("begins"))
     gone = materialise(_intervals(begins, span), "repeats")
