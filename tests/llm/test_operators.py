@@ -179,7 +179,7 @@ def test_training_order_round_trip(spark, edge_docs, edge_rows):
     out = "file://" + scratch_path(spark, "order-test").removeprefix("file://")
     stride, per_shard = 64, 10
     seqs = materialise(order.sequences(edge_docs, stride=stride), "seqs")
-    index = sorted(order.write_order(seqs, out, 7, per_shard).collect(), key=lambda r: r.slot)
+    index = sorted(order.write_order(seqs, out, 7, per_shard, stride).collect(), key=lambda r: r.slot)
     n = len(index)
     assert [r.slot for r in index] == list(range(n))
     assert sorted(r.sequence_id for r in index) == list(range(n))

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from voltline.llm.common import U64, bounded_batches, materialise, mix
 from voltline.llm.tokens import END_ID, encoder, vocabulary_path
@@ -71,6 +72,7 @@ def sequences(docs: DataFrame, path: str | None = None, stride: int = STRIDE) ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, count = encoder(path), TaskContext.get().partitionId(), 0
+        squeeze = ZstdCompressor(level=1).compress  # on their way to the shard, ids take a third less
         end = np.array([END_ID], "<u2")
         flat, owners, starts = np.empty(0, "<u2"), [], np.empty(0, np.int64)
 
@@ -86,7 +88,7 @@ def sequences(docs: DataFrame, path: str | None = None, stride: int = STRIDE) ->
                 [pa.array([part] * full, pa.int32()), pa.array(range(count, count + full), pa.int64()),
                  pa.array(sizes, pa.int32()),
                  pa.array([owners[a:b] for a, b in zip(lo, hi, strict=True)], pa.list_(pa.int64())),
-                 pa.array([ids[k * stride:(k + 1) * stride].tobytes() for k in range(full)], pa.binary())],
+                 pa.array([squeeze(ids[k * stride:(k + 1) * stride].tobytes()) for k in range(full)], pa.binary())],
                 ["part", "idx", "n_tokens", "doc_ids", "ids"])
 
         for batch in batches:
@@ -109,15 +111,15 @@ def sequences(docs: DataFrame, path: str | None = None, stride: int = STRIDE) ->
         cut, "part int, idx long, n_tokens int, doc_ids array<long>, ids binary")
 
 
-def write_order(seqs: DataFrame, out: str, key: int, per_shard: int = PER_SHARD) -> DataFrame:
+def write_order(seqs: DataFrame, out: str, key: int, per_shard: int = PER_SHARD, stride: int = STRIDE) -> DataFrame:
     """Write the shard files of ``seqs`` (materialised: part, idx, n_tokens,
-    doc_ids, ids) under ``out``; returns the index, one row a sequence."""
+    doc_ids, compressed ids) under ``out``; returns the index, one row a sequence."""
     from pyarrow.fs import FileSystem
 
     spark = seqs.sparkSession
     counts = sorted((r[0], r[1]) for r in seqs.groupBy("part").count().collect())  # a row for each input task
     total = sum(c for _, c in counts)
-    width = (seqs.select(F.octet_length("ids").alias("w")).first() or [0])[0]
+    width = 2 * stride  # bytes of a record
     firsts, at = [], 0
     for part, c in counts:
         firsts.append((part, at))
@@ -141,13 +143,14 @@ def write_order(seqs: DataFrame, out: str, key: int, per_shard: int = PER_SHARD)
         disk, root = FileSystem.from_uri(out)
         task = TaskContext.get().taskAttemptId()
         current, stream, temp = -1, None, ""
+        unsqueeze = ZstdDecompressor().decompress
 
         def close() -> None:
             stream.close()
             disk.move(temp, f"{root}/{shard_name(current)}")
 
         for b in batches:
-            shards, ids = b.column("shard").to_pylist(), b.column("ids").to_pylist()
+            shards, ids = b.column("shard").to_pylist(), [unsqueeze(x) for x in b.column("ids").to_pylist()]
             for s, x in zip(shards, ids, strict=True):
                 if s != current:
                     if stream:
@@ -198,5 +201,5 @@ def read_slots(out: str, first: int, count: int) -> np.ndarray:
 def training_order(docs: DataFrame, out: str, key: int, path: str | None = None, stride: int = STRIDE,
                    per_shard: int = PER_SHARD) -> DataFrame:
     """Tokenise, number, permute and write ``docs``; the index is the result."""
-    seqs = materialise(sequences(docs, path, stride), "sequences", "zstd")
-    return materialise(write_order(seqs, out, key, per_shard), "order-index")
+    seqs = materialise(sequences(docs, path, stride), "sequences")
+    return materialise(write_order(seqs, out, key, per_shard, stride), "order-index")
