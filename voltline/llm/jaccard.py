@@ -15,7 +15,9 @@ Two set relations save most of the comparisons:
   of the Jaccard distance, entries whose distances to the pivot differ by more
   than 1 - t cannot link.
 
-Only the pairs that neither relation answers are compared in a second round.
+For the pairs that neither relation answers, neighbours in changing orders of a
+list are compared first, a linear number for each of ``PROBES`` rounds, which
+joins groups of similar sets; a last round compares all that is still open.
 The result is exact on the hashed sets: every link between different sets is
 either compared, or implied by a shared component.
 
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltline.llm.common import (
@@ -59,6 +61,8 @@ WORDS = 5
 PERCENT = 75
 RANGE = 400_000  # postings of one exchange block, about
 LONG_LIST = 100_000  # a list that is longer is dealt out in parts
+PROBES = 3  # rounds that compare neighbours before the last round
+PART = 4096  # entries of a list that one window orders, about
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
 
 
@@ -274,32 +278,71 @@ def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERC
     answers = _compared(first.unionByName(among).distinct(), reps, k, percent)
     entries = lists.where(F.col("kind") == ENTRY)
     edges = answers.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    found = components(edges)
 
-    # second round: lists whose entries lie in several components
-    entries = (entries.join(found, entries.rep == found.node, "left")
-               .withColumn("component", F.coalesce("component", "rep")).drop("node"))
-    several = (entries.groupBy("list_key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-               .where("lo != hi").select("list_key"))
+    # what the pivots left open
     known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "distance")
-    entries = materialise(entries.join(several, "list_key", "left_semi").join(known, ["pivot", "rep"], "left"),
-                          "open-entries")
+    entries = materialise(_open(entries, components(edges)).join(known, ["pivot", "rep"], "left"), "open-entries")
+    for turn in range(PROBES):
+        if entries.isEmpty():
+            break
+        linked = _compared(_neighbours(entries, turn, percent), reps, k, percent).where("linked").select(
+            F.col("a").alias("u"), F.col("b").alias("v"))
+        edges = edges.unionByName(linked)
+        entries = materialise(_open(entries.drop("component", "members"), components(edges)), "open-entries")
+
+    # last round: every pair of entries of one list in different components; a
+    # pair with several lists is taken from the first one it shares
+    mine = entries.groupBy(F.col("rep").alias("l_rep")).agg(
+        F.transform(F.array_sort(F.collect_set(F.struct("pos", "list_key"))), lambda e: e["list_key"]).alias("lists"))
+    entries = materialise(entries.join(mine, entries.rep == mine.l_rep).drop("l_rep"), "open-entries")
     x, y = entries.alias("x"), entries.alias("y")
+    first_shared = F.element_at(F.array_intersect("x.lists", "y.lists"), 1)
     one_pivot = F.col("x.pivot") == F.col("y.pivot")
     apart = F.abs(F.col("x.distance") - F.col("y.distance")) > 1 - percent / 100 + 1e-9
     answered = one_pivot & ((F.col("x.rep") == F.col("x.pivot")) | (F.col("y.rep") == F.col("y.pivot"))
                             | F.coalesce(apart, F.lit(False)))
-    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))  # after the shared shingle, with it
     rest = (x.join(y, F.col("x.list_key") == F.col("y.list_key"))
             .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & ~answered
-                   & ((100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))))
+                   & _may_link(percent) & ~answered & (first_shared == F.col("x.list_key")))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     more = _compared(rest, reps, k, percent).where("linked").select(
         F.col("a").alias("u"), F.col("b").alias("v"))
     return components(edges.unionByName(more))
 
 
+def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries of the lists that lie in several components, with component and
+    the list's number of entries."""
+    labelled = (entries.join(found, entries.rep == found.node, "left")
+                .withColumn("component", F.coalesce("component", "rep")).drop("node"))
+    several = materialise(labelled.groupBy("list_key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
+        .where("lo != hi").select("list_key", "members"), "open-lists")
+    return labelled.join(several, "list_key")
+
+
+def _may_link(percent: int) -> Column:
+    """Sizes of x and y, and the shingles after the shared one (with it), allow a link."""
+    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    return ((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+            & ((100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))))
+
+
+def _neighbours(entries: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs a, b: each entry with the next one of its list in an order that
+    changes by turn, if they lie in different components.  Similar sets soon
+    share a component this way, for a number of comparisons that is linear in
+    the list.  Long lists are ordered in parts."""
+    order = F.xxhash64("rep", F.lit(turn))
+    part = F.pmod(F.xxhash64("rep", F.lit(-1 - turn)), F.floor(F.col("members") / PART) + 1)
+    window = Window.partitionBy("list_key", part).orderBy(order)
+    nxt = F.lead(F.struct("rep", "component", "n", "pos")).over(window)
+    paired = entries.withColumn("y", nxt).where(F.col("y").isNotNull() & (F.col("component") != F.col("y.component")))
+    x = paired.select(F.struct("rep", "n", "pos").alias("x"), "y")
+    return x.where(_may_link(percent)).select(
+        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
 def _representatives(rows: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """rep, text.  Texts move only if the table of representatives is too large
     to broadcast; of rows repeated in full, one is taken."""
