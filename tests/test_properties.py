@@ -1,8 +1,7 @@
 """Property tests (hypothesis): upsert idempotence / order independence,
-window membership counts, and the look-back partition filter."""
+window membership counts."""
 
 import datetime as dt
-import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -53,18 +52,3 @@ def test_each_event_in_one_tumbling_and_five_hopping_windows(spark, secs):
     # membership is (start, end]
     rows = df.select("ts", F.explode(F.array(asa_window("ts", "5 minutes", "1 minute"))).alias("w")).collect()
     assert all(r.w.start < r.ts <= r.w.end for r in rows)
-
-
-def test_lookback_prunes_partitions(spark, tmp_path):
-    from voltline.streaming.jobs import SILVER_TABLE_SCHEMA, target_keys
-    path = str(tmp_path / "silver")
-    rows = [{f.name: None for f in SILVER_TABLE_SCHEMA.fields} for _ in range(3)]
-    for r, (eid, d) in zip(rows, [("a", "2024-01-01"), ("b", "2024-01-05"), ("c", "2024-01-06")]):
-        r.update(event_id=eid, event_date=d, batch_id=0)
-    spark.createDataFrame(rows, SILVER_TABLE_SCHEMA).write.partitionBy("batch_id", "event_date").parquet(path)
-    full = target_keys(spark, path, batch_id=1)
-    near = target_keys(spark, path, batch_id=1, lookback_days=1, since="2024-01-06")
-    assert sorted(r.event_id for r in full.collect()) == ["a", "b", "c"]
-    assert sorted(r.event_id for r in near.collect()) == ["b", "c"]
-    plan = near._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan)

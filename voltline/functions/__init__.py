@@ -5,5 +5,5 @@ from voltline.functions.timefmt import (  # noqa: F401
 )
 from voltline.functions.quality import quality_flags, QUALITY_RULES  # noqa: F401
 from voltline.functions.stats import (  # noqa: F401
-    centi, exact_avg, moment_aggs, mean_from_moments, stddev_from_moments,
+    merged_aggs, merged_mean, merged_stddev, moment_aggs,
 )

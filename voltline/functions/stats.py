@@ -1,11 +1,10 @@
-"""Order-independent statistics over two-decimal readings.
-
-Readings in the payload carry two decimals (the producer rounds them), so a
-reading is an exact integer number of hundredths.  Summing those integers
-(and their squares) is exact, which makes averages and standard deviations
-bit-identical no matter how rows are partitioned, ordered or merged across
-partial aggregates -- results do not drift between runs or cluster sizes,
-and a streaming partial state merges exactly.
+"""Mergeable statistics over double readings.
+
+Averages and sample standard deviations are the engine's own.  Where readings
+are first reduced to buckets and the buckets then to windows, a bucket keeps
+its count, mean and sum of squared deviations; these merge without squaring
+raw readings, so a large mean costs no precision and no reading can overflow.
+NaN and infinite readings give NaN results, never an error.
 """
 
 from __future__ import annotations
@@ -13,45 +12,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 100.0
-
-
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
-def centi(col: Column | str) -> Column:
-    """Reading -> hundredths as BIGINT (rounded half up)."""
-    return F.floor(_c(col) * F.lit(SCALE) + F.lit(0.5))
-
-
-def exact_avg(col: Column | str) -> Column:
-    """AVG over readings; NULL for a group without non-null readings."""
-    c = _c(col)
-    n = F.count(c)
-    return F.when(n > 0, F.sum(centi(c)) / F.lit(SCALE) / n)
-
 
 def moment_aggs(col: Column | str, prefix: str) -> list[Column]:
-    """Partial moments (n, sum, sum of squares) in hundredths; they add up
-    across any split of the rows."""
-    c = _c(col)
-    k = centi(c)
-    return [F.count(c).alias(f"{prefix}_n"),
-            F.sum(k).alias(f"{prefix}_s1"),
-            F.sum(k * k).alias(f"{prefix}_s2")]
+    """Count, mean and sum of squared deviations of a bucket."""
+    n = F.count(col)
+    return [n.alias(f"{prefix}_n"), F.avg(col).alias(f"{prefix}_mean"),
+            (F.var_pop(col) * n).alias(f"{prefix}_m2")]
+
 
+def merged_aggs(prefix: str) -> list[Column]:
+    """Aggregates that merge buckets; feed them to the two functions below."""
+    n, mean = F.col(f"{prefix}_n"), F.col(f"{prefix}_mean")
+    return [F.sum(n).alias(f"{prefix}_n"), F.sum(n * mean).alias(f"{prefix}_s1"),
+            F.sum(n * mean * mean).alias(f"{prefix}_s2"), F.sum(f"{prefix}_m2").alias(f"{prefix}_m2")]
 
-def mean_from_moments(n: Column, s1: Column) -> Column:
-    return F.when(n > 0, s1 / F.lit(SCALE) / n)
 
+def merged_mean(prefix: str) -> Column:
+    """NULL for a window without readings."""
+    n = F.col(f"{prefix}_n")
+    return F.when(n > 0, F.col(f"{prefix}_s1") / n)
 
-def stddev_from_moments(n: Column, s1: Column, s2: Column) -> Column:
-    """Sample standard deviation; NULL below two readings.
 
-    n*s2 - s1^2 is evaluated in DECIMAL(38,0) so it is exact, then converted
-    once to DOUBLE."""
-    d = "decimal(38,0)"
-    num = n.cast(d) * s2.cast(d) - s1.cast(d) * s1.cast(d)
-    var = num.cast("double") / (n * (n - 1)).cast("double")
-    return F.when(n > 1, F.sqrt(var) / F.lit(SCALE))
+def merged_stddev(prefix: str) -> Column:
+    """Sample standard deviation; NULL below two readings."""
+    n = F.col(f"{prefix}_n")
+    between = F.col(f"{prefix}_s2") - F.col(f"{prefix}_s1") * F.col(f"{prefix}_s1") / n
+    m2 = F.col(f"{prefix}_m2") + F.greatest(between, F.lit(0.0))
+    return F.when(n > 1, F.sqrt(m2 / (n - 1)))

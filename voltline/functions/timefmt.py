@@ -13,6 +13,19 @@ ISO_OFFSET_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 SHORT_OFFSET_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"
 
 
+_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def interval_us(text: str) -> int:
+    """Microseconds of an interval such as "5 minutes" or "1 hour 30 seconds"."""
+    parts = text.lower().split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {text!r}")
+    return round(sum(float(n) * _UNIT_US[unit.removesuffix("s")]
+                     for n, unit in zip(parts[::2], parts[1::2], strict=True)))
+
+
 def parse_event_time(col: Column | str) -> Column:
     """String -> TIMESTAMP, NULL (never an error) when no layout matches."""
     c = F.col(col) if isinstance(col, str) else col

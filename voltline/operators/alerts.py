@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltline.functions.stats import centi, mean_from_moments, moment_aggs, stddev_from_moments
+from voltline.functions.stats import merged_aggs, merged_mean, merged_stddev, moment_aggs
 
 # Fixed value: detection method label written on every alert row.
 DETECTION_METHOD = "statistical_outlier"
@@ -26,7 +26,7 @@ def _trigger(flag: Column, stat: Column) -> Column:
 def sliding_stats(silver: DataFrame, size_minutes: int = 10, slide_minutes: int = 1) -> DataFrame:
     """Per device and sliding window: temperature mean and sample stddev.
 
-    Readings are first reduced to one row per (device, minute) of exact
+    Readings are first reduced to one row per (device, minute) of mergeable
     moments; the sliding expansion then runs on that much smaller table."""
     per_minute = (silver.where(F.col("event_timestamp").isNotNull())
                   .groupBy("device_id", F.date_trunc("minute", "event_timestamp").alias("minute"))
@@ -34,13 +34,11 @@ def sliding_stats(silver: DataFrame, size_minutes: int = 10, slide_minutes: int
     return (per_minute
             .groupBy("device_id", F.window("minute", f"{size_minutes} minutes",
                                            f"{slide_minutes} minute").alias("w"))
-            .agg(F.sum("t_n").alias("n"), F.sum("t_s1").alias("s1"), F.sum("t_s2").alias("s2"))
+            .agg(*merged_aggs("t"))
             .select("device_id",
                     F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    F.col("n").alias("rolling_n"),
-                    mean_from_moments(F.col("n"), F.col("s1")).alias("rolling_avg_temp"),
-                    stddev_from_moments(F.col("n"), F.col("s1"), F.col("s2"))
-                    .alias("rolling_std_temp")))
+                    F.col("t_n").alias("rolling_n"), merged_mean("t").alias("rolling_avg_temp"),
+                    merged_stddev("t").alias("rolling_std_temp")))
 
 
 def alerts_range(silver: DataFrame, size_minutes: int = 10) -> DataFrame:
@@ -104,21 +102,19 @@ def alerts_trailing(silver: DataFrame, frame_seconds: int = 600, chunk_seconds:
     chunk_us = chunk_seconds * 1_000_000
     rows = (silver.select(*ALERT_INPUT).where(F.col("event_timestamp").isNotNull())
             .withColumn("us", F.unix_micros("event_timestamp"))
-            .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)))
-            .withColumn("c", centi("temperature_c")))
+            .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us))))
     spill = F.col("us") >= (F.col("chunk") + 1) * chunk_us - frame_us
     homes = F.when(spill, F.array(F.col("chunk"), F.col("chunk") + 1)).otherwise(F.array(F.col("chunk")))
     placed = rows.select("*", F.explode(homes).alias("part"))
     w = Window.partitionBy("device_id", "part").orderBy("us").rangeBetween(-frame_us, 0)
-    n = F.count("temperature_c").over(w)
-    s1 = F.sum("c").over(w)
-    s2 = F.sum(F.col("c") * F.col("c")).over(w)
-    stats = (placed.select("*", n.alias("n"), s1.alias("s1"), s2.alias("s2"))
+    stats = (placed.select("*", F.count("temperature_c").over(w).alias("trailing_n"),
+                           F.avg("temperature_c").over(w).alias("trailing_avg_temp"),
+                           F.stddev_samp("temperature_c").over(w).alias("trailing_std_temp"))
              .where(F.col("part") == F.col("chunk")))
-    avg = mean_from_moments(F.col("n"), F.col("s1"))
-    std = stddev_from_moments(F.col("n"), F.col("s1"), F.col("s2"))
-    out = stats.select(*ALERT_INPUT, F.col("n").alias("trailing_n"),
-                       avg.alias("trailing_avg_temp"), std.alias("trailing_std_temp"))
+    # a flagged event without event time has no frame, and is reported without statistics
+    timeless = silver.select(*ALERT_INPUT).where(F.col("event_timestamp").isNull() & F.col("anomaly_flag"))
+    out = (stats.select(*ALERT_INPUT, "trailing_n", "trailing_avg_temp", "trailing_std_temp")
+           .unionByName(timeless, allowMissingColumns=True))
     stat = F.abs(F.col("temperature_c") - F.col("trailing_avg_temp")) > 3 * F.col("trailing_std_temp")
     return (out.where(F.col("anomaly_flag") | stat)
             .select("event_id", "device_id", "device_type", "region", "event_timestamp",
@@ -149,15 +145,14 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
             .withColumn("bucket", F.floor(F.unix_seconds("event_timestamp") / bucket_s)))
     stats = (base.groupBy(F.col("device_id").alias("r_device"),
                           F.window("event_timestamp", f"{size_minutes} minutes", "1 minute").alias("w"))
-             .agg(*moment_aggs("temperature_c", "t"))
+             .agg(F.avg("temperature_c").alias("rolling_avg_temp"),
+                  F.stddev_samp("temperature_c").alias("rolling_std_temp"))
              .select("r_device", F.window_time("w").alias("wt"),
                      F.explode(F.array_distinct(F.array(
                          F.floor(F.unix_seconds(F.col("w.start")) / bucket_s),
                          F.floor(F.unix_seconds(F.window_time("w")) / bucket_s)))).alias("r_bucket"),
                      F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                     mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("rolling_avg_temp"),
-                     stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2"))
-                     .alias("rolling_std_temp")))
+                     "rolling_avg_temp", "rolling_std_temp"))
     span = F.expr(f"INTERVAL {size_minutes} MINUTES")
     cond = ((F.col("device_id") == F.col("r_device")) & (F.col("bucket") == F.col("r_bucket"))
             & (F.col("event_timestamp") > F.col("wt") - span)

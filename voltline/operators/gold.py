@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.functions.stats import exact_avg
-
 KPI_KEYS = ["device_id", "device_type", "region", "sla_tier"]
 
 
@@ -23,11 +21,11 @@ def kpi_aggs(distinct_firmware: str = "exact"):
         firmware = F.approx_count_distinct(fw)
     return [
         F.count(F.lit(1)).alias("event_count"),
-        exact_avg("temperature_c").alias("avg_temp_c"),
+        F.avg("temperature_c").alias("avg_temp_c"),
         F.max("temperature_c").alias("max_temp_c"),
         F.min("temperature_c").alias("min_temp_c"),
-        exact_avg("humidity_pct").alias("avg_humidity"),
-        exact_avg("battery_pct").alias("avg_battery"),
+        F.avg("humidity_pct").alias("avg_humidity"),
+        F.avg("battery_pct").alias("avg_battery"),
         F.min("battery_pct").alias("min_battery"),
         F.sum(F.col("anomaly_flag").cast("int")).cast("long").alias("anomaly_count"),
         firmware.alias("firmware_versions"),

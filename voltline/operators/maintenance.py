@@ -37,11 +37,13 @@ def compact_table(spark: SparkSession, src: str, dst: str, cols: list[str],
                   rows_per_file: int = 5_000_000) -> int:
     """Rewrite a Parquet table clustered on ``cols`` into ``dst``; returns
     the number of output partitions.  The source is read once to size the
-    output, then rewritten in one job."""
+    output, then rewritten in one job.  The table's partition columns lead the
+    range key, so a range holds whole table partitions or a part of one: at most
+    ranges + table partitions - 1 files are written."""
     df = spark.read.parquet(src)
     n = df.count()
     files = max(1, -(-n // rows_per_file))
-    w = cluster(df, cols, files).write.mode("overwrite")
+    w = cluster(df, [*(partition_by or []), *cols], files).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(dst)

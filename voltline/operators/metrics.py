@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.functions.timefmt import hub_latency_ms
+from voltline.functions.timefmt import hub_latency_ms, interval_us
 
 from voltline.operators.streamsql import (BATTERY_CRITICAL_PCT, TEMP_HIGH_C, TEMP_LOW_C,
                                          threshold_alerts)
@@ -13,7 +13,7 @@ from voltline.operators.streamsql import (BATTERY_CRITICAL_PCT, TEMP_HIGH_C, TEM
 
 def throughput_series(tel: DataFrame, bucket: str = "2 seconds", points: int = 40) -> DataFrame:
     """Events per second in consecutive buckets; the newest ``points``."""
-    secs = float(bucket.split()[0])
+    secs = interval_us(bucket) / 1e6
     return (tel.where(F.col("event_timestamp").isNotNull())
             .groupBy(F.window("event_timestamp", bucket).alias("w"))
             .agg(F.count(F.lit(1)).alias("events"))

@@ -1,17 +1,15 @@
 """Inactivity-gap sessions per device, safe for very hot devices.
 
 Spark's batch ``session_window`` shuffles on the device key alone, so a
-device that owns a third of all rows would be sessionised by one task.  Here
-the row-level work is partitioned by (device, time chunk):
+device that owns a third of all rows would be sessionised by one task.  Here:
 
-1. Inside each (device, chunk) partition, ``lag`` finds the previous event;
-   a gap larger than ``gap`` (or the chunk's first row) opens a *piece*.
-2. Pieces are aggregated (first, last, count) on the same partitioning, so
-   no extra shuffle of rows is needed.
-3. Pieces -- at most sessions + chunks per device, far fewer than rows --
-   are stitched per device: a piece continues the previous one when it
+1. Rows are reduced to one piece (first, last, count) per (device, bucket of
+   ``gap`` length).  No gap longer than ``gap`` fits inside a bucket, so a
+   piece is never cut; the reduction combines before the shuffle, so raw rows
+   are neither shuffled nor sorted.
+2. Pieces are stitched per device: a piece continues the previous one when it
    starts within ``gap`` of its end.
-4. Pieces are summed into sessions.
+3. Pieces are summed into sessions.
 
 A gap of exactly ``gap`` keeps the session open (the next event falls on
 the end of the previous session window).
@@ -26,24 +24,15 @@ from voltline.functions.timefmt import seconds_between
 
 
 def sessionize(df: DataFrame, key: str = "device_id", ts: str = "event_timestamp",
-               gap_seconds: int = 300, chunk_seconds: int = 3600) -> DataFrame:
+               gap_seconds: int = 300) -> DataFrame:
     """(key, ts) rows -> (key, session_start, session_end, events_in_session).
 
     Rows with a NULL key or time are ignored, like window functions do."""
     gap_us = gap_seconds * 1_000_000
-    rows = (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-              .select(F.col(key).alias("k"), F.col(ts).alias("ts"))
-              .withColumn("us", F.unix_micros("ts"))
-              .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_seconds * 1_000_000))))
-    in_chunk = Window.partitionBy("k", "chunk").orderBy("us")
-    prev = F.lag("us").over(in_chunk)
-    opens = F.when(prev.isNull() | (F.col("us") - prev > gap_us), F.col("us"))
-    pieces = (rows.withColumn("open_us", opens)
-                  .withColumn("piece", F.last("open_us", ignorenulls=True).over(
-                      in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                  .groupBy("k", "chunk", "piece")
-                  .agg(F.min("us").alias("p_first"), F.max("us").alias("p_last"),
-                       F.count(F.lit(1)).alias("p_n")))
+    pieces = (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+              .select(F.col(key).alias("k"), F.unix_micros(ts).alias("us"))
+              .groupBy("k", F.floor(F.col("us") / F.lit(gap_us)).alias("bucket"))
+              .agg(F.min("us").alias("p_first"), F.max("us").alias("p_last"), F.count(F.lit(1)).alias("p_n")))
     by_key = Window.partitionBy("k").orderBy("p_first")
     prev_last = F.lag("p_last").over(by_key)
     stitched = (pieces

@@ -7,12 +7,13 @@ the query's timestamp; see ``asa_window``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.functions.stats import (centi, exact_avg, mean_from_moments, moment_aggs,
-                                     stddev_from_moments)
-from voltline.functions.timefmt import asa_window
+from voltline.functions.stats import merged_aggs, merged_mean, merged_stddev, moment_aggs
+from voltline.functions.timefmt import asa_window, interval_us
 
 
 def _asa_w(ts_col: str, pre_shifted: bool, size: str, slide: str | None = None):
@@ -36,11 +37,11 @@ def tumbling_by_type(tel: DataFrame, size: str = "1 minute", ts_col: str = "even
     return (
         tel.groupBy(_asa_w(ts_col, pre_shifted, size).alias("w"), "device_type")
         .agg(F.count(F.lit(1)).alias("event_count"),
-             exact_avg("temperature_c").alias("avg_temperature_c"),
+             F.avg("temperature_c").alias("avg_temperature_c"),
              F.max("temperature_c").alias("max_temperature_c"),
              F.min("temperature_c").alias("min_temperature_c"),
-             exact_avg("humidity_pct").alias("avg_humidity_pct"),
-             exact_avg("battery_pct").alias("avg_battery_pct"),
+             F.avg("humidity_pct").alias("avg_humidity_pct"),
+             F.avg("battery_pct").alias("avg_battery_pct"),
              F.sum(flag).alias("anomaly_count"))
         .select(F.col("w.end").alias("window_end"), F.col("w.start").alias("window_start"),
                 "device_type", "event_count", "avg_temperature_c", "max_temperature_c",
@@ -54,36 +55,36 @@ def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 min
                       ts_col: str = "event_timestamp", pre_shifted: bool = False) -> DataFrame:
     """Per device and overlapping 5-minute window every minute.
 
-    Batch: readings are first reduced to one row per (device, 1-minute
-    bucket) of mergeable partials -- counts, exact moments, min/max -- and
-    only those buckets are expanded into the 5 windows that contain them, so
-    the expansion does not grow with the event rate.  Streaming
+    Batch: readings are first reduced to one row per (device, bucket) of
+    mergeable partials -- counts, moments, min/max -- where a bucket is the
+    greatest common divisor of size and hop, so no window cuts one.  Only the
+    buckets are expanded into the windows that contain them, so the expansion
+    does not grow with the event rate.  Streaming
     (``pre_shifted``): events are windowed directly so that the window stays
     on the watermarked column."""
     if pre_shifted:
         return _hopping_direct(tel, size, hop, ts_col)
     shifted = F.col(ts_col) - F.expr("INTERVAL 1 MICROSECOND")
+    grain = f"{math.gcd(interval_us(size), interval_us(hop))} microseconds"
     buckets = (tel.where(F.col(ts_col).isNotNull())
                .groupBy("device_id", "device_type",
-                        F.date_trunc("minute", shifted).alias("bucket"))
+                        F.window(shifted, grain)["start"].alias("bucket"))
                .agg(F.count(F.lit(1)).alias("n"),
                     *moment_aggs("temperature_c", "t"),
                     F.max("temperature_c").alias("mx"), F.min("temperature_c").alias("mn"),
-                    F.count("pressure_hpa").alias("p_n"), F.sum(centi("pressure_hpa")).alias("p_s1"),
+                    F.count("pressure_hpa").alias("p_n"), F.sum("pressure_hpa").alias("p_s1"),
                     F.min("battery_pct").alias("mb"),
                     F.sum(F.col("anomaly_flag").cast("long")).alias("an")))
     p_n = F.sum("p_n")
     return (
         buckets.groupBy(F.window("bucket", size, hop).alias("w"), "device_id", "device_type")
-        .agg(F.sum("n").alias("event_count"), F.sum("t_n").alias("t_n"),
-             F.sum("t_s1").alias("t_s1"), F.sum("t_s2").alias("t_s2"),
+        .agg(F.sum("n").alias("event_count"), *merged_aggs("t"),
              F.max("mx").alias("max_temp_c"), F.min("mn").alias("min_temp_c"),
-             F.when(p_n > 0, F.sum("p_s1") / F.lit(100.0) / p_n).alias("avg_pressure_hpa"),
+             F.when(p_n > 0, F.sum("p_s1") / p_n).alias("avg_pressure_hpa"),
              F.min("mb").alias("min_battery_pct"), F.sum("an").alias("anomaly_count"))
         .select(F.col("w.end").alias("window_end"), F.col("w.start").alias("window_start"),
                 "device_id", "device_type", "event_count",
-                mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("avg_temp_c"),
-                stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2")).alias("stddev_temp_c"),
+                merged_mean("t").alias("avg_temp_c"), merged_stddev("t").alias("stddev_temp_c"),
                 "max_temp_c", "min_temp_c", "avg_pressure_hpa", "min_battery_pct", "anomaly_count")
     )
 
@@ -92,26 +93,24 @@ def _hopping_direct(tel: DataFrame, size: str, hop: str, ts_col: str) -> DataFra
     return (
         tel.groupBy(F.window(ts_col, size, hop).alias("w"), "device_id", "device_type")
         .agg(F.count(F.lit(1)).alias("event_count"),
-             *moment_aggs("temperature_c", "t"),
+             F.avg("temperature_c").alias("avg_temp_c"),
+             F.stddev_samp("temperature_c").alias("stddev_temp_c"),
              F.max("temperature_c").alias("max_temp_c"),
              F.min("temperature_c").alias("min_temp_c"),
-             exact_avg("pressure_hpa").alias("avg_pressure_hpa"),
+             F.avg("pressure_hpa").alias("avg_pressure_hpa"),
              F.min("battery_pct").alias("min_battery_pct"),
              F.sum(F.col("anomaly_flag").cast("long")).alias("anomaly_count"))
         .select(F.col("w.end").alias("window_end"), F.col("w.start").alias("window_start"),
                 "device_id", "device_type", "event_count",
-                mean_from_moments(F.col("t_n"), F.col("t_s1")).alias("avg_temp_c"),
-                stddev_from_moments(F.col("t_n"), F.col("t_s1"), F.col("t_s2")).alias("stddev_temp_c"),
+                "avg_temp_c", "stddev_temp_c",
                 "max_temp_c", "min_temp_c", "avg_pressure_hpa", "min_battery_pct", "anomaly_count")
     )
 
 
-# Alert thresholds, alert labels (in priority order) and the
-# detection source label.
+# Alert thresholds and the detection source label.
 TEMP_HIGH_C = 80
 TEMP_LOW_C = -20
 BATTERY_CRITICAL_PCT = 10
-ALERT_LABELS = ["MODEL_ALERT", "TEMP_HIGH", "TEMP_LOW", "BATTERY_CRITICAL", "UNKNOWN"]
 DETECTION_SOURCE = "STREAM_ANALYTICS"
 
 
@@ -122,10 +121,8 @@ def threshold_alerts(tel: DataFrame) -> DataFrame:
     hot = F.col("temperature_c") > TEMP_HIGH_C
     cold = F.col("temperature_c") < TEMP_LOW_C
     low_batt = F.col("battery_pct") < BATTERY_CRITICAL_PCT
-    model, high, low, batt, unknown = ALERT_LABELS
-    alert_type = (F.when(flag, F.lit(model)).when(hot, F.lit(high))
-                  .when(cold, F.lit(low)).when(low_batt, F.lit(batt))
-                  .otherwise(F.lit(unknown)))
+    alert_type = (F.when(flag, "MODEL_ALERT").when(hot, "TEMP_HIGH").when(cold, "TEMP_LOW")
+                  .when(low_batt, "BATTERY_CRITICAL").otherwise("UNKNOWN"))
     return (tel.where(flag | hot | cold | low_batt)
             .select("event_id", "device_id", "device_type",
                     F.col("timestamp_utc").alias("event_time"),

@@ -19,6 +19,12 @@ from voltline.sources import fixture
 from voltline.streaming.jobs import SILVER_TABLE_SCHEMA
 
 
+def _rounded(df, *cols):
+    """Sums of doubles depend on their order in the last digits; six decimals
+    make results comparable between engines."""
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
 def q_bronze_project(spark, sf):
     return I.bronze(spark, sf)
 
@@ -62,23 +68,23 @@ def q_silver_upsert(spark, sf):
 
 
 def q_gold_kpis(spark, sf):
-    return gold.device_kpis(I.silver(spark, sf))
+    return _rounded(gold.device_kpis(I.silver(spark, sf)), "avg_temp_c", "avg_humidity", "avg_battery")
 
 
 def q_asa_tumbling(spark, sf):
-    return streamsql.tumbling_by_type(I.telemetry(spark, sf))
+    return _rounded(streamsql.tumbling_by_type(I.feed(spark, sf)), "avg_temperature_c", "avg_humidity_pct", "avg_battery_pct")
 
 
 def q_asa_hopping(spark, sf):
-    return streamsql.hopping_by_device(I.telemetry(spark, sf))
+    return _rounded(streamsql.hopping_by_device(I.feed(spark, sf)), "avg_temp_c", "stddev_temp_c", "avg_pressure_hpa")
 
 
 def q_asa_alerts(spark, sf):
-    return streamsql.threshold_alerts(I.telemetry(spark, sf))
+    return streamsql.threshold_alerts(I.feed(spark, sf))
 
 
 def q_asa_sessions(spark, sf):
-    return sessions.device_sessions(I.telemetry(spark, sf))
+    return sessions.device_sessions(I.feed(spark, sf))
 
 
 def q_silent_devices(spark, sf):
@@ -86,15 +92,15 @@ def q_silent_devices(spark, sf):
 
 
 def q_alerts_range(spark, sf):
-    return alerts.alerts_range(I.silver(spark, sf))
+    return _rounded(alerts.alerts_range(I.silver(spark, sf)), "rolling_avg_temp", "rolling_std_temp")
 
 
 def q_alerts_per_event(spark, sf):
-    return alerts.alerts_per_event(I.silver(spark, sf))
+    return _rounded(alerts.alerts_per_event(I.silver(spark, sf)), "max_abs_dev")
 
 
 def q_alerts_trailing(spark, sf):
-    return alerts.alerts_trailing(I.silver(spark, sf))
+    return _rounded(alerts.alerts_trailing(I.silver(spark, sf)), "trailing_avg_temp", "trailing_std_temp")
 
 
 def q_throughput_series(spark, sf):
@@ -185,7 +191,7 @@ def q_silver_stream(spark, sf):
 
 def q_gold_kpis_stream(spark, sf):
     p = _replay(spark, sf, {"bronze", "silver", "gold"}, True, "gold-stream")
-    return spark.read.parquet(p.gold).drop("gold_written_at")
+    return _rounded(spark.read.parquet(p.gold).drop("gold_written_at"), "avg_temp_c", "avg_humidity", "avg_battery")
 
 
 def q_asa_alerts_stream(spark, sf):
@@ -200,17 +206,17 @@ def q_asa_sessions_stream(spark, sf):
 
 def q_alerts_stream(spark, sf):
     p = _replay(spark, sf, {"bronze", "silver", "alerts"}, True, "alerts-stream")
-    return spark.read.parquet(p.alerts).drop("alert_raised_at")
+    return _rounded(spark.read.parquet(p.alerts).drop("alert_raised_at"), "rolling_avg_temp", "rolling_std_temp")
 
 
 def q_asa_tumbling_stream(spark, sf):
     p = _replay(spark, sf, {"tumbling"}, True, "tumbling-stream")
-    return spark.read.parquet(f"{p.stream_sql}/tumbling")
+    return _rounded(spark.read.parquet(f"{p.stream_sql}/tumbling"), "avg_temperature_c", "avg_humidity_pct", "avg_battery_pct")
 
 
 def q_asa_hopping_stream(spark, sf):
     p = _replay(spark, sf, {"hopping"}, True, "hopping-stream")
-    return spark.read.parquet(f"{p.stream_sql}/hopping")
+    return _rounded(spark.read.parquet(f"{p.stream_sql}/hopping"), "avg_temp_c", "stddev_temp_c", "avg_pressure_hpa")
 
 
 def q_bronze_schema_evolution(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.operators.bronze import project_bronze
-from voltline.operators.silver import add_quality, enrich
+from voltline.operators.silver import parse_and_validate, silver_upsert_rows
 from voltline.sources import fixture
 from voltline.sources.tables import load_table
 
@@ -28,7 +28,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf: str) -> DataFrame:
-    """Typed telemetry (what the stream SQL queries read)."""
+    """Typed telemetry, before it is sent to the hub."""
     return fixture.telemetry(events(spark, sf))
 
 
@@ -39,9 +39,14 @@ def registry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver rows built straight from typed telemetry (same values as the
-    JSON path; avoids a serialise/parse round trip for analytics)."""
-    return enrich(add_quality(telemetry(spark, sf)), registry(spark, sf))
+    """Silver as the jobs build it: Bronze payloads parsed, validated,
+    de-duplicated, flagged and enriched."""
+    return silver_upsert_rows(bronze(spark, sf), registry(spark, sf), None)
+
+
+def feed(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stream-SQL query reads: every well-formed delivery, parsed."""
+    return parse_and_validate(bronze(spark, sf))
 
 
 def bronze(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,8 +4,9 @@ Each statement recomputes a catalog query independently: the same
 events -> telemetry mapping written in plain SQL, windows built with
 ``time_bucket`` / ``generate_series`` instead of Spark's window functions,
 sessions with LAG and a running sum, range joins with BETWEEN.
-Doubles are combined in the same order as the Spark side (exact integer
-sums of hundredths, then IEEE divisions), so values match bit for bit.
+Statistics are DuckDB's own AVG and STDDEV_SAMP over raw readings, rounded to
+six decimals like the catalog's results (sums of doubles depend on their order
+in the last digits).
 """
 
 from __future__ import annotations
@@ -68,47 +69,37 @@ q AS (SELECT qf.*, flags = '' AS is_valid,
              CAST(CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ',', '')) + 1 END
                   AS INTEGER) AS n_flags FROM qf)"""
 
-SILVER = f"""{TEL},{REG},{QF},
-silver AS (SELECT q.*, reg.site_name, reg.region, reg.owner_team, reg.sla_tier
-           FROM q LEFT JOIN reg USING (device_id))"""
-
 # Bronze deliveries: every event once, events with id % 20 = 0 a second time
-# at offset + 1,000,000; ids with id % 97 = 0 carry broken JSON text.
+# at offset + 2^40; ids with id % 97 = 0 carry broken JSON text.
 DELIVERIES = f"""{TEL},
 deliv AS (
   SELECT tel.*, n_id % 97 = 0 AS broken FROM tel
   UNION ALL
-  SELECT * REPLACE (kafka_offset + 1000000 AS kafka_offset), n_id % 97 = 0 AS broken
+  SELECT * REPLACE (kafka_offset + 1099511627776 AS kafka_offset), n_id % 97 = 0 AS broken
   FROM tel WHERE n_id % 20 = 0
 )"""
 
+# Silver as batch and streaming upsert leave it: well-formed deliveries, first
+# delivery of each event, enriched.
+SILVER = f"""{DELIVERIES},{REG},
+ok AS (SELECT d.*, {FLAGS} AS flags FROM deliv d WHERE NOT broken),
+firsts AS (
+  SELECT *, flags = '' AS is_valid FROM ok
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset, kafka_partition) = 1),
+silver AS (SELECT firsts.*, reg.site_name, reg.region, reg.owner_team, reg.sla_tier
+           FROM firsts LEFT JOIN reg USING (device_id))"""
+
 SCALAR = """kafka_key, kafka_partition, kafka_offset, kafka_timestamp, event_date, event_id,
   device_id, device_type, timestamp_utc, latitude, longitude, temperature_c, humidity_pct,
   pressure_hpa, battery_pct, firmware_version, anomaly_flag, event_timestamp"""
 
 
-def cents(x: str) -> str:
-    return f"CAST(floor({x} * {D(100)} + {D(0.5)}) AS BIGINT)"
-
-
-def exact_avg(x: str) -> str:
-    return (f"CASE WHEN COUNT({x}) > 0 THEN CAST(SUM({cents(x)}) AS DOUBLE) / {D(100)} "
-            f"/ COUNT({x}) END")
-
+def avg(x: str) -> str:
+    return f"round(AVG({x}), 6)"
 
-def mean_m(n: str, s1: str) -> str:
-    return f"CASE WHEN {n} > 0 THEN CAST({s1} AS DOUBLE) / {D(100)} / {n} END"
 
-
-def std_m(n: str, s1: str, s2: str) -> str:
-    return (f"CASE WHEN {n} > 1 THEN sqrt(CAST(CAST({n} AS HUGEINT) * {s2} - "
-            f"CAST({s1} AS HUGEINT) * {s1} AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE)) "
-            f"/ {D(100)} END")
-
-
-def moments(x: str, p: str) -> str:
-    return (f"COUNT({x}) AS {p}_n, SUM({cents(x)}) AS {p}_s1, "
-            f"SUM(CAST({cents(x)} AS HUGEINT) * {cents(x)}) AS {p}_s2")
+def std(x: str) -> str:
+    return f"round(STDDEV_SAMP({x}), 6)"
 
 
 SQL: dict[str, str] = {}
@@ -140,10 +131,10 @@ FROM firsts LEFT JOIN reg USING (device_id)"""
 SQL["gold_kpis"] = f"""WITH {SILVER}
 SELECT device_id, device_type, region, sla_tier,
        COUNT(*) AS event_count,
-       {exact_avg('temperature_c')} AS avg_temp_c,
+       {avg('temperature_c')} AS avg_temp_c,
        MAX(temperature_c) AS max_temp_c, MIN(temperature_c) AS min_temp_c,
-       {exact_avg('humidity_pct')} AS avg_humidity,
-       {exact_avg('battery_pct')} AS avg_battery,
+       {avg('humidity_pct')} AS avg_humidity,
+       {avg('battery_pct')} AS avg_battery,
        MIN(battery_pct) AS min_battery,
        CAST(SUM(CAST(anomaly_flag AS INTEGER)) AS BIGINT) AS anomaly_count,
        COUNT(DISTINCT firmware_version) AS firmware_versions,
@@ -160,10 +151,10 @@ ASA_END_1 = ("time_bucket(INTERVAL 1 MINUTE, event_timestamp - INTERVAL 1 MICROS
 SQL["asa_tumbling"] = f"""WITH {TEL}
 SELECT {ASA_END_1} AS window_end, {ASA_END_1} - INTERVAL 1 MINUTE AS window_start, device_type,
        COUNT(*) AS event_count,
-       {exact_avg('temperature_c')} AS avg_temperature_c,
+       {avg('temperature_c')} AS avg_temperature_c,
        MAX(temperature_c) AS max_temperature_c, MIN(temperature_c) AS min_temperature_c,
-       {exact_avg('humidity_pct')} AS avg_humidity_pct,
-       {exact_avg('battery_pct')} AS avg_battery_pct,
+       {avg('humidity_pct')} AS avg_humidity_pct,
+       {avg('battery_pct')} AS avg_battery_pct,
        CAST(SUM(CAST(anomaly_flag AS BIGINT)) AS BIGINT) AS anomaly_count,
        round({D(100)} * CAST(SUM(CAST(anomaly_flag AS BIGINT)) AS DOUBLE) / NULLIF(COUNT(*), 0), 2)
          AS anomaly_rate_pct
@@ -177,16 +168,14 @@ hop AS (
   WHERE event_timestamp IS NOT NULL),
 agg AS (
   SELECT window_end, device_id, device_type, COUNT(*) AS event_count,
-         {moments('temperature_c', 't')},
+         {avg('temperature_c')} AS avg_temp_c, {std('temperature_c')} AS stddev_temp_c,
          MAX(temperature_c) AS max_temp_c, MIN(temperature_c) AS min_temp_c,
-         {exact_avg('pressure_hpa')} AS avg_pressure_hpa,
+         {avg('pressure_hpa')} AS avg_pressure_hpa,
          MIN(battery_pct) AS min_battery_pct,
          CAST(SUM(CAST(anomaly_flag AS BIGINT)) AS BIGINT) AS anomaly_count
   FROM hop GROUP BY window_end, device_id, device_type)
 SELECT window_end, window_end - INTERVAL 5 MINUTE AS window_start, device_id, device_type,
-       event_count, {mean_m('t_n', 't_s1')} AS avg_temp_c,
-       {std_m('t_n', 't_s1', 't_s2')} AS stddev_temp_c,
-       max_temp_c, min_temp_c, avg_pressure_hpa, min_battery_pct, anomaly_count
+       event_count, avg_temp_c, stddev_temp_c, max_temp_c, min_temp_c, avg_pressure_hpa, min_battery_pct, anomaly_count
 FROM agg"""
 
 SQL["asa_alerts"] = f"""WITH {TEL}
@@ -227,18 +216,12 @@ SELECT device_id, last_seen,
 FROM last, mx"""
 
 ROLLING = f"""
-pm AS (
-  SELECT device_id, date_trunc('minute', event_timestamp) AS minute,
-         {moments('temperature_c', 't')}
-  FROM silver WHERE event_timestamp IS NOT NULL GROUP BY 1, 2),
-win AS (
-  SELECT device_id, minute - INTERVAL (h) MINUTE AS window_start,
-         SUM(t_n) AS n, SUM(t_s1) AS s1, SUM(t_s2) AS s2
-  FROM pm, unnest(generate_series(0, 9)) AS g(h) GROUP BY 1, 2),
 stats AS (
-  SELECT device_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
-         {mean_m('n', 's1')} AS rolling_avg_temp, {std_m('n', 's1', 's2')} AS rolling_std_temp
-  FROM win),
+  SELECT device_id, date_trunc('minute', event_timestamp) - INTERVAL (h) MINUTE AS window_start,
+         date_trunc('minute', event_timestamp) - INTERVAL (h) MINUTE + INTERVAL 10 MINUTE AS window_end,
+         AVG(temperature_c) AS rolling_avg_temp, STDDEV_SAMP(temperature_c) AS rolling_std_temp
+  FROM silver, unnest(generate_series(0, 9)) AS g(h)
+  WHERE event_timestamp IS NOT NULL GROUP BY 1, 2, 3),
 rj AS (
   SELECT s.*, r.window_start, r.window_end, r.rolling_avg_temp, r.rolling_std_temp,
          abs(s.temperature_c - r.rolling_avg_temp) > 3 * r.rolling_std_temp AS stat
@@ -252,15 +235,15 @@ TRIGGER = """CASE WHEN anomaly_flag AND coalesce(stat, false) THEN 'BOTH'
 
 SQL["alerts_range"] = f"""WITH {SILVER},{ROLLING}
 SELECT event_id, device_id, device_type, region, event_timestamp, temperature_c,
-       rolling_avg_temp, rolling_std_temp, anomaly_flag AS model_anomaly_flag,
-       'statistical_outlier' AS detection_method, {TRIGGER} AS trigger, window_start, window_end
+       round(rolling_avg_temp, 6) AS rolling_avg_temp, round(rolling_std_temp, 6) AS rolling_std_temp,
+       anomaly_flag AS model_anomaly_flag, 'statistical_outlier' AS detection_method, {TRIGGER} AS trigger, window_start, window_end
 FROM al"""
 
 SQL["alerts_per_event"] = f"""WITH {SILVER},{ROLLING}
 SELECT event_id, device_id, device_type, region, event_timestamp, temperature_c,
        anomaly_flag AS model_anomaly_flag, COUNT(*) AS alert_windows,
        COUNT(*) FILTER (WHERE coalesce(stat, false)) AS stat_windows,
-       MAX(abs(temperature_c - rolling_avg_temp)) AS max_abs_dev,
+       round(MAX(abs(temperature_c - rolling_avg_temp)), 6) AS max_abs_dev,
        CASE WHEN anomaly_flag AND COUNT(*) FILTER (WHERE coalesce(stat, false)) > 0 THEN 'BOTH'
             WHEN anomaly_flag THEN 'MODEL'
             WHEN COUNT(*) FILTER (WHERE coalesce(stat, false)) > 0 THEN 'STATISTICAL' END AS trigger
@@ -268,18 +251,16 @@ FROM al GROUP BY event_id, device_id, device_type, region, event_timestamp, temp
                  anomaly_flag"""
 
 SQL["alerts_trailing"] = f"""WITH {SILVER},
-tr AS (
-  SELECT *, COUNT(temperature_c) OVER w AS trailing_n,
-         SUM({cents('temperature_c')}) OVER w AS s1,
-         SUM(CAST({cents('temperature_c')} AS HUGEINT) * {cents('temperature_c')}) OVER w AS s2
+st AS (
+  SELECT *, COUNT(temperature_c) OVER w AS trailing_n, AVG(temperature_c) OVER w AS trailing_avg_temp,
+         STDDEV_SAMP(temperature_c) OVER w AS trailing_std_temp
   FROM silver WHERE event_timestamp IS NOT NULL
   WINDOW w AS (PARTITION BY device_id ORDER BY event_timestamp
                RANGE BETWEEN INTERVAL 10 MINUTE PRECEDING AND CURRENT ROW)),
-st AS (SELECT *, {mean_m('trailing_n', 's1')} AS trailing_avg_temp,
-              {std_m('trailing_n', 's1', 's2')} AS trailing_std_temp FROM tr),
 al AS (SELECT *, abs(temperature_c - trailing_avg_temp) > 3 * trailing_std_temp AS stat FROM st)
 SELECT event_id, device_id, device_type, region, event_timestamp, temperature_c, trailing_n,
-       trailing_avg_temp, trailing_std_temp, anomaly_flag AS model_anomaly_flag,
+       round(trailing_avg_temp, 6) AS trailing_avg_temp, round(trailing_std_temp, 6) AS trailing_std_temp,
+       anomaly_flag AS model_anomaly_flag,
        {TRIGGER} AS trigger
 FROM al WHERE anomaly_flag OR stat"""
 
@@ -356,13 +337,13 @@ SELECT layer, actual_sec, target_sec,
             ELSE 'red' END AS status
 FROM l"""
 
-SQL["event_log"] = f"""WITH {DELIVERIES},{REG},{QF},
+SQL["event_log"] = f"""WITH {SILVER},
 lg AS (
   SELECT kafka_timestamp AS log_time, 'ALERT' AS badge, event_id AS ref,
          'alert on ' || device_id AS message
-  FROM q WHERE anomaly_flag OR temperature_c > 80 OR temperature_c < -20 OR battery_pct < 10
+  FROM silver WHERE anomaly_flag OR temperature_c > 80 OR temperature_c < -20 OR battery_pct < 10
   UNION ALL
-  SELECT kafka_timestamp, 'WARN', event_id, flags || ' on ' || device_id FROM q WHERE NOT is_valid
+  SELECT kafka_timestamp, 'WARN', event_id, flags || ' on ' || device_id FROM silver WHERE NOT is_valid
   UNION ALL
   SELECT kafka_timestamp, 'ERROR', 'offset-' || CAST(kafka_offset AS VARCHAR),
          'dead letter MALFORMED_JSON' FROM deliv WHERE broken)
@@ -436,21 +417,11 @@ SELECT event_id, device_id, event_timestamp, event_date, temperature_c, humidity
        battery_pct, is_valid, region FROM silver"""
 
 
-# Silver as the streaming upsert leaves it: well-formed deliveries, first
-# delivery of each event, enriched.
-SILVER_STREAMED = f"""{DELIVERIES},{REG},
-ok AS (SELECT d.*, {FLAGS} AS flags FROM deliv d WHERE NOT broken),
-firsts AS (
-  SELECT *, flags = '' AS is_valid FROM ok
-  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset, kafka_partition) = 1),
-silver AS (SELECT firsts.*, reg.site_name, reg.region, reg.owner_team, reg.sla_tier
-           FROM firsts LEFT JOIN reg USING (device_id))"""
-
-SQL["silver_stream"] = f"""WITH {SILVER_STREAMED}
+SQL["silver_stream"] = f"""WITH {SILVER}
 SELECT event_id, device_id, kafka_partition, kafka_offset, event_date, is_valid, region
 FROM silver"""
 
-SQL["gold_kpis_stream"] = SQL["gold_kpis"].replace(f"WITH {SILVER}", f"WITH {SILVER_STREAMED}")
+SQL["gold_kpis_stream"] = SQL["gold_kpis"]
 
 
 
@@ -462,20 +433,16 @@ def _on_deliveries(sql: str) -> str:
     return f"WITH {DELIVERIES},\nfeed AS (SELECT * FROM deliv WHERE NOT broken)" + body
 
 
-SQL["asa_alerts_stream"] = _on_deliveries(SQL["asa_alerts"])
-SQL["asa_sessions_stream"] = _on_deliveries(SQL["asa_sessions"])
+for _name in ("asa_tumbling", "asa_hopping", "asa_alerts", "asa_sessions"):
+    SQL[_name] = SQL[f"{_name}_stream"] = _on_deliveries(SQL[_name])
 
 # Streaming alerts use half-open windows [start, end): each event meets the
 # ten windows that contain it.
 SQL["alerts_stream"] = (SQL["alerts_range"]
-                        .replace(f"WITH {SILVER}", f"WITH {SILVER_STREAMED}")
                         .replace("s.event_timestamp BETWEEN r.window_start AND r.window_end",
                                  "s.event_timestamp >= r.window_start "
                                  "AND s.event_timestamp < r.window_end"))
 
-SQL["asa_tumbling_stream"] = _on_deliveries(SQL["asa_tumbling"])
-SQL["asa_hopping_stream"] = _on_deliveries(SQL["asa_hopping"])
-
 SQL["bronze_schema_evolution"] = f"""WITH {DELIVERIES}
 SELECT kafka_partition, kafka_offset, kafka_timestamp, event_date,
        CASE WHEN kafka_timestamp >= TIMESTAMP '2024-01-01 03:00:00' THEN 2 END AS schema_version

@@ -25,7 +25,7 @@ TOPIC = "telemetry-events"
 HUB_PARTITIONS = 32
 MALFORMED_EVERY = 97                   # event_id % 97 = 0 -> broken JSON text
 DUPLICATE_EVERY = 20                   # event_id % 20 = 0 -> delivered twice
-DUPLICATE_OFFSET = 1_000_000           # offset of the second delivery
+DUPLICATE_OFFSET = 1 << 40             # added to the offset of the second delivery
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -85,26 +85,12 @@ PAYLOAD_FIELDS = ["event_id", "device_id", "device_type", "timestamp_utc", "lati
                   "battery_pct", "firmware_version", "anomaly_flag", "payload"]
 
 
-def _scan_partitions(df: DataFrame) -> int:
-    """Number of scan partitions Spark plans for ``df`` (planning only, no
-    job); unknown under Spark Connect, where the input is treated as small."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return 0
-
-
 def kafka_records(events: DataFrame) -> DataFrame:
     """Kafka-protocol records (key, value, topic, partition, offset,
     timestamp) as the hub would deliver them, including broken JSON text and
     a second delivery of some events (at-least-once)."""
-    # A hub source hands Spark at least one task per topic partition.  A
-    # small input (one row group = one scan task) is spread the same way
-    # (hash of the offset keeps it deterministic); a large input is already
-    # split into many scan tasks and is not shuffled.
-    t = telemetry(events)
-    if _scan_partitions(events) < HUB_PARTITIONS:
-        t = t.repartition(HUB_PARTITIONS, "kafka_offset")
+    # spread over tasks by offset, as a hub source would deliver its partitions
+    t = telemetry(events).repartition("kafka_offset")
     eid = F.col("kafka_offset")
     good = F.to_json(F.struct(*PAYLOAD_FIELDS))
     broken = F.concat(F.lit('{"event_id": "'), F.col("event_id"), F.lit('", "device_id": '))

@@ -9,6 +9,7 @@ stopped and a replayed micro-batch does not duplicate rows.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from contextlib import contextmanager
 from urllib.parse import urlparse
 
@@ -72,37 +73,30 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def target_keys(spark: SparkSession, silver_path: str, batch_id: int,
-                lookback_days: int | None = None, since: str | None = None) -> DataFrame:
-    """event_ids already in Silver, excluding micro-batch ``batch_id``.
+def target_keys(spark: SparkSession, silver_path: str, batch_id: int) -> DataFrame:
+    """event_ids already in Silver, excluding micro-batch ``batch_id``.  Only
+    the key column is read; the whole key history counts."""
+    return (spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_path)
+            .where(F.col("batch_id") != F.lit(batch_id)).select("event_id"))
 
-    Only the key column is read.  With ``lookback_days`` the read is limited
-    to ``event_date`` partitions from ``since`` minus that many days
-    (partition pruning): redeliveries of an event reach the hub close in
-    time, so this bounds the per-batch scan on a large table.  Without it
-    the whole key history is checked (exact)."""
-    t = (spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_path)
-         .where(F.col("batch_id") != F.lit(batch_id)))
-    if lookback_days is not None and since is not None:
-        t = t.where(F.col("event_date") >= F.date_format(
-            F.date_sub(F.lit(since).cast("date"), lookback_days), "yyyy-MM-dd"))
-    return t.select("event_id")
 
+Registry = DataFrame | Callable[[], DataFrame]
 
-def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFrame,
-                        lookback_days: int | None = None):
+
+def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registry):
     """foreachBatch function: parse + validate + flag + enrich the batch,
     drop in-batch duplicates, insert only event_ids the table does not hold.
 
+    ``registry``: a table, or a function that reads it; the function is called
+    for each micro-batch, so a snapshot that was replaced in the meantime is
+    seen by the next batch.
+
     The batch lands in ``batch_id=N`` with dynamic partition overwrite, and
     the anti-join reads every batch except N: a replayed batch rewrites its
     own output instead of adding to it."""
     def upsert(batch_df: DataFrame, batch_id: int) -> None:
-        since = None
-        if lookback_days is not None:
-            since = batch_df.agg(F.min("event_date")).first()[0]
-        target = target_keys(spark, silver_path, batch_id, lookback_days, since)
-        fresh = (silver_upsert_rows(batch_df, registry, target)
+        devices = registry() if callable(registry) else registry
+        fresh = (silver_upsert_rows(batch_df, devices, target_keys(spark, silver_path, batch_id))
                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (fresh.select(*SILVER_TABLE_SCHEMA.fieldNames()).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
@@ -110,12 +104,12 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: DataFra
     return upsert
 
 
-def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, registry: DataFrame,
-                 checkpoint: str, available_now: bool = False, lookback_days: int | None = None):
+def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, registry: Registry,
+                 checkpoint: str, available_now: bool = False):
     """Bronze table (as a stream) -> Silver via foreachBatch upsert."""
     ensure_table(spark, silver_path, SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
     bronze = table_stream(spark, bronze_path, BRONZE_SCHEMA)
-    fn = silver_upsert_batch(spark, silver_path, registry, lookback_days)
+    fn = silver_upsert_batch(spark, silver_path, registry)
     w = (bronze.writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, "silver", available_now).start()

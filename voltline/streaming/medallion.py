@@ -15,22 +15,28 @@ def start_pipeline(spark: SparkSession, records: DataFrame | None = None,
                    cfg: PipelineConfig | None = None, available_now: bool = False):
     """Bronze, Silver, Gold KPIs and Gold alerts as four streaming queries.
     Tables are created empty first, so downstream readers can start before
-    upstream data lands."""
+    upstream data lands; the registry is read again for each micro-batch."""
     cfg = cfg or PipelineConfig.from_spark(spark)
     records = records if records is not None else hub_stream(spark)
-    registry = read_registry(spark, cfg.registry_path, cfg.registry_format)
     jobs.ensure_table(spark, cfg.silver, jobs.SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
     ck = cfg.checkpoints
+
+    def registry():
+        return read_registry(spark, cfg.registry_path, cfg.registry_format)
+
+    starts = [
+        lambda: jobs.start_bronze(records, cfg.bronze, f"{ck}/bronze", available_now),
+        lambda: jobs.start_silver(spark, cfg.bronze, cfg.silver, registry, f"{ck}/silver", available_now),
+        lambda: jobs.start_gold_kpis(spark, cfg.silver, cfg.gold_kpis, f"{ck}/gold_kpis", available_now),
+        lambda: jobs.start_alerts(spark, cfg.silver, cfg.gold_alerts, f"{ck}/gold_alerts", available_now),
+    ]
+    queries = []
     with jobs.stream_partitions(spark):
-        return [
-            jobs.start_bronze(records, cfg.bronze, f"{ck}/bronze", available_now),
-            jobs.start_silver(spark, cfg.bronze, cfg.silver, registry, f"{ck}/silver",
-                              available_now),
-            jobs.start_gold_kpis(spark, cfg.silver, cfg.gold_kpis, f"{ck}/gold_kpis",
-                                 available_now),
-            jobs.start_alerts(spark, cfg.silver, cfg.gold_alerts, f"{ck}/gold_alerts",
-                              available_now),
-        ]
+        for i, start in enumerate(starts):
+            queries.append(start())
+            if available_now and i < 2:  # a bounded run lands upstream before downstream starts
+                queries[-1].awaitTermination()
+    return queries
 
 
 def run_forever(spark: SparkSession) -> None:
