@@ -31,7 +31,7 @@ def test_merged_moments(spark, values):
 
 
 def test_odd_readings_do_not_fail(spark):
-    rows = [(f"e{i}", "d1", f"2024-01-01T00:00:0{i}+00:00", v, i == 5)
+    rows = [(f"e{i}", "d1", f"2024-01-01T00:00:0{i + 1}+00:00", v, i == 5)
             for i, v in enumerate([1e12, 3e7, float("nan"), float("inf"), float("inf"), 2.0])]
     rows.append(("timeless", "d1", "garbage", 20.0, True))
     tel = telemetry_rows(spark, rows).withColumn("kafka_timestamp", F.col("event_timestamp"))

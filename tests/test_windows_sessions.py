@@ -36,7 +36,7 @@ def test_chunked_sessions_match_native(spark):
         t += rnd.choice([1, 30, 200, 299, 300, 301, 900])
         rows.append((("hot" if i % 3 else f"d{i % 5}"), base + dt.timedelta(seconds=t)))
     df = spark.createDataFrame(rows, "device_id string, event_timestamp timestamp")
-    mine = sessionize(df, chunk_seconds=600).select(
+    mine = sessionize(df).select(
         "device_id", "session_start", "session_end", "events_in_session")
     native = (df.groupBy("device_id", F.session_window("event_timestamp", "5 minutes"))
               .agg(F.min("event_timestamp").alias("session_start"),
