@@ -39,12 +39,12 @@ from voltline.llm.common import U64, bounded_batches, mix, text_hash
 
 WORD = re.compile(r"\w+")
 SIMILARITY = 0.75  # 1 - edits / words of the item
-RECALL = 0.99
+RECALL = 0.995
 SAMPLED = 3  # positions of an embedding that a key samples
 BLOCK = 10_000  # items broadcast at once
 MIN_WORDS = 8
 RATIO = 1.2  # largest by smallest item size of a class
-TRIALS = 400  # simulated edits for the number of repetitions
+TRIALS, REPEATED = 12, 32  # edits of each item, and walks on each, that measure the number of repetitions
 SEED = 20_240_601
 SIEVE_BITS = 20
 SPREAD, SHIFT = U64(0x9E3779B97F4A7C15), U64(64 - SIEVE_BITS)
@@ -83,6 +83,22 @@ def best_place(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), int(origin[end])
 
 
+@dataclass
+class Lsh:
+    """Repetitions of a random walk and its sampled steps."""
+
+    salts: np.ndarray  # repetition x step: seeds of the step functions
+    rows: list[np.ndarray]  # by step: the repetitions that sample it
+
+    @classmethod
+    def draw(cls, count: int, window: int, rng: np.random.Generator) -> Lsh:
+        steps = max(SAMPLED, int(1.5 * window))
+        sampled = np.array([rng.choice(steps, SAMPLED, replace=False) for _ in range(count)])
+        last = int(sampled.max()) + 1
+        return cls(rng.integers(1 << 63, size=(count, last), dtype=np.uint64),
+                   [np.flatnonzero((sampled == step).any(axis=1)) for step in range(last)])
+
+
 @dataclass
 class SizeClass:
     """Items of similar size: what is known of them, and their LSH tables."""
@@ -92,9 +108,8 @@ class SizeClass:
     reach: int  # positions that a window of the largest item and its edits has
     window: int  # words that are embedded
     grams: np.ndarray
-    walks: list[np.ndarray]
-    samples: list[np.ndarray]
-    tables: list[tuple[np.ndarray, np.ndarray]]  # sorted keys, item numbers
+    tables: list[tuple[np.ndarray, np.ndarray]]  # by repetition: sorted keys, item numbers
+    lsh: Lsh | None = None
 
 
 class Matcher:
@@ -126,47 +141,42 @@ class Matcher:
             out = out * U64(self.base) + ids[j:j + n].astype(U64)
         return out
 
-    def embed(self, ids: np.ndarray, starts: np.ndarray, window: int, walk: np.ndarray,
-              sample: np.ndarray) -> np.ndarray:
-        """LSH keys of the windows at ``starts``: the walk's words at the sampled steps."""
-        at, stop, key = starts.copy(), np.minimum(starts + window, len(ids)), np.zeros(len(starts), U64)
-        wanted = set(sample.tolist())
-        for step in range(int(sample.max()) + 1):
-            word = np.where(at < stop, ids[np.minimum(at, len(ids) - 1)], -1)
-            if step in wanted:
-                key = mix(key ^ word.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(step))
-            at += walk[step, word]
+    def embed(self, ids: np.ndarray, starts: np.ndarray, stops: np.ndarray, lsh: Lsh) -> np.ndarray:
+        """LSH keys by (repetition, window): the words that each walk reads at
+        its sampled steps; past the end of a window it reads -1."""
+        at = np.repeat(starts[None, :], len(lsh.salts), axis=0)
+        key = np.zeros(at.shape, U64)
+        for step, rows in enumerate(lsh.rows):
+            word = np.where(at < stops, ids[np.minimum(at, len(ids) - 1)], -1).astype(U64) * SPREAD
+            if len(rows):
+                key[rows] = mix(key[rows] ^ word[rows] + U64(step))
+            at += (mix(word ^ lsh.salts[:, step, None]) & U64(1)).astype(np.int64)
         return key
 
     def _class(self, members: list[int], rng: np.random.Generator) -> SizeClass:
-        sizes = [len(self.items[j]) for j in members]
+        items = [self.items[j] for j in members]
+        sizes = [len(x) for x in items]
         window = min(sizes)
         q = min(max(1, n // (edits_allowed(n) + 1)) for n in sizes)
         need = max(1, min(n - q + 1 - q * edits_allowed(n) for n in sizes))
         c = SizeClass(q, need, max(n + edits_allowed(n) for n in sizes) - q + 1, window,
-                      np.unique(np.concatenate([self.grams(self.items[j], q) for j in members])), [], [], [])
-
-        def draw() -> tuple[np.ndarray, np.ndarray]:
-            # base + 1 columns: word -1 (past the end) reads the last
-            return (rng.integers(0, 2, (3 * window, self.base + 1)),
-                    rng.choice(int(1.5 * window), min(SAMPLED, window), replace=False))
-
-        def key_of(ids: np.ndarray, walk, sample) -> np.ndarray:
-            return self.embed(ids, np.zeros(1, np.int64), window, walk, sample)[0]
-
-        # the chance that one repetition finds an item with all the edits that are allowed
-        met = 0
-        for t in range(TRIALS):
-            item = self.items[members[t % len(members)]]
-            walk, sample = draw()
-            met += bool(key_of(item, walk, sample) == key_of(self._edited(item, rng), walk, sample))
-        chance = max(met, 1) / TRIALS
-        for _ in range(max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - min(chance, 0.99))))):
-            walk, sample = draw()
-            keys = np.array([key_of(self.items[j], walk, sample) for j in members], U64)
+                      np.unique(np.concatenate([self.grams(x, q) for x in items])), [])
+
+        def keys_of(texts: list[np.ndarray], lsh: Lsh) -> np.ndarray:
+            ends = np.cumsum([len(x) for x in texts])
+            starts = ends - np.array([len(x) for x in texts])
+            return self.embed(np.concatenate(texts), starts, np.minimum(starts + window, ends), lsh)
+
+        # the chance that one repetition finds an item with all the edits that are
+        # allowed, of the items that are harder to find
+        met = np.zeros(len(items))
+        for _ in range(TRIALS):
+            lsh = Lsh.draw(REPEATED, window, rng)
+            met += (keys_of(items, lsh) == keys_of([self._edited(x, rng) for x in items], lsh)).mean(axis=0)
+        chance = min(max(float(np.quantile(met / TRIALS, 0.1)), 0.01), 0.99)
+        c.lsh = Lsh.draw(max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - chance))), window, rng)
+        for keys in keys_of(items, c.lsh):
             order = np.argsort(keys, kind="stable")
-            c.walks.append(walk)
-            c.samples.append(sample)
             c.tables.append((keys[order], np.array(members)[order]))
         return c
 
@@ -212,8 +222,8 @@ class Matcher:
             starts = self.starts(c, ids, known[c.q])
             if not len(starts):
                 continue
-            for walk, sample, (keys, numbers) in zip(c.walks, c.samples, c.tables, strict=True):
-                mine = self.embed(ids, starts, c.window, walk, sample)
+            found_keys = self.embed(ids, starts, np.minimum(starts + c.window, len(ids)), c.lsh)
+            for mine, (keys, numbers) in zip(found_keys, c.tables, strict=True):
                 lo, hi = np.searchsorted(keys, mine), np.searchsorted(keys, mine, "right")
                 for s, a, b in zip(starts[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
                     for j in numbers[a:b]:
