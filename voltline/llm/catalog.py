@@ -18,6 +18,7 @@ from voltline.llm import (
     substring,
 )
 from voltline.llm.common import table
+from voltline.llm.oracle import ORACLE_SQL
 from voltline.session import scratch_path
 
 ORDER_KEY = 20_240_601  # fixed value: key of the training order
@@ -69,9 +70,10 @@ def op10_reputation(spark: SparkSession, sf: str) -> DataFrame:
         F.col("doc_id").alias("page_id"),
         F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1)
         .when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), 0).alias("bad"))
-    return reputation.judge(table(spark, sf, "pages"), labels)
+    return reputation.judge(table(spark, sf, "pages"), labels).withColumn("lower", F.round("lower", 6))
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_packing, op4_secrets, op5_jaccard, op6_order,
                                    op7_quality, op8_langid, op9_substring, op10_reputation)}
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
