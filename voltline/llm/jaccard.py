@@ -15,6 +15,11 @@ Two set relations save most of the comparisons:
   of the Jaccard distance, entries whose distances to the pivot differ by more
   than 1 - t cannot link.
 
+Each set also has a signature, the parity of its hashes in ``BITS`` cells.  The
+bits in which two signatures differ are at most the shingles in which the sets
+differ, so a pair with too many of them cannot link and is not compared; its
+distance is known from below, which the triangle inequality can still use.
+
 For the pairs that neither relation answers, neighbours in changing orders of a
 list are compared first, a linear number for each of ``PROBES`` rounds, which
 joins groups of similar sets; a last round compares all that is still open.
@@ -63,6 +68,7 @@ RANGE = 400_000  # postings of one exchange block, about
 LONG_LIST = 100_000  # a list that is longer is dealt out in parts
 PROBES = 3  # rounds that compare neighbours before the last round
 PART = 4096  # entries of a list that one window orders, about
+BITS = 512  # of a signature, 64 to a long
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
 
 
@@ -80,19 +86,20 @@ def _binary(texts: pa.Array) -> list[bytes | None]:
 
 
 def set_sizes(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """doc_id, text_key, n, set_key (hash of the whole set; null if empty)."""
+    """doc_id, text_key, n, set_key (hash of the whole set; null if empty), sig (its signature)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, key = [], []
+            n, key, sig = [], [], []
             for s in shingle_sets(_binary(b.column(2)), k):
                 n.append(len(s))
                 key.append(_set_key(s) if len(s) else None)
+                sig.append(_signature(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary())],
-                ["doc_id", "text_key", "n", "set_key"])
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+                 pa.array(sig, pa.list_(pa.int64()))], ["doc_id", "text_key", "n", "set_key", "sig"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_key"), "text")
-            .mapInArrow(run, "doc_id long, text_key long, n long, set_key binary"))
+            .mapInArrow(run, "doc_id long, text_key long, n long, set_key binary, sig array<long>"))
 
 
 def _set_key(s: np.ndarray) -> bytes:
@@ -101,6 +108,20 @@ def _set_key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _signature(s: np.ndarray) -> np.ndarray:
+    odd = np.bincount((s % U64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _differ() -> Column:
+    """Shingles in which x and y differ, at least."""
+    return sum((F.bit_count(F.col("x.sig")[i].bitwiseXOR(F.col("y.sig")[i])) for i in range(BITS // 64)), F.lit(0))
+
+
+def _signatures_allow(percent: int) -> Column:
+    return (100 + percent) * _differ() <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+
+
 def _frequent(reps: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that some task met at least twice, the most frequent last, and
     how often such tasks met them."""
@@ -242,22 +263,34 @@ def _sets(reps: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return reps.select("rep", "text").join(sized(wanted), "rep", "left_semi").mapInArrow(run, "rep long, s array<long>")
 
 
-def _compared(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b, distance, linked: exact overlap of the pairs' sets."""
-    pairs = materialise(pairs, "pairs")
-    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "paired")
+def _compared(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b, lo, hi, linked: bounds of the pairs' distances; both are the exact
+    distance where the signatures allow a link."""
+    x, y = sigs.alias("x"), sigs.alias("y")
+    total = F.col("x.n") + F.col("y.n")
+    pairs = materialise(
+        pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
+        .select("a", "b", (1 - (total - _differ()) / (total + _differ())).alias("lo"),
+                _signatures_allow(percent).alias("close")), "pairs")
+    close = pairs.where("close").select("a", "b")
+    wanted = materialise(close.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "paired")
     sets = materialise(_sets(reps, wanted, k), "sets")
-    both = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
+    both = (close.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
             .join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a"))
     union = F.size("sa") + F.size("sb") - F.col("shared")
-    return materialise(both.withColumn("shared", F.size(F.array_intersect("sa", "sb")))
-                       .select("a", "b", (1 - F.col("shared") / union).alias("distance"),
-                               (100 * F.col("shared") >= percent * union).alias("linked")), "answers")
+    distance = 1 - F.col("shared") / union
+    exact = both.withColumn("shared", F.size(F.array_intersect("sa", "sb"))).select(
+        "a", "b", distance.alias("lo"), distance.alias("hi"),
+        (100 * F.col("shared") >= percent * union).alias("linked"))
+    far = pairs.where("not close").select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked"))
+    return materialise(exact.unionByName(far), "answers")
 
 
-def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERCENT,
+def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, percent: int = PERCENT,
                 long_list: int = LONG_LIST) -> DataFrame:
-    """node, component over representatives.  ``reps``: rep (unique long), text."""
+    """node, component over representatives.  ``reps``: rep (unique long), text;
+    ``sigs``: rep, n, sig."""
+    sigs = sized(sigs, BROADCAST_ROWS // 2)
     frequent, counts = _frequent(reps, k)
     is_long = counts > long_list
     order = np.argsort(frequent[is_long])
@@ -275,17 +308,17 @@ def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERC
     among = heads.join(least, "list_key").where("pivot != head.pivot").select(
         F.col("head.pivot").alias("a"), F.col("pivot").alias("b"))
     first = lists.where(F.col("kind") == PAIR).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-    answers = _compared(first.unionByName(among).distinct(), reps, k, percent)
+    answers = _compared(first.unionByName(among).distinct(), reps, sigs, k, percent)
     entries = lists.where(F.col("kind") == ENTRY)
     edges = answers.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
     # what the pivots left open
-    known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "distance")
+    known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "lo", "hi")
     entries = materialise(_open(entries, components(edges)).join(known, ["pivot", "rep"], "left"), "open-entries")
     for turn in range(PROBES):
         if entries.isEmpty():
             break
-        linked = _compared(_neighbours(entries, turn, percent), reps, k, percent).where("linked").select(
+        linked = _compared(_neighbours(entries, turn, percent), reps, sigs, k, percent).where("linked").select(
             F.col("a").alias("u"), F.col("b").alias("v"))
         edges = edges.unionByName(linked)
         entries = materialise(_open(entries.drop("component", "members"), components(edges)), "open-entries")
@@ -295,17 +328,18 @@ def linked_sets(reps: DataFrame, total: int, k: int = WORDS, percent: int = PERC
     mine = entries.groupBy(F.col("rep").alias("l_rep")).agg(
         F.transform(F.array_sort(F.collect_set(F.struct("pos", "list_key"))), lambda e: e["list_key"]).alias("lists"))
     entries = materialise(entries.join(mine, entries.rep == mine.l_rep).drop("l_rep"), "open-entries")
+    entries = entries.join(sigs.select("rep", "sig"), "rep")
     x, y = entries.alias("x"), entries.alias("y")
     first_shared = F.element_at(F.array_intersect("x.lists", "y.lists"), 1)
     one_pivot = F.col("x.pivot") == F.col("y.pivot")
-    apart = F.abs(F.col("x.distance") - F.col("y.distance")) > 1 - percent / 100 + 1e-9
+    apart = F.greatest(F.col("x.lo") - F.col("y.hi"), F.col("y.lo") - F.col("x.hi")) > 1 - percent / 100 + 1e-9
     answered = one_pivot & ((F.col("x.rep") == F.col("x.pivot")) | (F.col("y.rep") == F.col("y.pivot"))
                             | F.coalesce(apart, F.lit(False)))
     rest = (x.join(y, F.col("x.list_key") == F.col("y.list_key"))
             .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-                   & _may_link(percent) & ~answered & (first_shared == F.col("x.list_key")))
+                   & _may_link(percent) & _signatures_allow(percent) & ~answered & (first_shared == F.col("x.list_key")))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    more = _compared(rest, reps, k, percent).where("linked").select(
+    more = _compared(rest, reps, sigs, k, percent).where("linked").select(
         F.col("a").alias("u"), F.col("b").alias("v"))
     return components(edges.unionByName(more))
 
@@ -370,13 +404,13 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
     # one representative for each distinct set
     classes = materialise(rows.where("n > 0").groupBy("set_key").agg(
         F.min(F.struct("doc_id", "text_key")).alias("one"),
-        F.min("doc_id").alias("least"), F.max("n").alias("n"))
+        F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("sig").alias("sig"))
         .withColumn("rep", F.monotonically_increasing_id()), "set-classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     chosen = classes.select(F.col("one.doc_id").alias("c_doc_id"), F.col("one.text_key").alias("c_text_key"), "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_key"), "text")
     reps = _representatives(rows, texts, chosen)
-    parts = linked_sets(reps, total, k, percent, long_list)
+    parts = linked_sets(reps, classes.select("rep", "n", "sig"), total, k, percent, long_list)
     # smallest doc_id of each component, then of each class, then of each row
     ids = classes.join(parts, classes.rep == parts.node, "left").withColumn(
         "component", F.coalesce("component", "rep"))
