@@ -21,8 +21,9 @@ differ, so a pair with too many of them cannot link and is not compared; its
 distance is known from below, which the triangle inequality can still use.
 
 For the pairs that neither relation answers, neighbours in changing orders of a
-list are compared first, a linear number for each of ``PROBES`` rounds, which
-joins groups of similar sets; a last round compares all that is still open.
+list are compared first, a linear number in each of at most ``PROBES`` rounds,
+for as long as they link many; this joins groups of similar sets.  A last round
+compares all that is still open.
 The result is exact on the hashed sets: every link between different sets is
 either compared, or implied by a shared component.
 
@@ -60,13 +61,14 @@ from voltline.llm.common import (
     sized,
     text_hash,
 )
-from voltline.llm.graph import components
+from voltline.llm.graph import components, merged
 
 WORDS = 5
 PERCENT = 75
 RANGE = 400_000  # postings of one exchange block, about
 LONG_LIST = 100_000  # a list that is longer is dealt out in parts
-PROBES = 3  # rounds that compare neighbours before the last round
+PROBES = 3  # rounds that compare neighbours before the last round, at most
+YIELD = 16  # such a round is the last if it links fewer than one in so many open entries
 PART = 4096  # entries of a list that one window orders, about
 BITS = 512  # of a signature, 64 to a long
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
@@ -310,18 +312,23 @@ def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, pe
     first = lists.where(F.col("kind") == PAIR).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     answers = _compared(first.unionByName(among).distinct(), reps, sigs, k, percent)
     entries = lists.where(F.col("kind") == ENTRY)
-    edges = answers.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = components(answers.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     # what the pivots left open
     known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "lo", "hi")
-    entries = materialise(_open(entries, components(edges)).join(known, ["pivot", "rep"], "left"), "open-entries")
+    entries = materialise(_open(entries, found).join(known, ["pivot", "rep"], "left"), "open-entries")
     for turn in range(PROBES):
-        if entries.isEmpty():
-            break
+        still = entries.count()
+        if not still:
+            return found
         linked = _compared(_neighbours(entries, turn, percent), reps, sigs, k, percent).where("linked").select(
             F.col("a").alias("u"), F.col("b").alias("v"))
-        edges = edges.unionByName(linked)
-        entries = materialise(_open(entries.drop("component", "members"), components(edges)), "open-entries")
+        links = linked.count()
+        if links:
+            found = merged(found, linked)
+            entries = materialise(_open(entries.drop("component", "members"), found), "open-entries")
+        if links * YIELD < still:
+            break
 
     # last round: every pair of entries of one list in different components; a
     # pair with several lists is taken from the first one it shares
@@ -341,7 +348,7 @@ def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, pe
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     more = _compared(rest, reps, sigs, k, percent).where("linked").select(
         F.col("a").alias("u"), F.col("b").alias("v"))
-    return components(edges.unionByName(more))
+    return merged(found, more)
 
 
 def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
