@@ -49,12 +49,14 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans become a mark; n_chars follows the text."""
-    found = secrets.find_secrets(docs, carry=tuple(docs.columns))
-    text = F.when(F.size("spans") == 0, F.col("carry_text")).otherwise(
-        secrets.redacted(F.col("text"), F.col("spans")))
-    masked = {"text": text, "n_chars": F.when(F.size("spans") == 0, F.col("carry_n_chars")).otherwise(
-        F.length(text)).cast("long")} if "n_chars" in docs.columns else {"text": text}
-    return found.select(*(masked.get(c, F.col(f"carry_{c}")).alias(c) for c in docs.columns))
+    found = secrets.find_secrets(docs, carry=tuple(docs.columns)).withColumn("hit", F.size("spans") > 0)
+    found = found.withColumn("masked", F.when(F.col("hit"), secrets.redacted(F.col("text"), F.col("spans")))
+                             .otherwise(F.col("carry_text")))
+    # the length is taken from the masked column itself
+    of = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        of["n_chars"] = F.when(F.col("hit"), F.length("masked")).otherwise(F.col("carry_n_chars")).cast("long")
+    return found.select(*(of.get(c, F.col(f"carry_{c}")).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
