@@ -31,6 +31,23 @@ def test_registry_is_read_for_each_batch(spark, tmp_path):
     assert "MOVED" not in regions[0] and regions[1] == {"MOVED"}
 
 
+def test_replay_of_a_landed_batch_keeps_its_files(spark, tmp_path):
+    """A stream that has read the files must not meet them again under new names."""
+    from voltline.operators.bronze import project_bronze
+    from voltline.streaming import jobs
+
+    silver, landed = str(tmp_path / "silver"), str(tmp_path / "landed")
+    jobs.ensure_table(spark, silver, jobs.SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
+    upsert = jobs.silver_upsert_batch(spark, silver, I.registry(spark, SF_SMALL), landed)
+    bronze = project_bronze(fixture.kafka_records(I.events(spark, SF_SMALL)))
+    early = F.col("kafka_offset") % 2 == 0
+    files = []
+    for batch, rows in ((0, bronze.where(early)), (0, bronze.where(early)), (1, bronze.where(~early))):
+        upsert(rows, batch)
+        files.append(set(spark.read.schema(jobs.SILVER_TABLE_SCHEMA).parquet(silver).inputFiles()))
+    assert files[0] == files[1] < files[2]
+
+
 def test_compact_table_preserves_rows_and_clusters(spark, tmp_path):
     src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
     s = I.silver(spark, SF_SMALL).select("event_id", "device_id", "event_timestamp", "event_date")

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,7 +84,16 @@ def target_keys(spark: SparkSession, silver_path: str, batch_id: int) -> DataFra
 Registry = DataFrame | Callable[[], DataFrame]
 
 
-def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registry):
+def _landed(spark: SparkSession, marker: str) -> bool:
+    try:
+        return not spark.read.parquet(marker).isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+
+
+def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registry, landed: str | None = None):
     """foreachBatch function: parse + validate + flag + enrich the batch,
     drop in-batch duplicates, insert only event_ids the table does not hold.
 
@@ -93,14 +103,24 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registr
 
     The batch lands in ``batch_id=N`` with dynamic partition overwrite, and
     the anti-join reads every batch except N: a replayed batch rewrites its
-    own output instead of adding to it."""
+    own output instead of adding to it.
+
+    ``landed``: folder for a mark of every batch that is complete.  A replay
+    of a marked batch keeps its files, so a stream that has read them does not
+    meet them again under new names.  Only a failure between the table's write
+    and the mark still rewrites files."""
     def upsert(batch_df: DataFrame, batch_id: int) -> None:
+        marker = f"{landed}/batch_id={batch_id}"
+        if landed and _landed(spark, marker):
+            return
         devices = registry() if callable(registry) else registry
         fresh = (silver_upsert_rows(batch_df, devices, target_keys(spark, silver_path, batch_id))
                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (fresh.select(*SILVER_TABLE_SCHEMA.fieldNames()).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "event_date").parquet(silver_path))
+        if landed:
+            spark.range(1).write.mode("overwrite").parquet(marker)
     return upsert
 
 
@@ -109,7 +129,8 @@ def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, regist
     """Bronze table (as a stream) -> Silver via foreachBatch upsert."""
     ensure_table(spark, silver_path, SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
     bronze = table_stream(spark, bronze_path, BRONZE_SCHEMA)
-    fn = silver_upsert_batch(spark, silver_path, registry)
+    # marks go with the checkpoint: a new checkpoint numbers its batches anew
+    fn = silver_upsert_batch(spark, silver_path, registry, f"{checkpoint}-landed")
     w = (bronze.writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, "silver", available_now).start()
