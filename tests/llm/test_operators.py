@@ -521,6 +521,15 @@ def test_quality_keeps_clean_text(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.9, (np.mean(good), np.mean(bad))
 
 
+def test_copies_of_one_text_do_not_narrow_the_band(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").where("lang = 'es'").select("doc_id", "text", "lang")
+    one = docs.where("length(text) between 1500 and 3000").orderBy("doc_id").limit(1).drop("doc_id")
+    copies = spark.range(1_000_000, 1_000_000 + docs.count() // 2).withColumnRenamed("id", "doc_id").crossJoin(one)
+    kept = lambda d: {r.doc_id for r in quality.judge(d).where("kept and doc_id < 1000000").collect()}
+    before = kept(docs)
+    assert len(before) > 0.8 * docs.count() and kept(docs.unionByName(copies)) == before
+
+
 def test_quality_empty(empty_docs):
     assert quality.judge(empty_docs).collect() == []
 
