@@ -8,6 +8,7 @@ item leave; secrets are masked in the text; the rest is packed.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,11 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(docs, carry=tuple(docs.columns))
+    try:
+        labels = table(spark, sf_dir, "labels")
+    except AnalysisException:  # a corpus without labels
+        labels = None
+    judged = quality.judge(docs, carry=tuple(docs.columns), labels=labels)
     return judged.where("kept").select(*(F.col(f"carry_{c}").alias(c) for c in docs.columns))
 
 

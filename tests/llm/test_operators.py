@@ -530,6 +530,17 @@ def test_copies_of_one_text_do_not_narrow_the_band(spark):
     assert len(before) > 0.8 * docs.count() and kept(docs.unionByName(copies)) == before
 
 
+def test_labels_tell_junk_from_clean_text(spark):
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    told = {r.doc_id: r.quality for r in labels.collect()}
+    for held_out in (labels.limit(0), labels.where("doc_id % 2 = 1")):  # rates on all labels, and on unused ones
+        hidden = {r.doc_id for r in held_out.collect()} or told.keys()
+        used = labels.join(held_out, "doc_id", "left_anti")
+        got = [r for r in quality.judge(docs, labels=used).collect() if not r.base_failed and r.doc_id in hidden]
+        bad, good = ([r.kept for r in got if told[r.doc_id] == q] for q in (0, 1))
+        assert bad and np.mean(bad) <= 0.1 and np.mean(good) >= 0.97, (np.mean(bad), np.mean(good))
+
+
 def test_quality_empty(empty_docs):
     assert quality.judge(empty_docs).collect() == []
 

@@ -53,7 +53,7 @@ def _uri(path: str) -> str:
 
 
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.judge(table(spark, sf, "documents")).select(
+    return quality.judge(table(spark, sf, "documents"), labels=table(spark, sf, "labels")).select(
         "doc_id", *quality.STATS, "base_failed", "kept", "score")
 
 
