@@ -541,6 +541,22 @@ def test_labels_tell_junk_from_clean_text(spark):
         assert bad and np.mean(bad) <= 0.1 and np.mean(good) >= 0.97, (np.mean(bad), np.mean(good))
 
 
+def test_estimates_equal_the_model_and_need_no_cap(edge_docs, monkeypatch):
+    counts = materialise(quality.ngram_counts(edge_docs, across=True), "test-ngrams").cache()
+    models = quality.train(edge_docs, across=True)
+    assert set(models) == {r.lang for r in counts.select("lang").distinct().collect()}
+    got = quality.estimates(counts).toPandas()
+    assert len(got) == counts.count()
+    for lang, part in got.groupby("lang"):  # the smallest languages too
+        want = models[lang].score(part["g"].to_numpy().view(np.uint64))
+        assert np.abs(want - part["logp"].to_numpy()).max() < 1e-4, lang
+    whole = quality.score(edge_docs, quality.write_model(counts)).select("text_key", "lang", "score").collect()
+    monkeypatch.setattr(quality, "PART_ROWS", counts.count() // 7)
+    uri, parts = quality.write_model(counts)
+    same(quality.score(edge_docs, (uri, parts)).select("text_key", "lang", "score").collect(), whole)
+    assert parts >= 7 and all(r.score is not None for r in whole if r.lang == "de")
+
+
 def test_quality_empty(empty_docs):
     assert quality.judge(empty_docs).collect() == []
 

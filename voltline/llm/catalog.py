@@ -17,7 +17,7 @@ from voltline.llm import (
     sharding,
     substring,
 )
-from voltline.llm.common import table
+from voltline.llm.common import file_uri, table
 from voltline.llm.oracle import ORACLE_SQL
 from voltline.session import scratch_path
 
@@ -45,11 +45,7 @@ def op5_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_order(spark: SparkSession, sf: str) -> DataFrame:
-    return order.training_order(table(spark, sf, "documents"), _uri(scratch_path(spark, "training-order")), ORDER_KEY)
-
-
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1)
+    return order.training_order(table(spark, sf, "documents"), file_uri(scratch_path(spark, "training-order")), ORDER_KEY)
 
 
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -42,6 +42,11 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_uri(path: str) -> str:
+    """``path`` as pyarrow's file systems take it."""
+    return path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1)
+
+
 def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
     """Broadcast hint for a materialised table that is proven small; the plain
     table (shuffle join) otherwise.  ``weight``: what a row counts as."""
