@@ -48,7 +48,9 @@ MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # the header, and the body (after header fields) up to the END line where they follow
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+                r"(?:(?:[\x20\t\r\n]*(?:Proc-Type|DEK-Info):[^\n]*\n)*[A-Za-z0-9+/=\x20\t\r\n]+-----END [A-Z ]*PRIVATE KEY-----)?"),
 )
 RULES = BASE_RULES + MORE_RULES
 
