@@ -29,8 +29,10 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     try:
         labels = table(spark, sf_dir, "labels")
-    except AnalysisException:  # a corpus without labels
-        labels = None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        labels = None  # a corpus without labels
     judged = quality.judge(docs, carry=tuple(docs.columns), labels=labels)
     return judged.where("kept").select(*(F.col(f"carry_{c}").alias(c) for c in docs.columns))
 
