@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm import (
+    conversations,
     decontaminate,
+    fim,
     jaccard,
     langid,
+    lines,
     order,
     packing,
     quality,
@@ -69,7 +72,20 @@ def op10_reputation(spark: SparkSession, sf: str) -> DataFrame:
     return reputation.judge(table(spark, sf, "pages"), labels).withColumn("lower", F.round("lower", 6))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(table(spark, sf, "documents")))
+
+
+def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.repaired_conversations(table(spark, sf, "conversations"))
+
+
+def op13_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.digest(lines.drop_repeated_lines(table(spark, sf, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_decontaminate, op3_packing, op4_secrets, op5_jaccard, op6_order,
-                                   op7_quality, op8_langid, op9_substring, op10_reputation)}
+                                   op7_quality, op8_langid, op9_substring, op10_reputation, op11_fill_in_middle,
+                                   op12_conversations, op13_lines)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
