@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.session import scratch_path
+from voltline.session import checkpoint_dir, scratch_path
 
 # A table may be broadcast up to this many (narrow) rows; beyond it the same
 # join runs as a shuffle join.
@@ -42,6 +42,16 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Removes the files of a materialised table that nothing reads any more."""
+    spark = df.sparkSession
+    home = checkpoint_dir(spark).split(":", 1)[-1].lstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if home in folder:  # only what ``materialise`` wrote
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def file_uri(path: str) -> str:
     """``path`` as pyarrow's file systems take it."""
     return path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1)

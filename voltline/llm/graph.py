@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltline.llm.common import BROADCAST_ROWS, materialise
+from voltline.llm.common import BROADCAST_ROWS, materialise, release
 
 
 def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
@@ -40,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
                       .where("u != v").distinct(), "edges")
     while not _is_stars(now):
         few = 2 * now.count() <= BROADCAST_ROWS  # an edge has two nodes, each with one minimum
-        now = materialise(_star(_star(now, True, few), False, few), "edges")
+        done, now = now, materialise(_star(_star(now, True, few), False, few), "edges")
+        release(done)
     out = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return materialise(out.unionByName(roots), "components")

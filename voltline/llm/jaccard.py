@@ -22,8 +22,10 @@ distance is known from below, which the triangle inequality can still use.
 
 For the pairs that neither relation answers, neighbours in changing orders of a
 list are compared first, a linear number in each of at most ``PROBES`` rounds,
-for as long as they link many; this joins groups of similar sets.  A last round
-compares all that is still open.
+for as long as they link many; this joins groups of similar sets.  All that is
+still open is listed as pairs, within blocks of a list by set size, and compared
+in rounds: of any two components the pair closest by signature first, then, if
+few of these link, all that no shared component has answered.
 The result is exact on the hashed sets: every link between different sets is
 either compared, or implied by a shared component.
 
@@ -57,6 +59,7 @@ from voltline.llm.common import (
     hashed_words,
     materialise,
     mix,
+    release,
     rolling,
     sized,
     text_hash,
@@ -69,7 +72,7 @@ RANGE = 400_000  # postings of one exchange block, about
 LONG_LIST = 100_000  # a list that is longer is dealt out in parts
 PROBES = 3  # rounds that compare neighbours before the last round, at most
 YIELD = 16  # such a round is the last if it links fewer than one in so many open entries
-PART = 4096  # entries of a list that one window orders, about
+PART = 512  # entries of a list that one window orders, about
 BITS = 512  # of a signature, 64 to a long
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
 
@@ -252,40 +255,45 @@ def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.Data
     return pd.concat([pairs.drop_duplicates(["pivot", "rep"]), entries, pivots])
 
 
-def _sets(reps: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """rep, s (the set as an array) of the wanted representatives."""
+def _sets(reps: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    """``keys`` and s (the set of the text as an array)."""
+    kinds = ", ".join(f"{c} long" for c in keys)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [pa.array(s.view(np.int64)) for s in shingle_sets(_binary(b.column(1)), k)]
+            got = [pa.array(s.view(np.int64)) for s in shingle_sets(_binary(b.column(len(keys))), k)]
             sizes = np.cumsum([0, *(len(x) for x in got)]).astype(np.int32)
             flat = pa.concat_arrays(got) if got else pa.array([], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(sizes), flat)], ["rep", "s"])
+                [*b.columns[:-1], pa.ListArray.from_arrays(pa.array(sizes), flat)], [*keys, "s"])
 
-    return reps.select("rep", "text").join(sized(wanted), "rep", "left_semi").mapInArrow(run, "rep long, s array<long>")
+    return reps.select(*keys, "text").mapInArrow(run, f"{kinds}, s array<long>")
 
 
 def _compared(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """a, b, lo, hi, linked: bounds of the pairs' distances; both are the exact
-    distance where the signatures allow a link."""
+    distance where the signatures allow a link.  A set travels once for each
+    pair that it is the b of, and once as a, to where the pairs of a are."""
     x, y = sigs.alias("x"), sigs.alias("y")
     total = F.col("x.n") + F.col("y.n")
     pairs = materialise(
         pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
         .select("a", "b", (1 - (total - _differ()) / (total + _differ())).alias("lo"),
                 _signatures_allow(percent).alias("close")), "pairs")
-    close = pairs.where("close").select("a", "b")
-    wanted = materialise(close.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "paired")
-    sets = materialise(_sets(reps, wanted, k), "sets")
-    both = (close.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
-            .join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a"))
+    close = sized(pairs.where("close").select("a", "b"))
+    some = sized(materialise(pairs.where("close").select("a").distinct(), "paired"))
+    there = _sets(reps.join(close, F.col("rep") == F.col("b")), k, ["a", "b"]).withColumnRenamed("s", "sb")
+    here = _sets(reps.join(some, F.col("rep") == F.col("a")), k, ["a"]).withColumnRenamed("s", "sa")
+    both = there.join(here, "a")
     union = F.size("sa") + F.size("sb") - F.col("shared")
     distance = 1 - F.col("shared") / union
     exact = both.withColumn("shared", F.size(F.array_intersect("sa", "sb"))).select(
         "a", "b", distance.alias("lo"), distance.alias("hi"),
         (100 * F.col("shared") >= percent * union).alias("linked"))
     far = pairs.where("not close").select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked"))
-    return materialise(exact.unionByName(far), "answers")
+    answers = materialise(exact.unionByName(far), "answers")
+    release(pairs)
+    return answers
 
 
 def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, percent: int = PERCENT,
@@ -321,8 +329,7 @@ def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, pe
         still = entries.count()
         if not still:
             return found
-        linked = _compared(_neighbours(entries, turn, percent), reps, sigs, k, percent).where("linked").select(
-            F.col("a").alias("u"), F.col("b").alias("v"))
+        linked = _links(_neighbours(entries, turn, percent), reps, sigs, k, percent)
         links = linked.count()
         if links:
             found = merged(found, linked)
@@ -330,25 +337,56 @@ def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, pe
         if links * YIELD < still:
             break
 
-    # last round: every pair of entries of one list in different components; a
+    # last rounds: every pair of entries of one list in different components; a
     # pair with several lists is taken from the first one it shares
     mine = entries.groupBy(F.col("rep").alias("l_rep")).agg(
         F.transform(F.array_sort(F.collect_set(F.struct("pos", "list_key"))), lambda e: e["list_key"]).alias("lists"))
     entries = materialise(entries.join(mine, entries.rep == mine.l_rep).drop("l_rep"), "open-entries")
-    entries = entries.join(sigs.select("rep", "sig"), "rep")
-    x, y = entries.alias("x"), entries.alias("y")
+    entries = entries.join(sigs.select("rep", "sig"), "rep").withColumn("block", _block(F.col("n"), percent))
+    # blocks of a list by size: the smaller set of a pair lies in the larger one's block or the one below
+    x = entries.alias("x")
+    y = entries.withColumn("block", F.explode(F.array("block", F.col("block") - 1))).alias("y")
     first_shared = F.element_at(F.array_intersect("x.lists", "y.lists"), 1)
     one_pivot = F.col("x.pivot") == F.col("y.pivot")
     apart = F.greatest(F.col("x.lo") - F.col("y.hi"), F.col("y.lo") - F.col("x.hi")) > 1 - percent / 100 + 1e-9
     answered = one_pivot & ((F.col("x.rep") == F.col("x.pivot")) | (F.col("y.rep") == F.col("y.pivot"))
                             | F.coalesce(apart, F.lit(False)))
-    rest = (x.join(y, F.col("x.list_key") == F.col("y.list_key"))
-            .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
+    smaller = F.struct("x.n", "x.rep") < F.struct("y.n", "y.rep")
+    rest = (x.join(y, (F.col("x.list_key") == F.col("y.list_key")) & (F.col("x.block") == F.col("y.block")))
+            .where(smaller & (F.col("x.component") != F.col("y.component"))
                    & _may_link(percent) & _signatures_allow(percent) & ~answered & (first_shared == F.col("x.list_key")))
-            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    more = _compared(rest, reps, sigs, k, percent).where("linked").select(
-        F.col("a").alias("u"), F.col("b").alias("v"))
-    return merged(found, more)
+            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.component").alias("ca"),
+                    F.col("y.component").alias("cb"), _differ().alias("d")).distinct())
+    rest = materialise(rest, "rest")
+    # of two components, the closest pair by signature goes first: once it links, the others need no comparison
+    for _ in range(PROBES):
+        first = rest.groupBy(F.least("ca", "cb").alias("c1"), F.greatest("ca", "cb").alias("c2")).agg(
+            F.min_by(F.struct("a", "b"), F.struct("d", "a", "b")).alias("p"))
+        first = materialise(first.select("p.*"), "first-pairs")
+        asked = first.count()
+        if not asked:
+            return found
+        links = _links(first, reps, sigs, k, percent)
+        found = merged(found, links)
+        by_a, by_b = (found.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("a", "na"), ("b", "nb")))
+        done, rest = rest, materialise(
+            rest.join(sized(first), ["a", "b"], "left_anti").join(by_a, "a", "left").join(by_b, "b", "left")
+            .select("a", "b", F.coalesce("na", "ca").alias("ca"), F.coalesce("nb", "cb").alias("cb"), "d")
+            .where("ca != cb"), "rest")
+        release(done)
+        if links.count() * YIELD < asked:
+            break
+    return merged(found, _links(rest.select("a", "b"), reps, sigs, k, percent))
+
+
+def _block(n: Column, percent: int) -> Column:
+    """Sizes in steps of 100 / percent: linked sets lie in one block or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / np.log(100 / percent) + 1e-9)
+
+
+def _links(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
+    """u, v: the pairs that link."""
+    return _compared(pairs, reps, sigs, k, percent).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
