@@ -3,10 +3,11 @@
 The language model is a modified Kneser-Ney character model of order 4 for
 each language, over the words of each text with one space between them and a
 mark before and after, so that n-grams reach across words.  It is trained on
-the texts labelled good where a language has ``GOOD_TEXTS`` of them, so that
-junk does not teach it, and on all its texts otherwise.  Spark counts the
-n-grams: each task reduces its texts to distinct n-grams, and an aggregation
-adds them up.  A document's score is its mean negative log probability by character.
+all texts of the language but those labelled bad; texts labelled good weigh 1,
+texts without a label ``GOOD_TEXTS / (GOOD_TEXTS + good texts of the language)``,
+so that junk among them teaches the less, the more texts are known to be good.
+Spark counts the n-grams: each task reduces its texts to distinct n-grams, and
+an aggregation adds them up.  A document's score is its mean negative log probability by character.
 
 A document is kept if no base rule fails and its score lies in its language's
 band, which spans the middle half of all texts' scores, widened by ``BAND``
@@ -34,8 +35,8 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,14 +51,14 @@ HELD_ROWS = 4_000_000  # n-grams that a task keeps in memory; further parts are
 PRIME = 1_000_003  # deals n-grams over the parts
 BAND = 3.5
 FLOOR = 0.01  # least length of a band's middle half
-GOOD_TEXTS = 20  # labelled good texts of a language that its model is trained on alone
+GOOD_TEXTS = 5.0  # good texts of a language at which a text without a label weighs half
 STEPS, PER_UNIT, PRIOR = 40, 4, 50.0  # grid of the fitted bounds (up to 10 units), weight of all languages' labels
 SHORT = 3.0  # the band of a text of n words is wider by the factor 1 + SHORT / sqrt(n)
 MIN_WORDS, MAX_REPEATED, WINDOW = 10, 20, 5  # fixed values of the base rules
 SYMBOLS = "#*$%&|<>"
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
-CHARACTERS = 2_000_000  # that a task holds before it reduces them to n-grams
+CHARACTERS = 1_000_000  # that a task holds before it reduces them to n-grams, or scores at once
 
 
 # --- counting ----------------------------------------------------------------
@@ -87,15 +88,14 @@ def _lang() -> Column:
 
 def weighted(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """lang, text, weight in the model: the copies of a text in one language
-    weigh 1 together; texts not labelled good weigh 0 in a language with at
-    least ``GOOD_TEXTS`` good ones."""
+    share the weight of one text; a text labelled bad weighs 0."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lang(), text_hash().alias("text_key"))
     texts = (_labelled(keyed, labels).groupBy("lang", "text_key")
              .agg(F.count("*").alias("copies"), F.min("quality").alias("quality")))
-    texts = materialise(texts.withColumn("good", F.coalesce(F.col("quality") == 1, F.lit(False))), "texts")
-    langs = sized(materialise(texts.groupBy("lang").agg(F.when(F.count_if("good") >= GOOD_TEXTS, 0.0).otherwise(1.0)
-                                                        .alias("usual")), "langs"))
-    weight = F.when((F.col("usual") == 1) | F.col("good"), 1 / F.col("copies")).otherwise(0.0)
+    texts = materialise(texts, "texts")
+    langs = sized(materialise(texts.groupBy("lang").agg(
+        (GOOD_TEXTS / (GOOD_TEXTS + F.count_if(F.col("quality") == 1))).alias("usual")), "langs"))
+    weight = F.when(F.col("quality") == 1, 1.0).when(F.col("quality") == 0, 0.0).otherwise(F.col("usual")) / F.col("copies")
     unusual = texts.join(langs, "lang").select("lang", "text_key", weight.alias("weight"), "usual")
     unusual = sized(materialise(unusual.where("weight != usual").drop("usual"), "weights"))
     return (docs.select(_lang(), "text", text_hash().alias("text_key")).join(unusual, ["lang", "text_key"], "left")
@@ -213,18 +213,9 @@ def discounts(a: np.ndarray) -> np.ndarray:
     return np.clip(d, 0.05, (0.95, 1.95, 2.95))
 
 
-def train(docs: DataFrame, model_rows: int | None = None, across: bool = False) -> dict[str, Model]:
-    """In-memory models, pruned to ``model_rows`` n-grams if given."""
-    counts = materialise(ngram_counts(docs, across).where("c > 0"), "ngrams")
-    least = 1
-    if model_rows is not None and counts.count() > model_rows:
-        by_count = counts.groupBy(F.least("c", F.lit(100_000)).alias("c")).count().orderBy(F.desc("c")).collect()
-        kept = 0
-        for c, n in by_count:
-            if kept + n > model_rows:
-                break
-            least, kept = c, kept + n
-    table = counts.where(F.col("c") >= least).toPandas()
+def train(docs: DataFrame, across: bool = False) -> dict[str, Model]:
+    """In-memory models of a small table (tests hold ``estimates`` against them)."""
+    table = ngram_counts(docs, across).where("c > 0").toPandas()
     out = {}
     for lang, part in table.groupby("lang"):
         keys = part["g"].to_numpy(np.int64).view(U64)
@@ -280,7 +271,8 @@ def write_model(counts: DataFrame) -> tuple[str, int]:
 
 
 class Lookup:
-    """Log probabilities of n-grams from the parts of a written model."""
+    """Log probabilities of n-grams from the parts of a written model, which are
+    kept as packed arrays, or read once for each call where they are too many."""
 
     def __init__(self, uri: str, parts: int):
         from pyarrow.fs import FileSystem
@@ -290,22 +282,32 @@ class Lookup:
         self.held: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]] = {}
 
     def _part(self, k: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-        if k not in self.held:
-            if self.rows > HELD_ROWS:
-                self.held, self.rows = {}, 0
-            files = pyarrow.dataset.dataset(f"{self.root}/part={k}", filesystem=self.fs, format="parquet")
-            rows = files.to_table(columns=["lang", "g", "logp"]).to_pandas()
-            self.held[k] = {lang: (x["g"].to_numpy(), x["logp"].to_numpy()) for lang, x in rows.groupby("lang")}
-            self.rows += len(rows)
-        return self.held[k]
-
-    def logp(self, lang: str, g: np.ndarray) -> np.ndarray:
-        g = g.view(np.int64)
-        part, out = g % PRIME % self.parts, np.empty(len(g))
-        for k in np.unique(part):
-            mine = part == k
-            keys, logp = self._part(int(k))[lang]
-            out[mine] = logp[np.searchsorted(keys, g[mine])]
+        if k in self.held:
+            return self.held[k]
+        files = pyarrow.dataset.dataset(f"{self.root}/part={k}", filesystem=self.fs, format="parquet")
+        rows = files.to_table(columns=["lang", "g", "logp"])
+        g, logp = rows["g"].to_numpy(), rows["logp"].to_numpy().astype(np.float32)
+        langs = rows["lang"].combine_chunks().dictionary_encode()
+        code, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
+        cuts = np.flatnonzero(np.diff(code, prepend=-1, append=-1))  # rows are sorted by language
+        part = {names[code[a]]: (g[a:b], logp[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)}
+        if self.rows + len(g) <= HELD_ROWS:
+            self.held[k] = part
+            self.rows += len(g)
+        return part
+
+    def logp(self, wanted: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """By language: of each n-gram (``wanted``: distinct ones), in one pass over the parts."""
+        keys = {lang: g.view(np.int64) for lang, g in wanted.items()}
+        part = {lang: g % PRIME % self.parts for lang, g in keys.items()}
+        out = {lang: np.empty(len(g), np.float32) for lang, g in keys.items()}
+        for k in sorted({int(x) for p in part.values() for x in np.unique(p)}):
+            loaded = self._part(k)
+            for lang, g in keys.items():
+                mine = np.flatnonzero(part[lang] == k)
+                if len(mine):
+                    known, logp = loaded[lang]
+                    out[lang][mine] = logp[np.searchsorted(known, g[mine])]
         return out
 
 
@@ -355,35 +357,51 @@ def _statistics(texts: list[str], found: list[list[str]], coded: np.ndarray) ->
 def score(docs: DataFrame, model: tuple[str, int], carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang, the statistics, score (null without words), text_key, and
     the columns in ``carry`` as ``carry_*``."""
+    own = {"text"} & set(carry)  # goes to the tasks anyway
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lang(), "text", text_hash().alias("text_key"),
-                       *(F.col(c).alias(f"carry_{c}") for c in carry))
-    extra = docs.schema.fields[3:]
-    names = ["doc_id", "lang", *STATS, "score"]
+                       *(F.col(c).alias(f"carry_{c}") for c in carry if c not in own))
+    extra = [f for f in docs.schema.fields[2:] if f.name != "text" or own]
+    names = ["doc_id", "lang", *STATS, "score", *("carry_text" if f.name == "text" else f.name for f in extra)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(*model)
         for b in batches:
-            texts = [t or "" for t in b.column(2).to_pylist()]
             langs = b.column(1).to_pylist()
-            found = [WORD.findall(t) for t in texts]
-            number: dict[str, int] = {}
-            put = number.setdefault
-            coded = np.fromiter((put(w, len(number)) for ws in found for w in ws), np.int64,
-                                sum(map(len, found)))
-            stats = _statistics(texts, found, coded.astype(U64))
-            scores = np.full(len(texts), np.nan)
-            for lang in set(langs):
-                rows = [i for i, x in enumerate(langs) if x == lang and found[i]]
-                for begin, end in chunks(np.array([len(texts[i]) for i in rows], np.int64), CHARACTERS):
-                    keys, sizes, starts = _units([_flat(found[i]) for i in rows[begin:end]])
-                    values, inverse = np.unique(keys, return_inverse=True)
-                    scores[rows[begin:end]] = -np.add.reduceat(lookup.logp(lang, values)[inverse], starts) / sizes
+            parts = list(chunks(pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False), CHARACTERS))
+            stats, wanted = [], {}
+            for begin, end in parts:
+                texts = [t or "" for t in b.column(2)[begin:end].to_pylist()]
+                found = [WORD.findall(t) for t in texts]
+                number: dict[str, int] = {}
+                put = number.setdefault
+                coded = np.fromiter((put(w, len(number)) for ws in found for w in ws), np.int64, sum(map(len, found)))
+                stats.append(_statistics(texts, found, coded.astype(U64)))
+                for lang, _, keys, _, _ in _by_language(langs[begin:end], found):
+                    wanted.setdefault(lang, []).append(np.unique(keys))
+            merged = {lang: np.unique(np.concatenate(keys)) for lang, keys in wanted.items()}
+            logp = lookup.logp(merged)
+            scores = np.full(b.num_rows, np.nan)
+            for begin, end in parts:
+                found = [WORD.findall(t or "") for t in b.column(2)[begin:end].to_pylist()]
+                for lang, rows, keys, sizes, starts in _by_language(langs[begin:end], found):
+                    each = logp[lang][np.searchsorted(merged[lang], keys)].astype(float)
+                    scores[begin + rows] = -np.add.reduceat(each, starts) / sizes
+            columns = [np.concatenate([s[i] for s in stats]) if stats else np.empty(0, np.int64) for i in range(len(STATS))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *map(pa.array, stats), pa.array(scores, from_pandas=True), *b.columns[3:]],
-                [*names, *(f.name for f in extra)])
+                [b.column(0), b.column(1), *map(pa.array, columns), pa.array(scores, from_pandas=True),
+                 *(b.column(f.name) for f in extra)], names)
 
     schema = "doc_id long, lang string, " + ", ".join(f"{s} long" for s in STATS) + ", score double"
-    return docs.mapInArrow(run, ", ".join([schema, *(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)]))
+    kinds = (f"`{n}` {f.dataType.simpleString()}" for n, f in zip(names[-len(extra):], extra, strict=True))
+    return docs.mapInArrow(run, ", ".join([schema, *kinds]))
+
+
+def _by_language(langs: list[str], found: list[list[str]]) -> Iterator[tuple]:
+    """lang, rows, and the units of their texts, a language at a time."""
+    for lang in sorted(set(langs)):
+        rows = np.array([i for i, x in enumerate(langs) if x == lang and found[i]], np.int64)
+        if len(rows):
+            yield lang, rows, *_units([_flat(found[i]) for i in rows])
 
 
 def fit_bounds(counts: list[tuple[str, int, int, int, int]], band: float) -> dict[str, tuple[float, float]]:
