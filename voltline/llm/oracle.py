@@ -98,16 +98,18 @@ hosts AS (
         FROM counted)),
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
-suffix_in AS (
-  SELECT *, (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) FROM suffixes) AS m
-  FROM suffixes),
+whole AS (
+  SELECT coalesce(sum(bad), 0) + 0.5::DOUBLE AS pa, coalesce(sum(n - bad), 0) + 0.5::DOUBLE AS pb FROM suffixes),
+suffix_in AS (SELECT s.*, (pa - bad) / (pa + pb - n) AS m FROM suffixes s, whole),
 suffix_out AS (
-  SELECT suffix, (bad + k * m) / (n + k) AS m FROM suffix_in, {_strength("suffix_in")}),
-domain_in AS (SELECT d.*, s.m FROM domains d JOIN suffix_out s ON d.suffix = s.suffix),
+  SELECT suffix, bad + k * m AS pa, n - bad + k * (1 - m) AS pb FROM suffix_in, {_strength("suffix_in")}),
+domain_in AS (
+  SELECT d.*, (pa - bad) / (pa + pb - n) AS m FROM domains d JOIN suffix_out s ON d.suffix = s.suffix),
 domain_out AS (
-  SELECT suffix, domain, (bad + k * m) / (n + k) AS m FROM domain_in, {_strength("domain_in")}),
+  SELECT suffix, domain, bad + k * m AS pa, n - bad + k * (1 - m) AS pb FROM domain_in, {_strength("domain_in")}),
 host_in AS (
-  SELECT h.*, d.m FROM hosts h JOIN domain_out d ON h.suffix = d.suffix AND h.domain = d.domain),
+  SELECT h.*, (pa - bad) / (pa + pb - n) AS m
+  FROM hosts h JOIN domain_out d ON h.suffix = d.suffix AND h.domain = d.domain),
 host_out AS (
   SELECT host, bad + k * m AS a, n - bad + k * (1 - m) AS b FROM host_in, {_strength("host_in")}),
 bounds AS (

@@ -81,8 +81,11 @@ def _levels(hosts: DataFrame) -> DataFrame:
 
 
 def _shrink(units: DataFrame, parent: DataFrame, unit: str, on: list[str]) -> DataFrame:
-    """Posterior (a, b) and mean of each unit under its parent's mean."""
+    """Posterior (a, b) of each unit under its parent's mean m, which is taken
+    without the unit's own outcomes, so no outcome counts twice.  ``parent``:
+    its posterior pa, pb."""
     joined = units.join(sized(parent), on) if on else units.crossJoin(F.broadcast(parent))  # parent: one row
+    joined = joined.withColumn("m", (F.col("pa") - F.col("bad")) / (F.col("pa") + F.col("pb") - F.col("n")))
     spread = F.col("m") * (1 - F.col("m"))
     strength = (joined.where("n > 0").agg(
         F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("m"), F.lit(2))).alias("s"),
@@ -105,12 +108,12 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
             F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "reputation-counts"))
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    whole = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5)
-                          / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).alias("m"))
-    mean = (F.col("a") / (F.col("a") + F.col("b"))).alias("m")
+    whole = suffixes.agg((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5).alias("pa"),
+                         (F.coalesce(F.sum(F.col("n") - F.col("bad")), F.lit(0)) + 0.5).alias("pb"))
+    above = [F.col("a").alias("pa"), F.col("b").alias("pb")]
     by_suffix = _shrink(suffixes, whole, "suffix", [])
-    by_domain = _shrink(domains, by_suffix.select("suffix", mean), "domain", ["suffix"])
-    by_host = _shrink(hosts, by_domain.select("suffix", "domain", mean), "host", ["suffix", "domain"])
+    by_domain = _shrink(domains, by_suffix.select("suffix", *above), "domain", ["suffix"])
+    by_host = _shrink(hosts, by_domain.select("suffix", "domain", *above), "host", ["suffix", "domain"])
     a, b = F.col("a"), F.col("b")
     rate = a / (a + b)
     sd = F.sqrt(a * b / (F.pow(a + b, F.lit(2)) * (a + b + 1)))
