@@ -21,19 +21,19 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltline.llm.common import U64, bounded_batches, materialise, mix
+from voltline.llm.common import U64, bounded_batches, materialise, mix, sized
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")  # letters of any script; neither digits nor numerals such as ² or Ⅷ
 MARK = "▁"
 LONGEST = 40
 FIT_ROWS = 6_000  # labelled rows of each language that the model is fitted on, about
@@ -170,6 +170,7 @@ def word_counts(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
                        & ~is_held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     share = known.groupBy("lang").agg((F.lit(float(fit_rows)) / F.count("*")).alias("share")).withColumnRenamed(
         "lang", "s_lang")
+    share = sized(materialise(share, "shares"))  # a row for each language: texts stay where they are
     sample = known.join(share, F.col("lang") == F.col("s_lang")).where(
         F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < F.col("share") * 1_000_000)
 
