@@ -17,9 +17,14 @@ The benchmark is read in blocks of ``BLOCK`` items, each broadcast and run
 against all texts, so neither its size nor the corpus is bounded; no text is
 shuffled.
 
-Defined results: null or word-less texts and items match nothing; items of
-fewer than ``MIN_WORDS`` words are left out (they would match by chance); a
-repeated row matches as often as it occurs; equal items match each; an empty
+Items of more than ``LONG`` words are embedded in equal parts: k edits leave one
+part with its share of them at most, and any part that collides leads to the
+exact verification of the whole item.  Items of fewer than ``MIN_WORDS`` words,
+which edits would change beyond recognition, are looked up as they are, by their
+words' hash, wherever they occur.
+
+Defined results: null or word-less texts and items match nothing; in scripts
+without spaces every character is a word; a repeated row matches as often as it occurs; equal items match each; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -37,12 +42,15 @@ from pyspark.sql import functions as F
 
 from voltline.llm.common import U64, bounded_batches, mix, text_hash
 
-WORD = re.compile(r"\w+")
+# Thai and Lao, Myanmar, Khmer, kana, ideographs
+SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W{SPACELESS}]+|[{SPACELESS}]")
 SIMILARITY = 0.75  # 1 - edits / words of the item
 RECALL = 0.995
 SAMPLED = 3  # positions of an embedding that a key samples
 BLOCK = 10_000  # items broadcast at once
-MIN_WORDS = 8
+MIN_WORDS = 8  # shorter items are looked up without edits
+LONG = 64  # words of an item, beyond which its parts are embedded
 RATIO = 1.2  # largest by smallest item size of a class
 TRIALS, REPEATED = 12, 32  # edits of each item, and walks on each, that measure the number of repetitions
 SEED = 20_240_601
@@ -83,6 +91,12 @@ def best_place(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), int(origin[end])
 
 
+def _parts(n: int) -> list[tuple[int, int]]:
+    """Begin and end of the parts in which ``n`` words are embedded."""
+    count = -(-n // LONG)
+    return [(i * n // count, (i + 1) * n // count) for i in range(count)]
+
+
 @dataclass
 class Lsh:
     """Repetitions of a random walk and its sampled steps."""
@@ -116,17 +130,27 @@ class Matcher:
     """A block of items, ready to be matched with texts."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
-        kept = [(i, w) for i, t in items if len(w := words(t)) >= MIN_WORDS]
+        kept = [(i, w) for i, t in items if (w := words(t))]
         self.ids = [i for i, _ in kept]
         self.vocabulary: dict[str, int] = {}
         number = self.vocabulary.setdefault
         self.items = [np.array([number(x, len(self.vocabulary) + 1) for x in w], np.int64) for _, w in kept]
         self.base = len(self.vocabulary) + 1
-        by_size = sorted(range(len(kept)), key=lambda j: len(self.items[j]))
+        # items by size without edits: sorted hashes of their words, item numbers
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(1, MIN_WORDS):
+            numbers = np.array([j for j, x in enumerate(self.items) if len(x) == n], np.int64)
+            if len(numbers):
+                keys = np.concatenate([self.grams(self.items[j], n) for j in numbers])
+                order = np.argsort(keys, kind="stable")
+                self.short[n] = keys[order], numbers[order]
+        # what is embedded: an item, or the parts of a long one
+        self.parts = [(j, a, b) for j, x in enumerate(self.items) if len(x) >= MIN_WORDS for a, b in _parts(len(x))]
+        by_size = sorted(range(len(self.parts)), key=lambda p: self.parts[p][2] - self.parts[p][1])
         self.classes: list[SizeClass] = []
         while by_size:
-            least = len(self.items[by_size[0]])
-            members = [j for j in by_size if len(self.items[j]) <= least * RATIO]
+            least = self.parts[by_size[0]][2] - self.parts[by_size[0]][1]
+            members = [p for p in by_size if self.parts[p][2] - self.parts[p][1] <= least * RATIO]
             by_size = by_size[len(members):]
             self.classes.append(self._class(members, np.random.default_rng(SEED + least)))
         self.sieves: dict[int, np.ndarray] = {}  # by q: which spread values some item's q-gram has
@@ -154,7 +178,7 @@ class Matcher:
         return key
 
     def _class(self, members: list[int], rng: np.random.Generator) -> SizeClass:
-        items = [self.items[j] for j in members]
+        items = [self.items[j][a:b] for j, a, b in (self.parts[p] for p in members)]
         sizes = [len(x) for x in items]
         window = min(sizes)
         q = min(max(1, n // (edits_allowed(n) + 1)) for n in sizes)
@@ -169,11 +193,13 @@ class Matcher:
 
         # the chance that one repetition finds an item with all the edits that are
         # allowed, of the items that are harder to find
-        met = np.zeros(len(items))
-        for _ in range(TRIALS):
+        met, trials, chance = np.zeros(len(items)), 0, 0.0
+        while trials < TRIALS or not chance and trials < 50 * TRIALS:  # until it can be told from 0
             lsh = Lsh.draw(REPEATED, window, rng)
             met += (keys_of(items, lsh) == keys_of([self._edited(x, rng) for x in items], lsh)).mean(axis=0)
-        chance = min(max(float(np.quantile(met / TRIALS, 0.1)), 0.01), 0.99)
+            trials += 1
+            chance = float(np.quantile(met / trials, 0.1))
+        chance = min(max(chance, 1 / (REPEATED * trials)), 0.99)
         c.lsh = Lsh.draw(max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - chance))), window, rng)
         for keys in keys_of(items, c.lsh):
             order = np.argsort(keys, kind="stable")
@@ -212,6 +238,15 @@ class Matcher:
         np.add.at(edge, first[close] + 1, -1)
         return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
 
+    def _short_matches(self, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
+        out = []
+        for n, (keys, numbers) in self.short.items():
+            grams = self.grams(ids, n)
+            lo, hi = np.searchsorted(keys, grams), np.searchsorted(keys, grams, "right")
+            out += [(int(j), int(s), n, 0) for s in np.flatnonzero(hi > lo) for j in numbers[lo[s]:hi[s]]
+                    if (self.items[j] == ids[s:s + n]).all()]
+        return out
+
     def match(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """item number, first word, words of the item, edits."""
         get = self.vocabulary.get
@@ -226,15 +261,16 @@ class Matcher:
             for mine, (keys, numbers) in zip(found_keys, c.tables, strict=True):
                 lo, hi = np.searchsorted(keys, mine), np.searchsorted(keys, mine, "right")
                 for s, a, b in zip(starts[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
-                    for j in numbers[a:b]:
-                        found.setdefault(int(j), []).append(s)
-        out = []
+                    for p in numbers[a:b]:
+                        j, first, _ = self.parts[p]
+                        found.setdefault(j, []).append(s - first)
+        out = self._short_matches(ids)
         for j, at in sorted(found.items()):
             item, at = self.items[j], np.unique(at)
             n, k = len(item), edits_allowed(len(item))
             for part in np.split(at, np.flatnonzero(np.diff(at) > n) + 1):  # far apart: places of their own
                 lo = max(0, int(part[0]) - k)
-                edits, start = best_place(item, ids[lo:int(part[-1]) + n + 2 * k])
+                edits, start = best_place(item, ids[lo:max(0, int(part[-1])) + n + 2 * k])
                 if edits <= k:
                     out.append((j, lo + start, n, edits))
         return out
