@@ -44,7 +44,7 @@ def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf, "documents")).drop("text_key")
+    return jaccard.near_duplicates(table(spark, sf, "documents")).drop("text_key", "component_key")
 
 
 def op6_order(spark: SparkSession, sf: str) -> DataFrame:

@@ -443,24 +443,28 @@ def _representatives(rows: DataFrame, texts: DataFrame, chosen: DataFrame) -> Da
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
                     long_list: int = LONG_LIST) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id: one row for each row."""
+    """doc_id, text_key, n_shingles, component_id, and component_key (text_key of
+    the component's first row: smallest doc_id, null last, then smallest
+    text_key): one row for each row."""
     bounded_batches(docs.sparkSession)
     rows = materialise(set_sizes(docs, k), "set-sizes")
     # one representative for each distinct set
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     classes = materialise(rows.where("n > 0").groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("one"),
-        F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("sig").alias("sig"))
+        F.min(first).alias("one"), F.max("n").alias("n"), F.first("sig").alias("sig"))
         .withColumn("rep", F.monotonically_increasing_id()), "set-classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     chosen = classes.select(F.col("one.doc_id").alias("c_doc_id"), F.col("one.text_key").alias("c_text_key"), "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_key"), "text")
     reps = _representatives(rows, texts, chosen)
     parts = linked_sets(reps, classes.select("rep", "n", "sig"), total, k, percent, long_list)
-    # smallest doc_id of each component, then of each class, then of each row
+    # the first row of each component, then of each class, then of each row
     ids = classes.join(parts, classes.rep == parts.node, "left").withColumn(
         "component", F.coalesce("component", "rep"))
-    least = ids.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = ids.join(least, "component").select("set_key", "component_id")
+    least = ids.groupBy("component").agg(F.min("one").alias("least"))
+    by_class = ids.join(least, "component").select("set_key", "least")
+    alone = F.col("least").isNull()  # no shingles
     return (rows.join(by_class, "set_key", "left")
             .select("doc_id", "text_key", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+                    F.when(alone, F.col("text_key")).otherwise(F.col("least.text_key")).alias("component_key")))
