@@ -38,9 +38,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with a class's smallest doc_id stays; of repeated rows, one."""
+    """The first document of each group stays (smallest doc_id, null last, then
+    smallest hash of the text); of repeated rows, one."""
     classes = materialise(jaccard.near_duplicates(docs), "classes")
-    kept = _without(docs, classes.where(F.col("doc_id") != F.col("component_id")))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_key"))
+    kept = _without(docs, classes.where(~first))
     again = classes.groupBy("doc_id").count().where("count > 1").select("doc_id")
     again = sized(materialise(again, "again"))
     rows = kept.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"))
