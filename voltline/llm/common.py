@@ -15,7 +15,7 @@ from voltline.session import checkpoint_dir, scratch_path
 # join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
 # Arrow batches carry at most this many bytes, whatever the text length.
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 U64 = np.uint64
 
 

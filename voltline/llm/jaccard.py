@@ -19,6 +19,7 @@ Each set also has a signature, the parity of its hashes in ``BITS`` cells.  The
 bits in which two signatures differ are at most the shingles in which the sets
 differ, so a pair with too many of them cannot link and is not compared; its
 distance is known from below, which the triangle inequality can still use.
+Pairs of large sets that pass are screened again by a wider signature.
 
 For the pairs that neither relation answers, neighbours in changing orders of a
 list are compared first, a linear number in each of at most ``PROBES`` rounds,
@@ -74,6 +75,8 @@ PROBES = 3  # rounds that compare neighbours before the last round, at most
 YIELD = 16  # such a round is the last if it links fewer than one in so many open entries
 PART = 512  # entries of a list that one window orders, about
 BITS = 512  # of a signature, 64 to a long
+WIDE_BITS, WIDE_FROM = 4096, 400  # of the second signature, of sets with more shingles than this
+LONG_BLOCKS = 64  # a list with more open entries is compared in blocks by set size
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
 
 
@@ -113,8 +116,8 @@ def _set_key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _signature(s: np.ndarray) -> np.ndarray:
-    odd = np.bincount((s % U64(BITS)).astype(np.int64), minlength=BITS) & 1
+def _signature(s: np.ndarray, bits: int = BITS) -> np.ndarray:
+    odd = np.bincount((s % U64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -144,7 +147,7 @@ def _frequent(reps: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
             for s in shingle_sets(_binary(b.column(0)), k):
                 kept.append(s)
                 size += len(s)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield counted()
                     kept, size = [], 0
         if kept:
@@ -255,13 +258,14 @@ def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.Data
     return pd.concat([pairs.drop_duplicates(["pivot", "rep"]), entries, pivots])
 
 
-def _sets(reps: DataFrame, k: int, keys: list[str]) -> DataFrame:
-    """``keys`` and s (the set of the text as an array)."""
+def _sets(reps: DataFrame, k: int, keys: list[str], made=lambda s: s.view(np.int64)) -> DataFrame:
+    """``keys`` and s (what ``made`` makes of the text's set, the set itself as
+    an array if not given)."""
     kinds = ", ".join(f"{c} long" for c in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [pa.array(s.view(np.int64)) for s in shingle_sets(_binary(b.column(len(keys))), k)]
+            got = [pa.array(made(s)) for s in shingle_sets(_binary(b.column(len(keys))), k)]
             sizes = np.cumsum([0, *(len(x) for x in got)]).astype(np.int32)
             flat = pa.concat_arrays(got) if got else pa.array([], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -270,16 +274,37 @@ def _sets(reps: DataFrame, k: int, keys: list[str]) -> DataFrame:
     return reps.select(*keys, "text").mapInArrow(run, f"{kinds}, s array<long>")
 
 
+def _distance_at_least(differ: Column) -> Column:
+    return 1 - (F.col("total") - differ) / (F.col("total") + differ)
+
+
+def _screened(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """``pairs`` of large sets, whose signatures say little, with lo and close by
+    a wider signature, which only the sets of these pairs get."""
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("w_rep")).distinct(), "wanted")
+    wide = _sets(reps.join(sized(wanted), F.col("rep") == F.col("w_rep")), k, ["rep"], lambda s: _signature(s, WIDE_BITS))
+    wide = sized(materialise(wide, "wide"), weight=F.lit(WIDE_BITS // BITS))
+    of = {c: wide.select(F.col("rep").alias(f"{c}_rep"), F.col("s").alias(f"s{c}")) for c in "ab"}
+    both = pairs.join(of["a"], F.col("a") == F.col("a_rep")).join(of["b"], F.col("b") == F.col("b_rep"))
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
+    return both.select("a", "b", "total", differ.alias("differ")).select(
+        "a", "b", _distance_at_least(F.col("differ")).alias("lo"),
+        ((100 + percent) * F.col("differ") <= (100 - percent) * F.col("total")).alias("close"))
+
+
 def _compared(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """a, b, lo, hi, linked: bounds of the pairs' distances; both are the exact
     distance where the signatures allow a link.  A set travels once for each
     pair that it is the b of, and once as a, to where the pairs of a are."""
     x, y = sigs.alias("x"), sigs.alias("y")
-    total = F.col("x.n") + F.col("y.n")
-    pairs = materialise(
+    asked = materialise(
         pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
-        .select("a", "b", (1 - (total - _differ()) / (total + _differ())).alias("lo"),
-                _signatures_allow(percent).alias("close")), "pairs")
+        .select("a", "b", (F.col("x.n") + F.col("y.n")).alias("total"), _differ().alias("differ"),
+                _signatures_allow(percent).alias("close"), (F.least("x.n", "y.n") > WIDE_FROM).alias("large")), "asked")
+    told = asked.withColumn("lo", _distance_at_least(F.col("differ"))).where("not (close and large)")
+    pairs = materialise(told.select("a", "b", "lo", "close").unionByName(
+        _screened(asked.where("close and large").select("a", "b", "total"), reps, k, percent)), "pairs")
+    release(asked)
     close = sized(pairs.where("close").select("a", "b"))
     some = sized(materialise(pairs.where("close").select("a").distinct(), "paired"))
     there = _sets(reps.join(close, F.col("rep") == F.col("b")), k, ["a", "b"]).withColumnRenamed("s", "sb")
@@ -342,13 +367,16 @@ def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, pe
     mine = entries.groupBy(F.col("rep").alias("l_rep")).agg(
         F.transform(F.array_sort(F.collect_set(F.struct("pos", "list_key"))), lambda e: e["list_key"]).alias("lists"))
     entries = materialise(entries.join(mine, entries.rep == mine.l_rep).drop("l_rep"), "open-entries")
-    entries = entries.join(sigs.select("rep", "sig"), "rep").withColumn("block", _block(F.col("n"), percent))
-    # blocks of a list by size: the smaller set of a pair lies in the larger one's block or the one below
-    x = entries.alias("x")
-    y = entries.withColumn("block", F.explode(F.array("block", F.col("block") - 1))).alias("y")
+    entries = entries.join(sigs.select("rep", "sig"), "rep").select(
+        "list_key", "pivot", "rep", "n", "pos", "component", F.col("lo").cast("float"), F.col("hi").cast("float"), "lists", "sig",
+        F.when(F.col("members") > LONG_BLOCKS, _block(F.col("n"), percent)).alias("block"))
+    # blocks of a long list by size: the smaller set of a pair lies in the larger one's block or the one below
+    x = entries.withColumn("block", F.coalesce("block", F.lit(-1))).alias("x")
+    y = entries.withColumn("block", F.explode(F.when(F.col("block").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(
+        F.array("block", F.greatest(F.col("block") - 1, F.lit(0))))).alias("block")).alias("y")
     first_shared = F.element_at(F.array_intersect("x.lists", "y.lists"), 1)
     one_pivot = F.col("x.pivot") == F.col("y.pivot")
-    apart = F.greatest(F.col("x.lo") - F.col("y.hi"), F.col("y.lo") - F.col("x.hi")) > 1 - percent / 100 + 1e-9
+    apart = F.greatest(F.col("x.lo") - F.col("y.hi"), F.col("y.lo") - F.col("x.hi")) > 1 - percent / 100 + 1e-6
     answered = one_pivot & ((F.col("x.rep") == F.col("x.pivot")) | (F.col("y.rep") == F.col("y.pivot"))
                             | F.coalesce(apart, F.lit(False)))
     smaller = F.struct("x.n", "x.rep") < F.struct("y.n", "y.rep")

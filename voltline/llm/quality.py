@@ -58,7 +58,7 @@ MIN_WORDS, MAX_REPEATED, WINDOW = 10, 20, 5  # fixed values of the base rules
 SYMBOLS = "#*$%&|<>"
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
-CHARACTERS = 1_000_000  # that a task holds before it reduces them to n-grams, or scores at once
+CHARACTERS = 500_000  # that a task holds before it reduces them to n-grams, or scores at once
 
 
 # --- counting ----------------------------------------------------------------
