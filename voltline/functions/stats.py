@@ -2,8 +2,8 @@
 
 Averages and sample standard deviations are the engine's own.  Where readings
 are first reduced to buckets and the buckets then to windows, a bucket keeps
-its count, mean and sum of squared deviations; these merge without squaring
-raw readings, so a large mean costs no precision and no reading can overflow.
+its count, mean and sum of squared deviations; these merge pairwise without
+squaring a reading or a mean, so a large mean costs no precision.
 NaN and infinite readings give NaN results, never an error.
 """
 
@@ -21,21 +21,36 @@ def moment_aggs(col: Column | str, prefix: str) -> list[Column]:
 
 
 def merged_aggs(prefix: str) -> list[Column]:
-    """Aggregates that merge buckets; feed them to the two functions below."""
-    n, mean = F.col(f"{prefix}_n"), F.col(f"{prefix}_mean")
-    return [F.sum(n).alias(f"{prefix}_n"), F.sum(n * mean).alias(f"{prefix}_s1"),
-            F.sum(n * mean * mean).alias(f"{prefix}_s2"), F.sum(f"{prefix}_m2").alias(f"{prefix}_m2")]
+    """Aggregates that merge buckets; feed them to the two functions below.  A
+    window gathers one small struct for each of its buckets, a fixed number."""
+    n = F.col(f"{prefix}_n")
+    part = F.struct(n.cast("double").alias("n"), F.col(f"{prefix}_mean").alias("mean"), F.col(f"{prefix}_m2").alias("m2"))
+    return [F.sum(n).alias(f"{prefix}_n"), F.collect_list(F.when(n > 0, part)).alias(f"{prefix}_parts")]
+
+
+def _merge(a: Column, b: Column) -> Column:
+    """Two buckets as one: squared deviations add up around the difference of
+    the means, so the size of the mean itself does not matter."""
+    n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+    # means that differ in their last bits only: equal readings have no deviation
+    apart = F.when(F.abs(apart) <= 8.9e-16 * F.greatest(F.abs(a["mean"]), F.abs(b["mean"])), 0.0).otherwise(apart)
+    first = a["n"] == 0
+    return F.struct(n.alias("n"), F.when(first, b["mean"]).otherwise(a["mean"] + apart * b["n"] / n).alias("mean"),
+                    F.when(first, b["m2"]).otherwise(a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
+
+
+def _merged(prefix: str) -> Column:
+    zero = F.lit(0.0)
+    start = F.struct(zero.alias("n"), zero.alias("mean"), zero.alias("m2"))
+    return F.aggregate(F.array_sort(f"{prefix}_parts"), start, _merge)  # sorted: the same in any order of arrival
 
 
 def merged_mean(prefix: str) -> Column:
     """NULL for a window without readings."""
-    n = F.col(f"{prefix}_n")
-    return F.when(n > 0, F.col(f"{prefix}_s1") / n)
+    return F.when(F.col(f"{prefix}_n") > 0, _merged(prefix)["mean"])
 
 
 def merged_stddev(prefix: str) -> Column:
     """Sample standard deviation; NULL below two readings."""
     n = F.col(f"{prefix}_n")
-    between = F.col(f"{prefix}_s2") - F.col(f"{prefix}_s1") * F.col(f"{prefix}_s1") / n
-    m2 = F.col(f"{prefix}_m2") + F.greatest(between, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(m2 / (n - 1)))
+    return F.when(n > 1, F.sqrt(_merged(prefix)["m2"] / (n - 1)))
