@@ -12,14 +12,23 @@ from voltline.operators.streamsql import (BATTERY_CRITICAL_PCT, TEMP_HIGH_C, TEM
 
 
 def throughput_series(tel: DataFrame, bucket: str = "2 seconds", points: int = 40) -> DataFrame:
-    """Events per second in consecutive buckets; the newest ``points``."""
-    secs = interval_us(bucket) / 1e6
-    return (tel.where(F.col("event_timestamp").isNotNull())
-            .groupBy(F.window("event_timestamp", bucket).alias("w"))
-            .agg(F.count(F.lit(1)).alias("events"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "events", (F.col("events") / F.lit(secs)).alias("events_per_sec"))
-            .orderBy(F.desc("window_start")).limit(points))
+    """Events per second in the ``points`` consecutive buckets up to the newest
+    one, newest first; buckets without events are there with 0.  No events, no rows.
+
+    The newest ``points`` non-empty buckets cover that span, so the spine is
+    built from these few rows, in the same pass."""
+    us = interval_us(bucket)
+    counts = (tel.where(F.col("event_timestamp").isNotNull())
+              .groupBy(F.floor(F.unix_micros("event_timestamp") / F.lit(us)).alias("slot"))
+              .agg(F.count(F.lit(1)).alias("events")))
+    newest = counts.orderBy(F.desc("slot")).limit(points).agg(
+        F.max("slot").alias("newest"), F.map_from_entries(F.collect_list(F.struct("slot", "events"))).alias("by_slot"))
+    spine = newest.where(F.col("newest").isNotNull()).select(
+        F.explode(F.sequence(F.col("newest") - (points - 1), F.col("newest"))).alias("slot"), "by_slot")
+    events = F.coalesce(F.try_element_at("by_slot", F.col("slot")), F.lit(0).cast("long"))
+    return (spine.select(F.timestamp_micros(F.col("slot") * us).alias("window_start"),
+                         F.timestamp_micros((F.col("slot") + 1) * us).alias("window_end"), events.alias("events"))
+            .withColumn("events_per_sec", F.col("events") / F.lit(us / 1e6)).orderBy(F.desc("window_start")))
 
 
 def latency_percentiles(tel: DataFrame, approx: bool = False) -> DataFrame:
