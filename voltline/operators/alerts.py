@@ -139,9 +139,16 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
     as an equality key: a window overlaps at most two buckets (its row is
     repeated for each), so a statistics row only probes the events of its
     own device *and* time bucket instead of every buffered event of the
-    device."""
+    device.
+
+    The join is a left join, as in batch: an event that meets no statistics is
+    emitted once its last window has closed, and stays if it is flagged.  A
+    flagged event without event time can meet none, and no watermark would ever
+    release it from the join, so a stateless branch reports it at once."""
     bucket_s = size_minutes * 60
-    base = (silver_stream.select(*ALERT_INPUT).withWatermark("event_timestamp", watermark)
+    timeless = (silver_stream.select(*ALERT_INPUT).where(F.col("event_timestamp").isNull() & F.col("anomaly_flag")))
+    base = (silver_stream.select(*ALERT_INPUT).where(F.col("event_timestamp").isNotNull())
+            .withWatermark("event_timestamp", watermark)
             .withColumn("bucket", F.floor(F.unix_seconds("event_timestamp") / bucket_s)))
     stats = (base.groupBy(F.col("device_id").alias("r_device"),
                           F.window("event_timestamp", f"{size_minutes} minutes", "1 minute").alias("w"))
@@ -157,7 +164,10 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
     cond = ((F.col("device_id") == F.col("r_device")) & (F.col("bucket") == F.col("r_bucket"))
             & (F.col("event_timestamp") > F.col("wt") - span)
             & (F.col("event_timestamp") <= F.col("wt")))
-    joined = base.join(stats, cond, "inner")
+    joined = base.join(stats, cond, "leftOuter")
+    none = {"rolling_avg_temp": "double", "rolling_std_temp": "double", "window_start": "timestamp", "window_end": "timestamp"}
+    joined = joined.select(*ALERT_INPUT, *none).unionByName(
+        timeless.select("*", *(F.lit(None).cast(t).alias(c) for c, t in none.items())))
     stat = F.abs(F.col("temperature_c") - F.col("rolling_avg_temp")) > 3 * F.col("rolling_std_temp")
     return (joined.where(F.col("anomaly_flag") | stat)
             .select("event_id", "device_id", "device_type", "region", "event_timestamp",

@@ -236,6 +236,101 @@ def q_bronze_schema_evolution(spark, sf):
         F.date_format("event_date", "yyyy-MM-dd").alias("event_date"), "schema_version")
 
 
+def q_zorder_cluster(spark, sf):
+    """Silver rewritten along a Morton curve over device number and event time, and read again."""
+    from voltline.session import default_parallelism, scratch_path
+    path = scratch_path(spark, "zorder")
+    s = I.silver(spark, sf).select("event_id", "device_id", "event_timestamp", "event_date", "temperature_c",
+                                   "humidity_pct", "battery_pct", "is_valid", "region")
+    device = F.substring_index("device_id", "-", -1).cast("long")
+    maintenance.zorder_table(s, path, device, F.unix_micros("event_timestamp"), "event_date", default_parallelism(spark))
+    return spark.read.schema(s.schema).parquet(path).select(*s.columns)
+
+
+def q_metric_sketches(spark, sf):
+    """Latency quantiles and distinct devices by type, merged from sketches stored by minute."""
+    from voltline.operators import sketches
+    from voltline.session import scratch_path
+    tel, stored = I.telemetry(spark, sf), []
+    for name, minutes in (("latencies", sketches.minute_latencies(tel)), ("devices", sketches.minute_devices(tel))):
+        path = scratch_path(spark, f"sketch-{name}")
+        minutes.write.parquet(path)
+        stored.append(spark.read.schema(minutes.schema).parquet(path))
+    return _rounded(sketches.merged_latencies(stored[0]).join(sketches.merged_devices(stored[1]), "device_type"),
+                    "p50_ms", "p95_ms", "p99_ms")
+
+
+def _slices(spark, sf, hours=(2, 4)):
+    """Hub records by arrival: before the first hour, between the hours, after them."""
+    recs = fixture.kafka_records(I.events(spark, sf))
+    at = [F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.lit(h)) for h in hours]
+    ts = F.col("timestamp")
+    return [recs.where(ts < at[0]), *(recs.where((ts >= a) & (ts < b)) for a, b in zip(at, at[1:])), recs.where(ts >= at[-1])]
+
+
+def q_gold_kpis_replay(spark, sf):
+    """Gold over the Silver file sink, which dies between write and commit on the way."""
+    from voltline.streaming import replay
+    p = replay.replay_with_failure(spark, _slices(spark, sf), I.registry(spark, sf), "gold-replay")
+    return _rounded(spark.read.parquet(p.gold).drop("gold_written_at"), "avg_temp_c", "avg_humidity", "avg_battery")
+
+
+def q_silver_upsert_pruned(spark, sf):
+    """``silver_upsert`` with key lookups in a key table; the second batch is
+    written twice, as after a failure."""
+    from voltline.session import scratch_path
+    from voltline.streaming.jobs import silver_upsert_batch
+    root = scratch_path(spark, "silver-pruned")
+    b = I.bronze(spark, sf).withColumn("ingested_at", F.col("kafka_timestamp"))
+    upsert = silver_upsert_batch(spark, f"{root}/silver", I.registry(spark, sf), keys=f"{root}/keys")
+    upsert(b.where(F.col("kafka_timestamp") < F.lit(I.UPSERT_SPLIT)), 0)
+    upsert(b, 1)
+    upsert(b, 1)
+    return (spark.read.schema(SILVER_TABLE_SCHEMA).parquet(f"{root}/silver")
+            .select("event_id", "device_id", "kafka_partition", "kafka_offset", "event_date", "is_valid", "region",
+                    F.col("batch_id").cast("int").alias("batch_id")))
+
+
+def q_alerts_stream_left(spark, sf):
+    """``alerts_stream`` over a feed in which some events carry no time."""
+    from voltline.streaming import replay
+    recs = fixture.kafka_records(I.events(spark, sf), I.TIMELESS_EVERY)
+    p = replay.replay(spark, recs, I.registry(spark, sf), {"bronze", "silver", "alerts"}, True, "alerts-left")
+    return _rounded(spark.read.parquet(p.alerts).drop("alert_raised_at"), "rolling_avg_temp", "rolling_std_temp")
+
+
+def q_bronze_evolving_stream(spark, sf):
+    """A Bronze stream that is stopped, gets a new column, and resumes from its checkpoint."""
+    from voltline.operators.bronze import read_bronze
+    from voltline.streaming import jobs, replay
+    from voltline.streaming.sources import hub_folder_stream
+    from voltline.session import scratch_path
+    p = replay.Paths.under(scratch_path(spark, "bronze-evolving"))
+    recs = fixture.kafka_records(I.events(spark, sf))
+    rollout = F.col("timestamp") >= F.lit(I.UPSERT_SPLIT)
+    for part, extra in ((recs.where(~rollout), None), (recs.where(rollout), {"schema_version": F.lit(2)})):
+        replay.land(part, p.hub)
+        replay._run(jobs.start_bronze(hub_folder_stream(spark, p.hub), p.bronze, f"{p.ckpt}/bronze", True, extra))
+    return read_bronze(spark, p.bronze).select(
+        "kafka_partition", "kafka_offset", "kafka_timestamp",
+        F.date_format("event_date", "yyyy-MM-dd").alias("event_date"), "schema_version")
+
+
+def q_retention_expire(spark, sf):
+    """Rows left by layer and date after the retention plan was carried out; the
+    first run stops after one partition."""
+    from voltline.session import scratch_path
+    parts = []
+    for layer in maintenance.RETENTION_RULES:
+        path = scratch_path(spark, f"expire-{layer}")
+        (I.events(spark, sf).withColumn("partition_date", F.to_date("ts")).write.partitionBy("partition_date").parquet(path))
+        maintenance.expire(spark, path, layer, I.RETENTION_AS_OF, at_most=1)
+        maintenance.expire(spark, path, layer, I.RETENTION_AS_OF)
+        left = spark.read.parquet(path).groupBy("partition_date").agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(left.select(F.lit(layer).alias("layer"), "partition_date", "rows"))
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
     "bronze_project": q_bronze_project,
     "silver_parse": q_silver_parse,
@@ -276,4 +371,11 @@ QUERIES = {
     "asa_tumbling_stream": q_asa_tumbling_stream,
     "asa_hopping_stream": q_asa_hopping_stream,
     "bronze_schema_evolution": q_bronze_schema_evolution,
+    "gold_kpis_replay": q_gold_kpis_replay,
+    "silver_upsert_pruned": q_silver_upsert_pruned,
+    "alerts_stream_left": q_alerts_stream_left,
+    "bronze_evolving_stream": q_bronze_evolving_stream,
+    "retention_expire": q_retention_expire,
+    "zorder_cluster": q_zorder_cluster,
+    "metric_sketches": q_metric_sketches,
 }

@@ -19,6 +19,8 @@ SILVER_SCALAR = ["kafka_key", "kafka_partition", "kafka_offset", "kafka_timestam
 
 # Fixed value: boundary between the two upsert batches of ``silver_upsert``.
 UPSERT_SPLIT = _dt.datetime(2024, 1, 1, 3, 0, 0)
+# Fixed value: every such event of ``alerts_stream_left`` carries no event time.
+TIMELESS_EVERY = 11
 # Fixed value: run date of the retention plan.
 RETENTION_AS_OF = _dt.date(2024, 4, 1)
 

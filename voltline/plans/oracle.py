@@ -276,12 +276,13 @@ al AS (
   WHERE CAST(anomaly_flag AS BIGINT) = 1 OR temperature_c > 80 OR temperature_c < -20
      OR battery_pct < 10)"""
 
-SQL["throughput_series"] = f"""WITH {TEL}
-SELECT time_bucket(INTERVAL 2 SECOND, event_timestamp) AS window_start,
-       time_bucket(INTERVAL 2 SECOND, event_timestamp) + INTERVAL 2 SECOND AS window_end,
-       COUNT(*) AS events, CAST(COUNT(*) AS DOUBLE) / {D(2)} AS events_per_sec
-FROM tel WHERE event_timestamp IS NOT NULL
-GROUP BY 1 ORDER BY window_start DESC LIMIT 40"""
+SQL["throughput_series"] = f"""WITH {TEL},
+b AS (SELECT epoch_us(event_timestamp) // 2000000 AS slot, COUNT(*) AS events
+      FROM tel WHERE event_timestamp IS NOT NULL GROUP BY 1),
+spine AS (SELECT unnest(generate_series(m - 39, m)) AS slot FROM (SELECT MAX(slot) AS m FROM b))
+SELECT make_timestamp(slot * 2000000) AS window_start, make_timestamp(slot * 2000000 + 2000000) AS window_end,
+       coalesce(events, 0) AS events, CAST(coalesce(events, 0) AS DOUBLE) / {D(2)} AS events_per_sec
+FROM spine LEFT JOIN b USING (slot)"""
 
 SQL["latency_p99"] = f"""WITH {TEL},
 l AS (SELECT device_type, (epoch_us(kafka_timestamp) - epoch_us(event_timestamp)) // 1000 AS lat
@@ -466,4 +467,44 @@ FROM deliv"""
 
 SQL["bronze_stream"] = SQL["bronze_project"]
 
+# A killed and resumed pipeline, pruned lookups and an evolving stream give what
+# the plain queries give.
+SQL["gold_kpis_replay"] = SQL["gold_kpis"]
+SQL["silver_upsert_pruned"] = SQL["silver_upsert"]
+SQL["bronze_evolving_stream"] = SQL["bronze_schema_evolution"]
+
+# The same alerts where every 11th event carries a text that is no time: such an
+# event is in no window, and the LEFT JOIN keeps it if it is flagged.
+TEL_TIMELESS = TEL.replace("tel AS (", "timed AS (", 1) + """,
+tel AS (
+  SELECT * REPLACE (CASE WHEN n_id % 11 = 0 THEN 'no time' ELSE timestamp_utc END AS timestamp_utc,
+                    CASE WHEN n_id % 11 = 0 THEN NULL ELSE event_timestamp END AS event_timestamp)
+  FROM timed
+)"""
+SQL["alerts_stream_left"] = SQL["alerts_stream"].replace(TEL, TEL_TIMELESS)
+
+SQL["zorder_cluster"] = SQL["compact_cluster"]
+
+# Quantiles as the middle of logarithmic buckets (1 % relative error).
+_Q = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+SQL["metric_sketches"] = f"""WITH {TEL},
+l AS (SELECT device_type, device_id, (epoch_us(kafka_timestamp) - epoch_us(event_timestamp)) // 1000 AS ms
+      FROM tel WHERE event_timestamp IS NOT NULL),
+b AS (SELECT device_type, CASE WHEN ms > 0 THEN ceil(ln(ms) / ln({D('1.01')} / 0.99)) END AS bucket, COUNT(*) AS n
+      FROM l GROUP BY ALL),
+r AS (SELECT *, SUM(n) OVER (PARTITION BY device_type ORDER BY bucket NULLS FIRST) AS upto,
+             SUM(n) OVER (PARTITION BY device_type) AS total FROM b),
+q AS (SELECT device_type, {", ".join(
+    f"round(coalesce(2 * pow({D('1.01')} / 0.99, arg_min(coalesce(bucket, -1e9), upto) FILTER (WHERE upto >= ceil({D(v)} * total)))"
+    f" / ({D('1.01')} / 0.99 + 1), 0), 6) AS {k}" for k, v in _Q.items())}
+      FROM r GROUP BY device_type),
+d AS (SELECT device_type, COUNT(DISTINCT device_id) AS active_devices, COUNT(*) AS events FROM l GROUP BY device_type)
+SELECT * FROM q JOIN d USING (device_type)"""
+
+SQL["retention_expire"] = """WITH
+p AS (SELECT CAST(ts AS DATE) AS partition_date, COUNT(*) AS rows FROM events GROUP BY 1)
+SELECT layer, partition_date, rows
+FROM p, (VALUES ('bronze', 90), ('gold', 365)) v(layer, days)
+WHERE date_diff('day', partition_date, DATE '2024-04-01') <= days"""
+
 ORACLE_SQL = SQL

@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Key lookups push up to this many keys into the scan, where Bloom filters tell them apart.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Streaming session windows: merge each input partition's events into
     # partial sessions before the shuffle, so a hot device reaches its state
     # task as a few partial sessions instead of all of its raw events.
@@ -68,6 +70,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     for key in ("spark.sql.session.timeZone",
                 "spark.sql.adaptive.enabled",
                 "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.parquet.pushdown.inFilterThreshold",
                 "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"):
         spark.conf.set(key, SESSION_CONF[key])
 

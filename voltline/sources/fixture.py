@@ -85,13 +85,16 @@ PAYLOAD_FIELDS = ["event_id", "device_id", "device_type", "timestamp_utc", "lati
                   "battery_pct", "firmware_version", "anomaly_flag", "payload"]
 
 
-def kafka_records(events: DataFrame) -> DataFrame:
+def kafka_records(events: DataFrame, timeless_every: int | None = None) -> DataFrame:
     """Kafka-protocol records (key, value, topic, partition, offset,
     timestamp) as the hub would deliver them, including broken JSON text and
-    a second delivery of some events (at-least-once)."""
+    a second delivery of some events (at-least-once).  ``timeless_every``:
+    events with such an id carry a text that is no time."""
     # spread over tasks by offset, as a hub source would deliver its partitions
     t = telemetry(events).repartition("kafka_offset")
     eid = F.col("kafka_offset")
+    if timeless_every:
+        t = t.withColumn("timestamp_utc", F.when(eid % timeless_every == 0, "no time").otherwise(F.col("timestamp_utc")))
     good = F.to_json(F.struct(*PAYLOAD_FIELDS))
     broken = F.concat(F.lit('{"event_id": "'), F.col("event_id"), F.lit('", "device_id": '))
     value = F.when(eid % MALFORMED_EVERY == 0, broken).otherwise(good)

@@ -8,20 +8,18 @@ stopped and a replayed micro-batch does not duplicate rows.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from contextlib import contextmanager
-from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltline.operators import alerts as alert_ops
-from voltline.operators import gold, sessions, streamsql
+from voltline.operators import gold, keytable, sessions, streamsql
 from voltline.operators.bronze import project_bronze
-from voltline.operators.silver import parse_and_validate, silver_upsert_rows
+from voltline.operators.silver import add_quality, enrich, parse_and_validate, silver_upsert_rows
 from voltline.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from voltline.session import default_parallelism
 from voltline.streaming.sources import table_stream
@@ -31,6 +29,7 @@ TRIGGERS = {"bronze": "10 seconds", "silver": "30 seconds", "gold_kpis": "1 minu
             "alerts": "30 seconds"}
 KPI_WATERMARK = "2 minutes"
 ALERT_WATERMARK = "1 minute"
+DEDUP_DELAY = "1 hour"  # how much later, by hub time, a second delivery may come
 
 SILVER_TABLE_SCHEMA = T.StructType(SILVER_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
 
@@ -58,9 +57,13 @@ def _trigger(writer, name: str, available_now: bool):
 
 
 def start_bronze(records: DataFrame, bronze_path: str, checkpoint: str,
-                 available_now: bool = False):
-    """Hub records -> Bronze, appended and partitioned by hub date."""
-    w = (project_bronze(records).writeStream.format("parquet").outputMode("append")
+                 available_now: bool = False, extra: dict[str, Column] | None = None):
+    """Hub records -> Bronze, appended and partitioned by hub date.  ``extra``:
+    columns that a later version of the job adds; it resumes from the same
+    checkpoint, and files of both versions are one table (``mergeSchema``)."""
+    # a file sink writes literals as required columns, which older files lack: tie them to a nullable one
+    added = {c: F.when(F.col("kafka_timestamp").isNotNull(), x) for c, x in (extra or {}).items()}
+    w = (project_bronze(records).withColumns(added).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("event_date"))
     return _trigger(w, "bronze", available_now).start(bronze_path)
 
@@ -68,8 +71,8 @@ def start_bronze(records: DataFrame, bronze_path: str, checkpoint: str,
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str]):
     """Create an empty table with a fixed schema so readers can start
     before the first writer batch lands."""
-    local = urlparse(path).scheme in ("", "file")
-    if local and os.path.exists(urlparse(path).path):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):  # in any store that Spark reads
         return
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
@@ -93,7 +96,8 @@ def _landed(spark: SparkSession, marker: str) -> bool:
         return False
 
 
-def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registry, landed: str | None = None):
+def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registry, landed: str | None = None,
+                        keys: str | None = None):
     """foreachBatch function: parse + validate + flag + enrich the batch,
     drop in-batch duplicates, insert only event_ids the table does not hold.
 
@@ -108,17 +112,28 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registr
     ``landed``: folder for a mark of every batch that is complete.  A replay
     of a marked batch keeps its files, so a stream that has read them does not
     meet them again under new names.  Only a failure between the table's write
-    and the mark still rewrites files."""
+    and the mark still rewrites files (``start_silver_sink`` has no such gap).
+
+    ``keys``: folder of a key table; a batch then reads the buckets of its own
+    keys instead of the whole key history."""
     def upsert(batch_df: DataFrame, batch_id: int) -> None:
         marker = f"{landed}/batch_id={batch_id}"
         if landed and _landed(spark, marker):
             return
         devices = registry() if callable(registry) else registry
-        fresh = (silver_upsert_rows(batch_df, devices, target_keys(spark, silver_path, batch_id))
+        if keys:
+            ensure_table(spark, keys, T._parse_datatype_string(keytable.SCHEMA), ["bucket", "batch_id"])
+            held = keytable.known_keys(spark, keys, parse_and_validate(batch_df).select("event_id"), batch_id)
+        else:
+            held = target_keys(spark, silver_path, batch_id)
+        fresh = (silver_upsert_rows(batch_df, devices, held)
                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (fresh.select(*SILVER_TABLE_SCHEMA.fieldNames()).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "event_date").parquet(silver_path))
+        if keys:
+            written = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_path).where(F.col("batch_id") == F.lit(batch_id))
+            keytable.write_keys(written, keys, batch_id)
         if landed:
             spark.range(1).write.mode("overwrite").parquet(marker)
     return upsert
@@ -136,6 +151,24 @@ def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, regist
     return _trigger(w, "silver", available_now).start()
 
 
+def start_silver_sink(spark: SparkSession, bronze_path: str, silver_path: str, registry: DataFrame,
+                      checkpoint: str, available_now: bool = False, max_files: int | None = None,
+                      delay: str = DEDUP_DELAY):
+    """Bronze table (as a stream) -> Silver as an exactly-once file sink.
+
+    Duplicates are dropped in the stream: an event_id is kept in state until the
+    hub time has passed it by ``delay``, so state is bounded by the rate times
+    the delay.  The sink lists the files of each batch in its own log; what a
+    failed attempt wrote is not listed, so neither batch nor stream readers
+    (Gold) ever see it, and a replayed batch lists its files once."""
+    rows = (parse_and_validate(table_stream(spark, bronze_path, BRONZE_SCHEMA, max_files))
+            .withWatermark("kafka_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"]))
+    silver = enrich(add_quality(rows), registry)
+    w = (silver.select(*SILVER_SCHEMA.fieldNames()).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).partitionBy("event_date"))
+    return _trigger(w, "silver", available_now).start(silver_path)
+
+
 def silver_stream(spark: SparkSession, silver_path: str) -> DataFrame:
     return table_stream(spark, silver_path, SILVER_TABLE_SCHEMA)
 

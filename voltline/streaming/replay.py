@@ -30,7 +30,8 @@ def land(records: DataFrame, hub: str) -> None:
 def sentinel(records: DataFrame) -> DataFrame:
     parsed = F.from_json(F.col("value").cast("string"), PARSE_SCHEMA)
     ok = records.withColumn("p", parsed).where(F.col("p.event_id").isNotNull()
-                                               & F.col("p._corrupt_record").isNull())
+                                               & F.col("p._corrupt_record").isNull()
+                                               & parse_event_time(F.col("p.timestamp_utc")).isNotNull())
     top = ok.orderBy(F.desc("offset")).limit(1)
     shifted_ts = format_iso_utc(parse_event_time(F.col("p.timestamp_utc")) + F.expr(SENTINEL_SHIFT))
     fields = [F.concat(F.col("p.event_id"), F.lit("-sentinel")).alias("event_id")
@@ -114,3 +115,57 @@ def replay(spark: SparkSession, records: DataFrame, registry: DataFrame, stages:
     for _ in range(settle_rounds):
         run_round(spark, p, registry, stages)
     return p
+
+
+def _files(spark: SparkSession, folder: str):
+    """Batch number and path of the entries of a checkpoint or sink log."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(f.getPath().getName(), f.getPath()) for f in fs.listStatus(path)] if fs.exists(path) else []
+    return fs, [(int(name), p) for name, p in found if name.isdigit()]
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last committed batch; -1 before the first."""
+    return max((n for n, _ in _files(spark, f"{checkpoint}/commits")[1]), default=-1)
+
+
+def as_if_killed_before_commit(spark: SparkSession, checkpoint: str, sink: str, batch: int) -> None:
+    """Leaves what a job would leave that dies after ``batch`` has written its
+    files and before anything is committed: the offsets of the batch and its
+    data files, but neither the sink's list of them nor the commit, and
+    nothing of later batches."""
+    for folder, first in ((f"{checkpoint}/commits", batch), (f"{checkpoint}/offsets", batch + 1),
+                          (f"{sink}/_spark_metadata", batch)):
+        fs, entries = _files(spark, folder)
+        for n, path in entries:
+            if n >= first:
+                fs.delete(path, False)
+
+
+def replay_with_failure(spark: SparkSession, slices: list[DataFrame], registry: DataFrame, name: str) -> Paths:
+    """Lands the slices one after another and runs Bronze, the Silver file sink
+    and Gold after each, one file a trigger.  During the second slice Silver
+    dies between its write and its commit; Gold reads in between; Silver then
+    resumes and writes the batch again.  A sentinel closes the windows."""
+    p = Paths.under(scratch_path(spark, name))
+    sink, done = f"{p.ckpt}/silver", -1
+
+    def silver() -> None:
+        _run(jobs.start_silver_sink(spark, p.bronze, p.silver, registry, sink, True, max_files=4))
+
+    def gold() -> None:
+        _run(jobs.start_gold_kpis(spark, p.silver, p.gold, f"{p.ckpt}/gold", True))
+
+    with jobs.stream_partitions(spark):
+        for i, part in enumerate([*slices, None]):
+            land(sentinel(spark.read.schema(KAFKA_SCHEMA).parquet(p.hub)) if part is None else part, p.hub)
+            _run(jobs.start_bronze(hub_folder_stream(spark, p.hub, 4), p.bronze, f"{p.ckpt}/bronze", True))
+            silver()
+            if i == 1:
+                as_if_killed_before_commit(spark, sink, p.silver, done + 1)
+                gold()
+                silver()
+            done = last_batch(spark, sink)
+            gold()
+    return p

@@ -44,6 +44,9 @@ def hub_folder_stream(spark: SparkSession, path: str, max_files: int | None = No
     return r.parquet(path)
 
 
-def table_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+def table_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """A Parquet table (possibly partitioned) read as a stream of new files."""
-    return spark.readStream.schema(schema).parquet(path)
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", str(max_files))
+    return r.parquet(path)
