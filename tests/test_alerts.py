@@ -1,4 +1,10 @@
 import datetime as dt
+import math
+import random
+import statistics
+import time
+
+import pytest
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -51,14 +57,51 @@ def test_sliding_stats_match_direct_windows(spark):
     assert all(x[2] == y[2] or abs(x[2] - y[2]) < 1e-9 for x, y in zip(a, b, strict=True))
 
 
-def test_trailing_chunks_match_unchunked(spark):
+@pytest.mark.parametrize("frame", [600, 47])
+def test_trailing_blocks_match_sliding_frame(spark, frame):
     from voltline.plans import inputs as I
     s = I.silver(spark, SF_SMALL)
-    mine = alerts_trailing(s, chunk_seconds=900).select("event_id", "trailing_n")
+    mine = alerts_trailing(s, frame).select("event_id", "trailing_n")
     w = (Window.partitionBy("device_id").orderBy(F.unix_micros("event_timestamp"))
-         .rangeBetween(-600_000_000, 0))
+         .rangeBetween(-frame * 1_000_000, 0))
     brute = (s.where(F.col("event_timestamp").isNotNull())
              .select("event_id", F.count("temperature_c").over(w).alias("trailing_n")))
     got = dict((r.event_id, r.trailing_n) for r in mine.collect())
     want = dict((r.event_id, r.trailing_n) for r in brute.collect())
     assert got and all(want[k] == v for k, v in got.items())
+
+
+def test_trailing_frame_edges(spark):
+    # ties, readings exactly one frame apart, nulls, a large mean, an event without time
+    rng = random.Random(3)
+    secs = [0, 0, 600, 600, 1200, 1199.999999, *(rng.randrange(0, 4000) for _ in range(120))]
+    rows = [(f"e{i}", "d1", _ts(x), None if i % 13 == 5 else 1e9 + rng.random(), True) for i, x in enumerate(secs)]
+    rows.append(("none", "d1", None, 5.0, True))
+    rows.append(("quiet", "d1", None, 5.0, False))
+    got = {r.event_id: r for r in alerts_trailing(telemetry_rows(spark, rows)).collect()}
+    assert set(got) == {r[0] for r in rows} - {"quiet"}
+    assert got["none"].trailing_n is None and got["none"].trailing_std_temp is None
+    for i, x in enumerate(secs):
+        frame = [rows[k][3] for k, y in enumerate(secs) if x - 600 <= y <= x and rows[k][3] is not None]
+        r = got[f"e{i}"]
+        assert r.trailing_n == len(frame)
+        if frame:
+            assert math.isclose(r.trailing_avg_temp, statistics.fmean(frame), rel_tol=1e-15)
+        if len(frame) > 1:
+            assert math.isclose(r.trailing_std_temp, statistics.stdev(frame), rel_tol=1e-6)
+
+
+def test_trailing_frame_is_linear_on_one_device(spark):
+    def seconds(n):
+        tel = telemetry_rows(spark, [("x", "d1", _ts(0), 20.0, False)]).drop("event_id", "event_timestamp", "temperature_c")
+        rows = (spark.range(n).crossJoin(tel)  # one row on the right
+                .select("*", F.col("id").cast("string").alias("event_id"), F.rand(5).alias("temperature_c"),
+                        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * F.lit(3_600_000_000 // n))
+                        .alias("event_timestamp")))
+        start = time.monotonic()
+        alerts_trailing(rows).write.format("noop").mode("overwrite").save()
+        return time.monotonic() - start
+
+    seconds(10_000)
+    small = seconds(100_000)
+    assert seconds(400_000) <= 5 * small

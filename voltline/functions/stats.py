@@ -39,6 +39,18 @@ def _merge(a: Column, b: Column) -> Column:
                     F.when(first, b["m2"]).otherwise(a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
 
 
+def merge_two(a: Column, b: Column) -> Column:
+    """Two buckets (structs of n, mean, m2; either may be empty) as one."""
+    return F.when(b["n"] == 0, a).otherwise(_merge(a, b))
+
+
+def bucket(n: Column, mean: Column, var_pop: Column) -> Column:
+    """Count, mean and population variance as a bucket; empty: zeros."""
+    n, zero = n.cast("double"), F.lit(0.0)
+    return F.struct(n.alias("n"), F.when(n > 0, mean).otherwise(zero).alias("mean"),
+                    F.when(n > 0, var_pop * n).otherwise(zero).alias("m2"))
+
+
 def _merged(prefix: str) -> Column:
     zero = F.lit(0.0)
     start = F.struct(zero.alias("n"), zero.alias("mean"), zero.alias("m2"))

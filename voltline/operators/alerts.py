@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltline.functions.stats import merged_aggs, merged_mean, merged_stddev, moment_aggs
+from voltline.functions.stats import bucket, merge_two, merged_aggs, merged_mean, merged_stddev, moment_aggs
 
 # Fixed value: detection method label written on every alert row.
 DETECTION_METHOD = "statistical_outlier"
@@ -88,33 +88,42 @@ def alerts_per_event(silver: DataFrame, size_minutes: int = 10) -> DataFrame:
             .withColumn("trigger", _trigger(F.col("model_anomaly_flag"), F.col("stat_windows") > 0)))
 
 
-def alerts_trailing(silver: DataFrame, frame_seconds: int = 600, chunk_seconds: int = 3600) -> DataFrame:
+def alerts_trailing(silver: DataFrame, frame_seconds: int = 600) -> DataFrame:
     """Trailing-frame variant: statistics over the device's readings in
     [ts - 10 min, ts] (the event itself included).
 
-    Rows are partitioned by (device, hour chunk) instead of device alone; the
-    last ``frame_seconds`` of each chunk are copied into the next chunk as a
-    halo, so every frame is complete inside one partition and a hot device is
-    spread over all its chunks."""
-    if frame_seconds > chunk_seconds:
-        raise ValueError("frame must not be longer than a chunk")
+    Time is cut into blocks as long as the frame.  The frame of an event is then
+    the end of the previous block, from ts - 10 min on, and the start of its own
+    block, up to ts.  Each reading is placed in its own block at its time, and in
+    the next block one frame later; a running aggregate from the left gives the
+    second part, one from the right the first, and the two merge.  So each row
+    costs the same however dense the device is (a sliding frame reads its whole
+    content again for each row), nothing is subtracted, and a hot device is
+    spread over its blocks.
+
+    A flagged event without event time has no frame, and is reported without
+    statistics."""
     frame_us = frame_seconds * 1_000_000
-    chunk_us = chunk_seconds * 1_000_000
-    rows = (silver.select(*ALERT_INPUT).where(F.col("event_timestamp").isNotNull())
-            .withColumn("us", F.unix_micros("event_timestamp"))
-            .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us))))
-    spill = F.col("us") >= (F.col("chunk") + 1) * chunk_us - frame_us
-    homes = F.when(spill, F.array(F.col("chunk"), F.col("chunk") + 1)).otherwise(F.array(F.col("chunk")))
-    placed = rows.select("*", F.explode(homes).alias("part"))
-    w = Window.partitionBy("device_id", "part").orderBy("us").rangeBetween(-frame_us, 0)
-    stats = (placed.select("*", F.count("temperature_c").over(w).alias("trailing_n"),
-                           F.avg("temperature_c").over(w).alias("trailing_avg_temp"),
-                           F.stddev_samp("temperature_c").over(w).alias("trailing_std_temp"))
-             .where(F.col("part") == F.col("chunk")))
-    # a flagged event without event time has no frame, and is reported without statistics
-    timeless = silver.select(*ALERT_INPUT).where(F.col("event_timestamp").isNull() & F.col("anomaly_flag"))
-    out = (stats.select(*ALERT_INPUT, "trailing_n", "trailing_avg_temp", "trailing_std_temp")
-           .unionByName(timeless, allowMissingColumns=True))
+    us = F.unix_micros("event_timestamp")
+    # events without time are dealt over blocks by their id; their readings count in none
+    block = F.coalesce(F.floor(us / F.lit(frame_us)), -1 - F.pmod(F.xxhash64("event_id"), F.lit(4096)))
+    here = F.struct(block.alias("part"), us.alias("at"), F.lit(True).alias("own"))
+    next_one = F.struct((block + 1).alias("part"), (us + frame_us).alias("at"), F.lit(False).alias("own"))
+    places = F.when(us.isNotNull(), F.array(here, next_one)).otherwise(F.array(here))
+    placed = (silver.select(*ALERT_INPUT).select("*", F.explode(places).alias("p"))
+              .select("device_id", "p.part", "p.at", "p.own", F.when(F.col("p.at").isNotNull(), F.col("temperature_c")).alias("t"),
+                      F.when(F.col("p.own"), F.struct(*ALERT_INPUT)).alias("row")))
+    by_block = Window.partitionBy("device_id", "part")
+    up, down = by_block.orderBy(F.asc("at")), by_block.orderBy(F.desc("at"))  # ties included
+    mine, before = F.when(F.col("own"), F.col("t")), F.when(~F.col("own"), F.col("t"))
+    halves = placed.select("row", "own", "at", *(
+        bucket(F.count(x).over(w), F.avg(x).over(w), F.var_pop(x).over(w)).alias(name)
+        for name, x, w in (("mine", mine, up), ("before", before, down))))
+    merged = halves.where("own").select("row.*", "at", merge_two(F.col("before"), F.col("mine")).alias("f"))
+    n = F.col("f.n")
+    out = merged.select(*ALERT_INPUT, F.when(F.col("at").isNotNull(), n.cast("long")).alias("trailing_n"),
+                        F.when(n > 0, F.col("f.mean")).alias("trailing_avg_temp"),
+                        F.when(n > 1, F.sqrt(F.col("f.m2") / (n - 1))).alias("trailing_std_temp"))
     stat = F.abs(F.col("temperature_c") - F.col("trailing_avg_temp")) > 3 * F.col("trailing_std_temp")
     return (out.where(F.col("anomaly_flag") | stat)
             .select("event_id", "device_id", "device_type", "region", "event_timestamp",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltline.functions.timefmt import hub_latency_ms, interval_us
@@ -99,14 +99,15 @@ def recent_alerts(tel: DataFrame, k: int = 8, minutes: int = 5) -> DataFrame:
 
 def region_throughput(silver: DataFrame) -> DataFrame:
     """Events per second by region over the observed span, and each
-    region's share of the busiest region."""
-    span = silver.select((F.unix_micros(F.max("event_timestamp"))
-                          - F.unix_micros(F.min("event_timestamp"))) / F.lit(1_000_000.0)).scalar()
-    per = (silver.where(F.col("event_timestamp").isNotNull())
-           .groupBy("region").agg(F.count(F.lit(1)).alias("events")))
-    busiest = per.select(F.max("events")).scalar()
-    return per.select("region", "events", (F.col("events") / span).alias("events_per_sec"),
-                      (F.lit(100.0) * F.col("events") / busiest).alias("pct_of_busiest"))
+    region's share of the busiest region.  One pass: span and maximum come from
+    the rows by region, which are few."""
+    at = F.col("event_timestamp")
+    per = silver.groupBy("region").agg(F.count(at).alias("events"), F.min(at).alias("first"), F.max(at).alias("last"))
+    every = Window.partitionBy()
+    span = (F.unix_micros(F.max("last").over(every)) - F.unix_micros(F.min("first").over(every))) / F.lit(1_000_000.0)
+    return (per.where("events > 0")
+            .select("region", "events", (F.col("events") / span).alias("events_per_sec"),
+                    (F.lit(100.0) * F.col("events") / F.max("events").over(every)).alias("pct_of_busiest")))
 
 
 # Layer SLA targets (seconds) and trigger / window settings.
@@ -138,19 +139,18 @@ def sla_attainment(tel: DataFrame) -> DataFrame:
 def event_log(silver: DataFrame, rejects: DataFrame, k: int = 80) -> DataFrame:
     """Newest ``k`` pipeline log lines: threshold alerts, quality warnings
     and dead letters, stamped with their hub arrival time."""
-    al = (silver.where(F.col("anomaly_flag") | (F.col("temperature_c") > TEMP_HIGH_C)
-                       | (F.col("temperature_c") < TEMP_LOW_C)
-                       | (F.col("battery_pct") < BATTERY_CRITICAL_PCT))
-          .select(F.col("kafka_timestamp").alias("log_time"), F.lit("ALERT").alias("badge"),
-                  F.col("event_id").alias("ref"),
-                  F.concat_ws(" ", F.lit("alert on"), "device_id").alias("message")))
-    warn = (silver.where(~F.col("is_valid"))
-            .select(F.col("kafka_timestamp").alias("log_time"), F.lit("WARN").alias("badge"),
-                    F.col("event_id").alias("ref"),
-                    F.concat_ws(" ", F.array_join("quality_flags", ","), F.lit("on"), "device_id")
-                    .alias("message")))
+    def line(wanted, badge, message):
+        return F.when(wanted, F.struct(F.lit(badge).alias("badge"), message.alias("message")))
+    alert = (F.col("anomaly_flag") | (F.col("temperature_c") > TEMP_HIGH_C)
+             | (F.col("temperature_c") < TEMP_LOW_C) | (F.col("battery_pct") < BATTERY_CRITICAL_PCT))
+    lines = F.array_compact(F.array(
+        line(alert, "ALERT", F.concat_ws(" ", F.lit("alert on"), "device_id")),
+        line(~F.col("is_valid"), "WARN", F.concat_ws(" ", F.array_join("quality_flags", ","), F.lit("on"), "device_id"))))
+    seen = (silver.select(F.col("kafka_timestamp").alias("log_time"), F.col("event_id").alias("ref"),
+                          F.explode(lines).alias("line"))  # one pass for both kinds of line
+            .select("log_time", "line.badge", "ref", "line.message"))
     dead = rejects.select(F.col("kafka_timestamp").alias("log_time"), F.lit("ERROR").alias("badge"),
                           F.concat(F.lit("offset-"), F.col("kafka_offset").cast("string")).alias("ref"),
                           F.concat_ws(" ", F.lit("dead letter"), "reject_reason").alias("message"))
-    return (al.unionByName(warn).unionByName(dead)
+    return (seen.unionByName(dead)
             .orderBy(F.desc("log_time"), "badge", F.desc("ref")).limit(k))
