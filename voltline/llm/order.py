@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
-from voltline.llm.common import U64, bounded_batches, materialise, mix
+from voltline.llm.common import U64, bounded_batches, materialise, mix, release
 from voltline.llm.tokens import END_ID, encoder, vocabulary_path
 
 STRIDE = 2048  # tokens of a record
@@ -173,7 +173,9 @@ def write_order(seqs: DataFrame, out: str, key: int, per_shard: int = PER_SHARD,
                 .mapInArrow(number, "sequence_id long, n_tokens int, doc_ids array<long>, ids binary, "
                                     "slot long, shard long"))
     tasks = max(1, -(-total // per_shard))
-    return (numbered.repartition(tasks, "shard").sortWithinPartitions("slot").mapInArrow(write, INDEX))
+    # a partition is one range of slots, the shard itself: no task has two, none is left without
+    return (numbered.repartitionById(tasks, F.col("shard").cast("int")).sortWithinPartitions("slot")
+            .mapInArrow(write, INDEX))
 
 
 def shard_name(shard: int) -> str:
@@ -202,4 +204,6 @@ def training_order(docs: DataFrame, out: str, key: int, path: str | None = None,
                    per_shard: int = PER_SHARD) -> DataFrame:
     """Tokenise, number, permute and write ``docs``; the index is the result."""
     seqs = materialise(sequences(docs, path, stride), "sequences")
-    return materialise(write_order(seqs, out, key, per_shard, stride), "order-index")
+    index = materialise(write_order(seqs, out, key, per_shard, stride), "order-index")
+    release(seqs)
+    return index
