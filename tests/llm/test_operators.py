@@ -161,6 +161,29 @@ def test_packing_limits():
         assert len(s) <= 4 and sum(x[2] for x in s) <= 40 and sum(x[1] for x in s) == s[0][3] <= 100
 
 
+def test_packing_instructions(spark):
+    """Prompts bear no loss; the limit on loss-bearing tokens binds before the token limit."""
+    rows = [(i, None if i % 7 == 0 else "what is it? " * (i % 5), None if i % 11 == 3 else f"answer {i} " * (i % 9))
+            for i in range(120)] + [(500, "long prompt " * 700, "x"), (501, "", "long answer " * 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, question string, text string").coalesce(1)
+    pieces = packing.pack_documents(docs, max_tokens=256, max_segments=8, max_loss=100, with_ids=True,
+                                    prompt="question").collect()
+    prompts, texts = (reference_ids([r[k] for r in rows]) for k in (1, 2))
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_seq[p.sequence_id].append(p)
+    for (d, *_), q, t in zip(rows, prompts, texts, strict=True):
+        lead = list(q)[:-1]  # without the end id
+        got = sorted(by_doc[d], key=lambda p: p.start)
+        assert [x for p in got for x in np.frombuffer(p.ids, "<u2").tolist()] == lead + list(t)
+        assert sum(p.loss_tokens for p in got) == len(t)
+    for s in by_seq.values():
+        assert len(s) <= 8 and sum(p.loss_tokens for p in s) <= 100 and sum(p.length for p in s) <= 256
+    full = [sum(p.loss_tokens for p in s) for s in by_seq.values()]
+    assert sum(x >= 95 for x in full) > len(full) / 2  # the third limit binds
+
+
 def test_packing_empty(empty_docs):
     assert packing.pack_documents(empty_docs).collect() == []
 
@@ -201,6 +224,14 @@ def test_training_order_round_trip(spark, edge_docs, edge_rows):
         assert np.array(ids, "<u2").tobytes() in row
 
 
+def test_training_order_has_a_task_for_each_shard(spark):
+    docs = spark.range(300).selectExpr("id doc_id", "repeat(concat('text number ', id, ' '), 40) text")
+    out = "file://" + scratch_path(spark, "order-tasks").removeprefix("file://")
+    index = order.write_order(materialise(order.sequences(docs, stride=64), "seqs"), out, 7, 10, 64)
+    shards = [r for r in index.groupBy(F.spark_partition_id()).agg(F.count_distinct("shard").alias("n")).collect()]
+    assert len(shards) > 20 and all(r.n == 1 for r in shards)
+
+
 def test_training_order_empty(spark, empty_docs):
     out = "file://" + scratch_path(spark, "order-empty").removeprefix("file://")
     assert order.training_order(empty_docs, out, 1).collect() == []

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from voltline.llm.common import bounded_batches
 from voltline.llm.tokens import END_ID, encoder, vocabulary_path
@@ -141,9 +142,12 @@ class Packer:
 
 def pack_documents(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS,
                    max_segments: int = MAX_SEGMENTS, max_loss: int | None = None,
-                   with_ids: bool = False) -> DataFrame:
-    """One row for each piece of each document's ids (its text's, then the end
-    id; all bear loss).  ``with_ids`` adds the ids as 16-bit little-endian."""
+                   with_ids: bool = False, prompt: str | None = None) -> DataFrame:
+    """One row for each piece of each document's ids (its prompt's, its text's,
+    then the end id).  ``prompt``: column of instruction data whose tokens come
+    first and bear no loss (null: empty); without it all tokens bear loss.
+    ``max_loss`` bounds the loss-bearing tokens of a sequence.  ``with_ids`` adds
+    the ids as 16-bit little-endian."""
     path = path or vocabulary_path()
     schema = SCHEMA + (", ids binary" if with_ids else "")
     bounded_batches(docs.sparkSession)
@@ -153,15 +157,18 @@ def pack_documents(docs: DataFrame, path: str | None = None, max_tokens: int = M
         packer = Packer(max_tokens, max_segments, max_loss, first_sequence=TaskContext.get().partitionId() << 36)
         end = np.array([END_ID], "<u2")
         for batch in batches:
-            ids = enc.encode(batch.column(1))
+            ids, lead = enc.encode(batch.column(1)), enc.encode(batch.column(2)) if prompt else None
             labels = batch.column(0).to_pylist()
+            lead = lead if prompt else [end[:0]] * len(labels)
             for k in range(0, len(labels), PENDING):
-                packer.add([(d, x := np.concatenate((t, end)), len(x))
-                            for d, t in zip(labels[k:k + PENDING], ids[k:k + PENDING], strict=True)])
+                some = slice(k, k + PENDING)
+                packer.add([(d, np.concatenate((p, t, end)), len(t) + 1)
+                            for d, p, t in zip(labels[some], lead[some], ids[some], strict=True)])
                 yield from _rows(packer.drain(keep=PENDING // 2), with_ids)
         yield from _rows(packer.drain(), with_ids)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(pack, schema)
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(prompt).alias("prompt")] if prompt else [])]
+    return docs.select(*columns).mapInArrow(pack, schema)
 
 
 def _rows(pieces: list[tuple], with_ids: bool) -> Iterator[pa.RecordBatch]:
