@@ -275,6 +275,22 @@ def q_gold_kpis_replay(spark, sf):
     return _rounded(spark.read.parquet(p.gold).drop("gold_written_at"), "avg_temp_c", "avg_humidity", "avg_battery")
 
 
+def _batch_log(spark, sf, name):
+    from voltline.streaming import batchlog, replay
+    return batchlog.read_log(spark, replay.replay_logged(spark, _slices(spark, sf), I.registry(spark, sf), name))
+
+
+def q_batch_metrics(spark, sf):
+    """What each micro-batch added to its layer, as the jobs reported it."""
+    return _batch_log(spark, sf, "batch-metrics").select("layer", "n", "rows", "oldest", "newest")
+
+
+def q_sla_measured(spark, sf):
+    """Worst lag of each layer, measured on the batches, against its target."""
+    from voltline.streaming import batchlog
+    return batchlog.attainment(_batch_log(spark, sf, "sla-measured"), metrics.SLA_TARGETS)
+
+
 def q_silver_upsert_pruned(spark, sf):
     """``silver_upsert`` with key lookups in a key table; the second batch is
     written twice, as after a failure."""
@@ -378,4 +394,6 @@ QUERIES = {
     "retention_expire": q_retention_expire,
     "zorder_cluster": q_zorder_cluster,
     "metric_sketches": q_metric_sketches,
+    "batch_metrics": q_batch_metrics,
+    "sla_measured": q_sla_measured,
 }

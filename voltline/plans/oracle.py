@@ -507,4 +507,39 @@ SELECT layer, partition_date, rows
 FROM p, (VALUES ('bronze', 90), ('gold', 365)) v(layer, days)
 WHERE date_diff('day', partition_date, DATE '2024-04-01') <= days"""
 
+# The feed arrives in three parts, cut at 02:00 and 04:00 of hub time.  Bronze
+# and Silver get a part each; Gold emits a window once the newest event time of
+# valid rows so far, less two minutes, has reached its end.
+BATCHES = f"""{SILVER},
+part AS (SELECT *, CASE WHEN kafka_timestamp < TIMESTAMP '2024-01-01 02:00:00' THEN 1
+                        WHEN kafka_timestamp < TIMESTAMP '2024-01-01 04:00:00' THEN 2 ELSE 3 END AS p FROM deliv),
+spart AS (SELECT *, CASE WHEN kafka_timestamp < TIMESTAMP '2024-01-01 02:00:00' THEN 1
+                         WHEN kafka_timestamp < TIMESTAMP '2024-01-01 04:00:00' THEN 2 ELSE 3 END AS p FROM silver),
+seen AS (SELECT p, MAX(MAX(event_timestamp)) OVER (ORDER BY p) - INTERVAL 2 MINUTE AS mark FROM spart WHERE is_valid GROUP BY p),
+kpi AS (SELECT DISTINCT device_id, device_type, region, sla_tier,
+               time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end
+        FROM silver WHERE is_valid),
+gpart AS (SELECT window_end, (SELECT MIN(p) FROM seen WHERE mark >= window_end) AS p FROM kpi),
+batches AS (
+  SELECT 'bronze' AS layer, p, COUNT(*) AS rows, MIN(kafka_timestamp) AS oldest, MAX(kafka_timestamp) AS newest
+  FROM part GROUP BY p
+  UNION ALL SELECT 'silver', p, COUNT(*), MIN(kafka_timestamp), MAX(kafka_timestamp) FROM spart GROUP BY p
+  UNION ALL SELECT 'gold', p, COUNT(*), MIN(window_end), MAX(window_end) FROM gpart WHERE p IS NOT NULL GROUP BY p),
+numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY layer ORDER BY p) AS INTEGER) AS n FROM batches)"""
+
+SQL["batch_metrics"] = f"""WITH {BATCHES}
+SELECT layer, n, rows, oldest, newest FROM numbered"""
+
+SQL["sla_measured"] = f"""WITH {BATCHES},
+clock AS (SELECT p, MAX(newest) OVER (ORDER BY p) AS now FROM batches WHERE layer = 'bronze'),
+worst AS (
+  SELECT layer, MAX((epoch_us(now) - epoch_us(oldest)) / {D(1000000)}) AS actual_sec, COUNT(*) AS batches,
+         CASE layer WHEN 'bronze' THEN {D(30)} WHEN 'silver' THEN {D(120)} ELSE {D(900)} END AS target_sec
+  FROM batches JOIN clock USING (p) GROUP BY layer),
+scored AS (SELECT *, least({D(100)}, actual_sec / target_sec * {D(100)}) AS pct FROM worst)
+SELECT layer, actual_sec, batches, target_sec, pct,
+       CASE WHEN pct < 60 THEN 'green' WHEN pct < 85 THEN 'amber' ELSE 'red' END AS status
+FROM scored"""
+
+
 ORACLE_SQL = SQL

@@ -22,6 +22,7 @@ from voltline.operators.bronze import project_bronze
 from voltline.operators.silver import add_quality, enrich, parse_and_validate, silver_upsert_rows
 from voltline.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from voltline.session import default_parallelism
+from voltline.streaming.batchlog import observed
 from voltline.streaming.sources import table_stream
 
 # Trigger intervals and watermarks of the jobs.
@@ -63,7 +64,8 @@ def start_bronze(records: DataFrame, bronze_path: str, checkpoint: str,
     checkpoint, and files of both versions are one table (``mergeSchema``)."""
     # a file sink writes literals as required columns, which older files lack: tie them to a nullable one
     added = {c: F.when(F.col("kafka_timestamp").isNotNull(), x) for c, x in (extra or {}).items()}
-    w = (project_bronze(records).withColumns(added).writeStream.format("parquet").outputMode("append")
+    rows = observed(project_bronze(records).withColumns(added), "bronze", "kafka_timestamp", "kafka_timestamp")
+    w = (rows.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("event_date"))
     return _trigger(w, "bronze", available_now).start(bronze_path)
 
@@ -164,7 +166,8 @@ def start_silver_sink(spark: SparkSession, bronze_path: str, silver_path: str, r
     rows = (parse_and_validate(table_stream(spark, bronze_path, BRONZE_SCHEMA, max_files))
             .withWatermark("kafka_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"]))
     silver = enrich(add_quality(rows), registry)
-    w = (silver.select(*SILVER_SCHEMA.fieldNames()).writeStream.format("parquet").outputMode("append")
+    silver = observed(silver.select(*SILVER_SCHEMA.fieldNames()), "silver", "kafka_timestamp", "kafka_timestamp")
+    w = (silver.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("event_date"))
     return _trigger(w, "silver", available_now).start(silver_path)
 
@@ -179,7 +182,7 @@ def start_gold_kpis(spark: SparkSession, silver_path: str, gold_path: str, check
     window end; partitioned by region."""
     s = silver_stream(spark, silver_path).withWatermark("event_timestamp", KPI_WATERMARK)
     kpis = gold.with_written_at(gold.device_kpis(s, distinct_firmware="set"))
-    w = (kpis.writeStream.format("parquet").outputMode("append")
+    w = (observed(kpis, "gold", "window_end", "window_end").writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("region"))
     return _trigger(w, "gold_kpis", available_now).start(gold_path)
 

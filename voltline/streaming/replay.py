@@ -18,6 +18,7 @@ from voltline.functions.timefmt import format_iso_utc, parse_event_time
 from voltline.schemas import KAFKA_SCHEMA, PARSE_SCHEMA, TELEMETRY_FIELDS
 from voltline.session import scratch_path
 from voltline.streaming import jobs
+from voltline.streaming.batchlog import BatchLog
 from voltline.streaming.sources import hub_folder_stream
 
 SENTINEL_SHIFT = "INTERVAL 365 DAYS"
@@ -169,3 +170,26 @@ def replay_with_failure(spark: SparkSession, slices: list[DataFrame], registry:
             done = last_batch(spark, sink)
             gold()
     return p
+
+
+def replay_logged(spark: SparkSession, slices: list[DataFrame], registry: DataFrame, name: str) -> str:
+    """Lands the slices one after another, runs Bronze, the Silver file sink and
+    Gold after each, and logs their batches; returns the folder of the log."""
+    p = Paths.under(scratch_path(spark, name))
+    path = f"{p.ckpt}/batch-log"
+    log = BatchLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        with jobs.stream_partitions(spark):
+            for part in slices:
+                land(part, p.hub)
+                for start in (lambda: jobs.start_bronze(hub_folder_stream(spark, p.hub), p.bronze, f"{p.ckpt}/bronze", True),
+                              lambda: jobs.start_silver_sink(spark, p.bronze, p.silver, registry, f"{p.ckpt}/silver", True),
+                              lambda: jobs.start_gold_kpis(spark, p.silver, p.gold, f"{p.ckpt}/gold", True)):
+                    q = start()
+                    _run(q)
+                    log.settle(q.runId)
+                log.flush()
+    finally:
+        spark.streams.removeListener(log)
+    return path
