@@ -52,8 +52,10 @@ def tumbling_by_type(tel: DataFrame, size: str = "1 minute", ts_col: str = "even
 
 
 def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 minute",
-                      ts_col: str = "event_timestamp", pre_shifted: bool = False) -> DataFrame:
-    """Per device and overlapping 5-minute window every minute.
+                      ts_col: str = "event_timestamp", pre_shifted: bool = False,
+                      after: str | None = None) -> DataFrame:
+    """Per device and overlapping 5-minute window every minute.  ``after``
+    (streams): a column; a row counts in the windows that end after it.
 
     Batch: readings are first reduced to one row per (device, bucket) of
     mergeable partials -- counts, moments, min/max -- where a bucket is the
@@ -63,7 +65,7 @@ def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 min
     (``pre_shifted``): events are windowed directly so that the window stays
     on the watermarked column."""
     if pre_shifted:
-        return _hopping_direct(tel, size, hop, ts_col)
+        return _hopping_direct(tel, size, hop, ts_col, after)
     shifted = F.col(ts_col) - F.expr("INTERVAL 1 MICROSECOND")
     grain = f"{math.gcd(interval_us(size), interval_us(hop))} microseconds"
     buckets = (tel.where(F.col(ts_col).isNotNull())
@@ -89,9 +91,12 @@ def hopping_by_device(tel: DataFrame, size: str = "5 minutes", hop: str = "1 min
     )
 
 
-def _hopping_direct(tel: DataFrame, size: str, hop: str, ts_col: str) -> DataFrame:
+def _hopping_direct(tel: DataFrame, size: str, hop: str, ts_col: str, after: str | None = None) -> DataFrame:
+    placed = tel.withColumn("w", F.window(ts_col, size, hop))
+    if after:
+        placed = placed.where(F.col(after).isNull() | (F.col("w.end") > F.col(after)))
     return (
-        tel.groupBy(F.window(ts_col, size, hop).alias("w"), "device_id", "device_type")
+        placed.groupBy("w", "device_id", "device_type")
         .agg(F.count(F.lit(1)).alias("event_count"),
              F.avg("temperature_c").alias("avg_temp_c"),
              F.stddev_samp("temperature_c").alias("stddev_temp_c"),

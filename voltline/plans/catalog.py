@@ -260,11 +260,15 @@ def q_metric_sketches(spark, sf):
                     "p50_ms", "p95_ms", "p99_ms")
 
 
-def _slices(spark, sf, hours=(2, 4)):
-    """Hub records by arrival: before the first hour, between the hours, after them."""
+def _slices(spark, sf, hours=(2, 4), held_every=None):
+    """Hub records by arrival: before the first hour, between the hours, after
+    them.  ``held_every``: events with such an id arrive hours later."""
     recs = fixture.kafka_records(I.events(spark, sf))
     at = [F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.lit(h)) for h in hours]
     ts = F.col("timestamp")
+    if held_every:
+        held = F.col("offset") % fixture.DUPLICATE_OFFSET % held_every == 0
+        ts = F.when(held, ts + F.make_dt_interval(hours=F.lit(I.HELD_HOURS))).otherwise(ts)
     return [recs.where(ts < at[0]), *(recs.where((ts >= a) & (ts < b)) for a, b in zip(at, at[1:])), recs.where(ts >= at[-1])]
 
 
@@ -291,6 +295,49 @@ def q_sla_measured(spark, sf):
     return batchlog.attainment(_batch_log(spark, sf, "sla-measured"), metrics.SLA_TARGETS)
 
 
+def _gated(spark, sf, name, consumers, consume=True):
+    from voltline.streaming import replay
+    return replay.replay_gated(spark, _slices(spark, sf, held_every=I.HELD_EVERY), I.registry(spark, sf), name, consumers, consume)
+
+
+def q_late_rows(spark, sf):
+    """Rows that came after a window of theirs had closed, by consumer and window."""
+    g = _gated(spark, sf, "late-rows", ["kpis", "hopping", "sessions", "alerts"], consume=False)
+    parts = [g.late(c).select(F.lit(c).alias("consumer"), "event_id", "kafka_offset", "device_id", "event_timestamp", "closed_at", "mark")
+             for c in g.inputs]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def q_late_balance(spark, sf):
+    """Rows in the results of each consumer, and rows in its late table, counted by window."""
+    g = _gated(spark, sf, "late-balance", ["kpis", "hopping", "sessions"])
+    counted = {"kpis": "event_count", "hopping": "event_count", "sessions": "events_in_session"}
+    out = None
+    for c, n in counted.items():
+        kept = spark.read.parquet(g.result(c)).agg(F.coalesce(F.sum(n), F.lit(0)).alias("kept"))
+        late = g.late(c).agg(F.count(F.lit(1)).alias("late"))
+        row = kept.crossJoin(late).select(F.lit(c).alias("consumer"), "kept", "late")  # one row each
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_gold_kpis_gated(spark, sf):
+    """KPIs of the rows that came in time, where some come hours late."""
+    g = _gated(spark, sf, "kpis-gated", ["kpis"])
+    return _rounded(spark.read.parquet(g.result("kpis")).drop("gold_written_at"), "avg_temp_c", "avg_humidity", "avg_battery")
+
+
+def q_asa_hopping_gated(spark, sf):
+    """A row that came late for some of its windows counts in the others."""
+    g = _gated(spark, sf, "hopping-gated", ["hopping"])
+    return _rounded(spark.read.parquet(g.result("hopping")), "avg_temp_c", "stddev_temp_c", "avg_pressure_hpa")
+
+
+def q_alerts_gated(spark, sf):
+    g = _gated(spark, sf, "alerts-gated", ["alerts"])
+    return _rounded(spark.read.parquet(g.result("alerts")).drop("alert_raised_at"), "rolling_avg_temp", "rolling_std_temp")
+
+
 def q_silver_upsert_pruned(spark, sf):
     """``silver_upsert`` with key lookups in a key table; the second batch is
     written twice, as after a failure."""
@@ -396,4 +443,9 @@ QUERIES = {
     "metric_sketches": q_metric_sketches,
     "batch_metrics": q_batch_metrics,
     "sla_measured": q_sla_measured,
+    "late_rows": q_late_rows,
+    "late_balance": q_late_balance,
+    "gold_kpis_gated": q_gold_kpis_gated,
+    "asa_hopping_gated": q_asa_hopping_gated,
+    "alerts_gated": q_alerts_gated,
 }

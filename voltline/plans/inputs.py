@@ -21,6 +21,8 @@ SILVER_SCALAR = ["kafka_key", "kafka_partition", "kafka_offset", "kafka_timestam
 UPSERT_SPLIT = _dt.datetime(2024, 1, 1, 3, 0, 0)
 # Fixed value: every such event of ``alerts_stream_left`` carries no event time.
 TIMELESS_EVERY = 11
+# Every such event of the ``late_*`` and ``*_gated`` queries reaches the hub so many hours late.
+HELD_EVERY, HELD_HOURS = 13, 2
 # Fixed value: run date of the retention plan.
 RETENTION_AS_OF = _dt.date(2024, 4, 1)
 

@@ -541,5 +541,60 @@ SELECT layer, actual_sec, batches, target_sec, pct,
        CASE WHEN pct < 60 THEN 'green' WHEN pct < 85 THEN 'amber' ELSE 'red' END AS status
 FROM scored"""
 
+# Every 13th event reaches the hub two hours late, and the feed arrives in three
+# parts again.  A consumer's watermark for a part is the newest event time of
+# the parts before it, less the delay; a window that ends by then is closed.
+_ARRIVES = "kafka_timestamp + CASE WHEN n_id % 13 = 0 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END"
+_PART = (f"CASE WHEN {_ARRIVES} < TIMESTAMP '2024-01-01 02:00:00' THEN 1 "
+         f"WHEN {_ARRIVES} < TIMESTAMP '2024-01-01 04:00:00' THEN 2 ELSE 3 END")
+
+
+def _marked(name: str, rows: str, time: str, delay: str) -> str:
+    return f"""
+{name}_p AS (SELECT *, {_PART} AS p FROM {rows}),
+{name}_marks AS (
+  SELECT p, date_trunc('milliseconds', MAX(MAX({time})) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+            - INTERVAL {delay} AS mark
+  FROM {name}_p GROUP BY p),
+{name} AS (SELECT {name}_p.*, mark FROM {name}_p JOIN {name}_marks USING (p) WHERE event_timestamp IS NOT NULL)"""
+
+
+_KPI_END = "time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE"
+_HOP_END = "date_trunc('minute', event_timestamp - INTERVAL 1 MICROSECOND) + INTERVAL 1 MINUTE * (1 + h)"
+GATED = f"""{SILVER},
+feed AS (SELECT * FROM deliv WHERE NOT broken),{_marked("for_kpis", "(SELECT * FROM silver WHERE is_valid)", "event_timestamp", "2 MINUTE")},
+{_marked("for_hopping", "feed", "event_timestamp - INTERVAL 1 MICROSECOND", "1 MINUTE")},
+{_marked("for_sessions", "feed", "event_timestamp", "1 MINUTE")},
+{_marked("for_alerts", "silver", "event_timestamp", "1 MINUTE")},
+placed AS (
+  SELECT 'kpis' AS consumer, event_id, kafka_offset, device_id, event_timestamp, {_KPI_END} AS closed_at, mark FROM for_kpis
+  UNION ALL SELECT 'hopping', event_id, kafka_offset, device_id, event_timestamp, {_HOP_END}, mark
+  FROM for_hopping, unnest(generate_series(0, 4)) AS g(h)
+  UNION ALL SELECT 'sessions', event_id, kafka_offset, device_id, event_timestamp, event_timestamp + INTERVAL 5 MINUTE, mark FROM for_sessions
+  UNION ALL SELECT 'alerts', event_id, kafka_offset, device_id, event_timestamp, event_timestamp, mark FROM for_alerts)"""
+
+SQL["late_rows"] = f"""WITH {GATED}
+SELECT * FROM placed WHERE closed_at <= mark"""
+
+SQL["late_balance"] = f"""WITH {GATED}
+SELECT consumer, COUNT(*) FILTER (WHERE NOT coalesce(closed_at <= mark, false)) AS kept,
+       COUNT(*) FILTER (WHERE closed_at <= mark) AS late
+FROM placed WHERE consumer <> 'alerts' GROUP BY consumer"""
+
+
+def _on_time(sql: str, consumer: str, closed_at: str) -> str:
+    """``sql`` over the rows of Silver that came in time."""
+    gated = GATED.replace("silver AS (SELECT firsts.*", "all_silver AS (SELECT firsts.*", 1).replace(
+        "FROM silver", "FROM all_silver")
+    return sql.replace(SILVER, f"""{gated},
+silver AS (SELECT * EXCLUDE (p, mark) FROM for_{consumer} WHERE mark IS NULL OR {closed_at} > mark)""", 1)
+
+
+SQL["gold_kpis_gated"] = _on_time(SQL["gold_kpis"], "kpis", _KPI_END)
+SQL["alerts_gated"] = _on_time(SQL["alerts_stream"], "alerts", "event_timestamp")
+SQL["asa_hopping_gated"] = SQL["asa_hopping"].replace(f"WITH {DELIVERIES},\nfeed AS (SELECT * FROM deliv WHERE NOT broken)", f"WITH {GATED}", 1).replace(
+    "FROM feed, unnest(generate_series(0, 4)) AS g(h)\n  WHERE event_timestamp IS NOT NULL",
+    f"FROM for_hopping AS feed, unnest(generate_series(0, 4)) AS g(h)\n  WHERE mark IS NULL OR {_HOP_END} > mark")
+
 
 ORACLE_SQL = SQL

@@ -32,7 +32,10 @@ KPI_WATERMARK = "2 minutes"
 ALERT_WATERMARK = "1 minute"
 DEDUP_DELAY = "1 hour"  # how much later, by hub time, a second delivery may come
 
-SILVER_TABLE_SCHEMA = T.StructType(SILVER_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
+# Partition columns last, as Spark orders them once the folder holds partitions: a
+# stream that starts on the empty table keeps the order of this schema.
+SILVER_TABLE_SCHEMA = T.StructType([f for f in SILVER_SCHEMA.fields if f.name != "event_date"]
+                                   + [T.StructField("batch_id", T.LongType()), SILVER_SCHEMA["event_date"]])
 
 
 @contextmanager
@@ -177,10 +180,12 @@ def silver_stream(spark: SparkSession, silver_path: str) -> DataFrame:
 
 
 def start_gold_kpis(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str,
-                    available_now: bool = False):
+                    available_now: bool = False, silver: DataFrame | None = None):
     """Silver stream -> 5-minute KPIs, emitted once the watermark passes the
-    window end; partitioned by region."""
-    s = silver_stream(spark, silver_path).withWatermark("event_timestamp", KPI_WATERMARK)
+    window end; partitioned by region.  ``silver``: a stream to read instead of
+    the table, such as what a lateness gate let pass."""
+    rows = silver_stream(spark, silver_path) if silver is None else silver
+    s = rows.withWatermark("event_timestamp", KPI_WATERMARK)
     kpis = gold.with_written_at(gold.device_kpis(s, distinct_firmware="set"))
     w = (observed(kpis, "gold", "window_end", "window_end").writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("region"))
@@ -188,9 +193,9 @@ def start_gold_kpis(spark: SparkSession, silver_path: str, gold_path: str, check
 
 
 def start_alerts(spark: SparkSession, silver_path: str, alerts_path: str, checkpoint: str,
-                 available_now: bool = False):
+                 available_now: bool = False, silver: DataFrame | None = None):
     """Silver stream -> model / 3-sigma alerts (stream-stream join)."""
-    s = silver_stream(spark, silver_path)
+    s = silver_stream(spark, silver_path) if silver is None else silver
     out = alert_ops.alerts_stream(s, watermark=ALERT_WATERMARK) \
         .withColumn("alert_raised_at", F.current_timestamp())
     w = (out.writeStream.format("parquet").outputMode("append")

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from voltline.functions.timefmt import format_iso_utc, parse_event_time
 from voltline.schemas import KAFKA_SCHEMA, PARSE_SCHEMA, TELEMETRY_FIELDS
 from voltline.session import scratch_path
-from voltline.streaming import jobs
+from voltline.operators import streamsql
+from voltline.operators.sessions import device_sessions_stream
+from voltline.streaming import jobs, lateness
 from voltline.streaming.batchlog import BatchLog
 from voltline.streaming.sources import hub_folder_stream
 
@@ -193,3 +195,64 @@ def replay_logged(spark: SparkSession, slices: list[DataFrame], registry: DataFr
     finally:
         spark.streams.removeListener(log)
     return path
+
+
+@dataclass
+class Gated:
+    """Tables of ``replay_gated``; ``inputs``: the rows that a gate reads, as a stream."""
+    paths: Paths
+    inputs: dict[str, DataFrame]
+    dropped: int = 0  # rows that the consumers' own watermarks dropped
+
+    def judged(self, consumer: str) -> str:
+        return f"{self.paths.silver}-gates/{consumer}"
+
+    def result(self, consumer: str) -> str:
+        return f"{self.paths.stream_sql}/gated-{consumer}"
+
+    def late(self, consumer: str) -> DataFrame:
+        return lateness.late_rows(self.inputs[consumer], self.judged(consumer))
+
+
+def _consume(g: Gated, consumer: str):
+    """Starts a consumer of what its gate let pass."""
+    spark, p, delay = g.inputs[consumer].sparkSession, g.paths, lateness.CONSUMERS[consumer].delay
+    passed = lateness.on_time(g.inputs[consumer], g.judged(consumer))
+    checkpoint = f"{p.ckpt}/gated-{consumer}"
+    if consumer == "kpis":
+        return jobs.start_gold_kpis(spark, p.silver, g.result("kpis"), checkpoint, True, passed)
+    if consumer == "alerts":
+        return jobs.start_alerts(spark, p.silver, g.result("alerts"), checkpoint, True, passed)
+    if consumer == "hopping":
+        shifted = streamsql.shift_for_asa(passed).withWatermark("asa_ts", delay)
+        out = streamsql.hopping_by_device(shifted, ts_col="asa_ts", pre_shifted=True, after="mark")
+    else:
+        out = device_sessions_stream(passed.withWatermark("event_timestamp", delay))
+    return (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(g.result(consumer)))
+
+
+def replay_gated(spark: SparkSession, slices: list[DataFrame], registry: DataFrame, name: str,
+                 consumers: list[str], consume: bool = True) -> Gated:
+    """Lands the slices one after another, then a sentinel, and after each runs
+    the gates and (``consume``) their consumers: KPIs and alerts over Silver,
+    hopping windows and sessions over the feed."""
+    p = Paths.under(scratch_path(spark, name))
+    over_silver = {"kpis", "alerts"} & set(consumers)
+    jobs.ensure_table(spark, p.silver, jobs.SILVER_TABLE_SCHEMA, ["batch_id", "event_date"])
+    spark.createDataFrame([], KAFKA_SCHEMA).write.mode("append").parquet(p.hub)
+    silver, feed = jobs.silver_stream(spark, p.silver), jobs.telemetry_from_hub(hub_folder_stream(spark, p.hub))
+    of = {"kpis": silver, "alerts": silver, "hopping": feed, "sessions": feed}
+    g = Gated(p, {c: of[c] for c in consumers})
+    with jobs.stream_partitions(spark):
+        for part in [*slices, None]:
+            land(sentinel(spark.read.schema(KAFKA_SCHEMA).parquet(p.hub)) if part is None else part, p.hub)
+            if over_silver:
+                _run_round(spark, p, registry, {"bronze", "silver"})
+            for c in consumers:
+                _run(lateness.start_gate(g.inputs[c], c, g.judged(c), f"{p.ckpt}/gate-{c}", True))
+                if consume:
+                    q = _consume(g, c)
+                    _run(q)
+                    g.dropped += sum(o["numRowsDroppedByWatermark"] for b in q.recentProgress for o in b["stateOperators"])
+    return g
