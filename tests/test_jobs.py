@@ -1,3 +1,5 @@
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -92,3 +94,16 @@ def test_start_pipeline_with_config(spark, tmp_path):
     finally:
         spark.conf.unset("pipeline.storage")
         spark.conf.unset("pipeline.checkpoints")
+
+
+def test_batch_partitions_follow_its_rows(spark, monkeypatch):
+    from voltline.streaming import jobs
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    monkeypatch.setattr(jobs, "ROWS_PER_PARTITION", 10)
+    with jobs.batch_partitions(spark.range(1001)):
+        assert spark.conf.get(keys[0]) == "101"
+    with pytest.raises(ValueError), jobs.batch_partitions(spark.range(1)):
+        assert spark.conf.get(keys[0]) == before[0]  # never fewer
+        raise ValueError
+    assert [spark.conf.get(k) for k in keys] == before

@@ -2,7 +2,7 @@
 
 import re
 
-from voltline.operators.joins import broadcast_if_small, measured_bytes
+from voltline.operators.joins import BROADCAST_MAX_BYTES, broadcast_if_small, measured_bytes
 from voltline.operators.silver import enrich
 from voltline.plans import inputs as I
 from voltline.plans.catalog import QUERIES
@@ -58,6 +58,29 @@ def test_broadcast_only_below_bound(spark):
     assert "BroadcastHashJoin [device_id]" in small
 
 
+def test_large_registry_is_cut_to_the_devices_met(spark):
+    from pyspark.sql import functions as F
+
+    # over the bound as a whole; two rows of one device, one device unknown, one null
+    text = F.lpad(F.col("id").cast("string"), 120, "x")
+    reg = spark.range(400_000).select(
+        F.concat(F.lit("device-"), (F.col("id") % 399_999).cast("string")).alias("device_id"), text.alias("site_name"),
+        F.lit("EUROPE").alias("region"), F.lit("t").alias("owner_team"), F.lit("s").alias("sla_tier"))
+    assert measured_bytes(reg)[1] > BROADCAST_MAX_BYTES
+    tel = spark.createDataFrame([(0, "device-0"), (1, "device-7"), (2, "no"), (3, None), (None, "device-7")],
+                                "event_id int, device_id string")
+    out = enrich(tel, reg)
+    plan = _plan(out)
+    assert "BroadcastHashJoin [device_id], [device_id], LeftOuter" in plan
+    want = tel.join(reg, "device_id", "left")
+    assert out.columns == want.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect())) and out.count() == 6
+    # too many devices for a broadcast: the same rows by a shuffle join
+    cut = broadcast_if_small(reg, max_bytes=1, met=tel.select("device_id"))
+    assert "BroadcastHashJoin [device_id], [device_id], LeftOuter" not in _plan(tel.join(cut, "device_id", "left"))
+    assert cut.columns == reg.columns and cut.count() == 3
+
+
 def test_hub_records_are_dealt_by_offset(spark):
     from voltline.sources import fixture
     keys = _exchanges(_plan(fixture.kafka_records(I.events(spark, SF_SMALL))))

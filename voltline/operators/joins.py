@@ -36,10 +36,15 @@ def _snapshot_key(df: DataFrame):
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, met: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only behind a measured size bound; above it the side
     is returned unchanged and Spark plans a shuffle join (with AQE splitting
-    skewed partitions)."""
+    skewed partitions).
+
+    ``met``: the keys that the other side may hold (more of them do no harm).
+    A side above the bound is then reduced to its rows with such a key and
+    measured again: a few hot keys of a large table are joined without a
+    shuffle by key, where each of them would fill one task."""
     key = _snapshot_key(df)
     if key is not None and key in _MEASURED:
         size = _MEASURED[key]
@@ -47,4 +52,9 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
         _, size = measured_bytes(df)
         if key is not None:
             _MEASURED[key] = size
-    return F.broadcast(df) if size <= max_bytes else df
+    if size <= max_bytes:
+        return F.broadcast(df)
+    if met is None:
+        return df
+    kept = df.join(met.distinct(), met.columns, "left_semi").select(*df.columns)
+    return F.broadcast(kept) if measured_bytes(kept)[1] <= max_bytes else kept

@@ -61,17 +61,20 @@ def add_quality(df: DataFrame) -> DataFrame:
               .withColumn("is_valid", F.size("quality_flags") == 0))
 
 
-def enrich(df: DataFrame, registry: DataFrame, check_size: bool = True) -> DataFrame:
+def enrich(df: DataFrame, registry: DataFrame, check_size: bool = True, devices: DataFrame | None = None) -> DataFrame:
     """Left join with the device registry on device_id.
 
     The registry is measured first and broadcast only when it is under
     ``BROADCAST_MAX_BYTES``: the telemetry side then never shuffles for the
     join, so a hot device does not pile up in one join task, and later
-    aggregations shuffle on their own full keys.  Above the bound Spark
-    plans a shuffle join whose skewed partitions AQE splits."""
+    aggregations shuffle on their own full keys.  A larger registry is cut to
+    the devices that a batch holds (``devices``: their device_id, taken from
+    ``df`` if not given) and measured again.  Above the bound even so, or in a
+    stream, Spark plans a shuffle join whose skewed partitions AQE splits."""
     reg = registry.select(*REGISTRY_COLUMNS)
     if check_size:
-        reg = broadcast_if_small(reg)
+        met = None if df.isStreaming else (df if devices is None else devices).select("device_id")
+        reg = broadcast_if_small(reg, met=met)
     return df.join(reg, on="device_id", how="left")
 
 
@@ -118,14 +121,16 @@ def dedup_batch(df: DataFrame, key: str = "event_id",
 
 
 def silver_upsert_rows(bronze: DataFrame, registry: DataFrame, target_keys: DataFrame | None,
-                       check_size: bool = True) -> DataFrame:
+                       check_size: bool = True, devices: DataFrame | None = None) -> DataFrame:
     """New Silver rows for one batch: parse, de-duplicate and drop keys the
     table already holds *before* flagging and enriching.  Flags and the
     registry join are row-wise functions of the payload, so the result equals
     flag -> enrich -> dedup, but duplicates are never flagged or joined and
-    the dedup shuffle carries the narrower parsed rows."""
-    fresh = upsert_new_rows(parse_and_validate(bronze), target_keys)
-    return enrich(add_quality(fresh), registry, check_size)
+    the dedup shuffle carries the narrower parsed rows.  ``devices``: at least
+    the device_ids of ``bronze``, where they are known without parsing."""
+    parsed = parse_and_validate(bronze)
+    fresh = upsert_new_rows(parsed, target_keys)
+    return enrich(add_quality(fresh), registry, check_size, parsed if devices is None else devices)
 
 
 def upsert_new_rows(batch: DataFrame, target_keys: DataFrame | None,

@@ -56,7 +56,7 @@ def q_silver_upsert(spark, sf):
     the hub before the split time, then a replay of the whole topic (which
     repeats every record and carries in-batch duplicates)."""
     b = I.bronze(spark, sf)
-    reg = broadcast_if_small(I.registry(spark, sf))     # measured once for both batches
+    reg = broadcast_if_small(I.registry(spark, sf), met=I.devices(spark, sf))  # measured once for both batches
     early = b.where(F.col("kafka_timestamp") < F.lit(I.UPSERT_SPLIT))
     table = (silver_ops.silver_upsert_rows(early, reg, None, check_size=False)
              .withColumn("batch_id", F.lit(0)))
@@ -153,7 +153,7 @@ def q_health_flatten(spark, sf):
 
 def q_layer_presence(spark, sf):
     b = I.bronze(spark, sf)
-    s = silver_ops.silver_upsert_rows(b, I.registry(spark, sf), None)
+    s = silver_ops.silver_upsert_rows(b, I.registry(spark, sf), None, devices=I.devices(spark, sf))
     return health.layer_presence(b, s, gold.device_kpis(s))
 
 

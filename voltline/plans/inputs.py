@@ -42,10 +42,15 @@ def registry(spark: SparkSession, sf: str) -> DataFrame:
                                    load_table(spark, sf, "region"))
 
 
+def devices(spark: SparkSession, sf: str) -> DataFrame:
+    """device_id of every device that sends."""
+    return telemetry(spark, sf).select("device_id").distinct()
+
+
 def silver(spark: SparkSession, sf: str) -> DataFrame:
     """Silver as the jobs build it: Bronze payloads parsed, validated,
     de-duplicated, flagged and enriched."""
-    return silver_upsert_rows(bronze(spark, sf), registry(spark, sf), None)
+    return silver_upsert_rows(bronze(spark, sf), registry(spark, sf), None, devices=devices(spark, sf))
 
 
 def feed(spark: SparkSession, sf: str) -> DataFrame:

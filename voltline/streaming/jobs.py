@@ -89,6 +89,27 @@ def target_keys(spark: SparkSession, silver_path: str, batch_id: int) -> DataFra
             .where(F.col("batch_id") != F.lit(batch_id)).select("event_id"))
 
 
+# A batch's tasks sort what they read by key and by output folder, in several times the bytes shuffled.
+ROWS_PER_PARTITION, TASK_SHUFFLE_BYTES = 50_000, "32m"
+
+
+@contextmanager
+def batch_partitions(batch_df: DataFrame):
+    """Shuffle partitions of a micro-batch by its own rows, for as long as it is
+    worked on.  The job keeps no state, so the number that its query started
+    with, which suits small batches, binds nothing; AQE joins small partitions."""
+    spark = batch_df.sparkSession
+    key, most = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, bytes_before = spark.conf.get(key), spark.conf.get(most)
+    spark.conf.set(key, str(max(int(before), -(-batch_df.count() // ROWS_PER_PARTITION))))
+    spark.conf.set(most, TASK_SHUFFLE_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set(most, bytes_before)
+
+
 Registry = DataFrame | Callable[[], DataFrame]
 
 
@@ -125,6 +146,12 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registr
         marker = f"{landed}/batch_id={batch_id}"
         if landed and _landed(spark, marker):
             return
+        with batch_partitions(batch_df):
+            write(batch_df, batch_id)
+        if landed:
+            spark.range(1).write.mode("overwrite").parquet(marker)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
         devices = registry() if callable(registry) else registry
         if keys:
             ensure_table(spark, keys, T._parse_datatype_string(keytable.SCHEMA), ["bucket", "batch_id"])
@@ -139,8 +166,6 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registr
         if keys:
             written = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_path).where(F.col("batch_id") == F.lit(batch_id))
             keytable.write_keys(written, keys, batch_id)
-        if landed:
-            spark.range(1).write.mode("overwrite").parquet(marker)
     return upsert
 
 
