@@ -2,6 +2,7 @@
 
 import re
 
+from voltline.operators import alerts
 from voltline.operators.joins import BROADCAST_MAX_BYTES, broadcast_if_small, measured_bytes
 from voltline.operators.silver import enrich
 from voltline.plans import inputs as I
@@ -34,6 +35,20 @@ def test_trailing_frame_partitioned_by_device_and_chunk(spark):
     assert not any(re.fullmatch(r"device_id,\d+", k) for k in keys)
 
 
+def test_trailing_frame_deals_blocks_of_rows_that_lie_by_device(spark):
+    rows = I.silver(spark, SF_SMALL).repartition(5, "device_id")  # as after a join with a large registry
+    keys = [k.replace(" ", "") for k in _exchanges(_plan(alerts.alerts_trailing(rows)))]
+    assert any(k.startswith("device_id,part") for k in keys)
+    assert "device_id, part, 7)" in _plan(alerts.alerts_trailing(rows, tasks=7))
+
+
+def test_tasks_grow_with_the_events(spark, monkeypatch):
+    n = I.events(spark, SF_SMALL).count()
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 10)
+    assert I.tasks(spark, SF_SMALL) == -(-n // 10)
+    assert f"device_id, part, {-(-n // 10)})" in _plan(QUERIES["alerts_trailing"](spark, SF_SMALL))
+
+
 def test_registry_broadcast_and_kpis_grouped_by_window(spark):
     plan = _plan(QUERIES["gold_kpis"](spark, SF_SMALL))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin [device_id]" in plan

@@ -88,7 +88,7 @@ def alerts_per_event(silver: DataFrame, size_minutes: int = 10) -> DataFrame:
             .withColumn("trigger", _trigger(F.col("model_anomaly_flag"), F.col("stat_windows") > 0)))
 
 
-def alerts_trailing(silver: DataFrame, frame_seconds: int = 600) -> DataFrame:
+def alerts_trailing(silver: DataFrame, frame_seconds: int = 600, tasks: int | None = None) -> DataFrame:
     """Trailing-frame variant: statistics over the device's readings in
     [ts - 10 min, ts] (the event itself included).
 
@@ -99,7 +99,13 @@ def alerts_trailing(silver: DataFrame, frame_seconds: int = 600) -> DataFrame:
     second part, one from the right the first, and the two merge.  So each row
     costs the same however dense the device is (a sliding frame reads its whole
     content again for each row), nothing is subtracted, and a hot device is
-    spread over its blocks.
+    spread over its blocks.  The blocks are dealt explicitly: rows that come
+    dealt by device (from a join with a large registry) would satisfy the
+    window as they lie, each device in one task.
+
+    ``tasks``: how many tasks the blocks are dealt over; a task sorts its rows
+    twice, in many times the bytes that were shuffled.  Not given: the session's
+    partitions.
 
     A flagged event without event time has no frame, and is reported without
     statistics."""
@@ -112,7 +118,8 @@ def alerts_trailing(silver: DataFrame, frame_seconds: int = 600) -> DataFrame:
     places = F.when(us.isNotNull(), F.array(here, next_one)).otherwise(F.array(here))
     placed = (silver.select(*ALERT_INPUT).select("*", F.explode(places).alias("p"))
               .select("device_id", "p.part", "p.at", "p.own", F.when(F.col("p.at").isNotNull(), F.col("temperature_c")).alias("t"),
-                      F.when(F.col("p.own"), F.struct(*ALERT_INPUT)).alias("row")))
+                      F.when(F.col("p.own"), F.struct(*ALERT_INPUT)).alias("row"))
+              .repartition(*([tasks] if tasks else []), "device_id", "part"))
     by_block = Window.partitionBy("device_id", "part")
     up, down = by_block.orderBy(F.asc("at")), by_block.orderBy(F.desc("at"))  # ties included
     mine, before = F.when(F.col("own"), F.col("t")), F.when(~F.col("own"), F.col("t"))

@@ -100,7 +100,7 @@ def q_alerts_per_event(spark, sf):
 
 
 def q_alerts_trailing(spark, sf):
-    return _rounded(alerts.alerts_trailing(I.silver(spark, sf)), "trailing_avg_temp", "trailing_std_temp")
+    return _rounded(alerts.alerts_trailing(I.silver(spark, sf), tasks=I.tasks(spark, sf)), "trailing_avg_temp", "trailing_std_temp")
 
 
 def q_throughput_series(spark, sf):

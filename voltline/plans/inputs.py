@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voltline.operators.bronze import project_bronze
 from voltline.operators.silver import parse_and_validate, silver_upsert_rows
+from voltline.session import default_parallelism
 from voltline.sources import fixture
 from voltline.sources.tables import load_table
 
@@ -23,6 +24,8 @@ UPSERT_SPLIT = _dt.datetime(2024, 1, 1, 3, 0, 0)
 TIMELESS_EVERY = 11
 # Every such event of the ``late_*`` and ``*_gated`` queries reaches the hub so many hours late.
 HELD_EVERY, HELD_HOURS = 13, 2
+# Fixed value: events for each task of ``tasks``.
+ROWS_PER_TASK = 100_000
 # Fixed value: run date of the retention plan.
 RETENTION_AS_OF = _dt.date(2024, 4, 1)
 
@@ -31,6 +34,11 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return load_table(spark, sf, "events")
 
 
+def tasks(spark: SparkSession, sf: str) -> int:
+    """Tasks for a step that sorts every event whole; the count is read from the file footers."""
+    return max(default_parallelism(spark), -(-events(spark, sf).count() // ROWS_PER_TASK))
+
+
 def telemetry(spark: SparkSession, sf: str) -> DataFrame:
     """Typed telemetry, before it is sent to the hub."""
     return fixture.telemetry(events(spark, sf))
