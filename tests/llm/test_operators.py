@@ -494,6 +494,30 @@ def test_jaccard_second_round(spark, monkeypatch):
         same(map(tuple, got.collect()), brute_components(rows))
 
 
+def test_jaccard_broadcasts(spark, monkeypatch):
+    """A round broadcasts signatures and keys of the sets it asks about, not of
+    all sets: the two passes over all texts alone look up every representative."""
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 30))) for i in range(400)]
+    rows += [(1000 + i, f"{t} tail{i}") for i, (_, t) in enumerate(rows[:5])]
+    seen, sized = [], jaccard.sized
+    monkeypatch.setattr(jaccard, "sized", lambda df, *a, **kw: seen.append((set(df.columns), df.count())) or sized(df, *a, **kw))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    same(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), brute_components(rows))
+    signatures = [n for columns, n in seen if "sig" in columns]
+    keys = [n for columns, n in seen if "c_text_key" in columns]
+    assert max(signatures) <= 40 and sorted(keys)[-1] == len(rows) and all(n <= 40 for n in sorted(keys)[:-1])
+
+
+def test_jaccard_frequent(spark):
+    """Shingles met twice are counted as often as they are met."""
+    texts = ["a b c d e f", "x a b c d e", "b c d e f g", "a b c d e f", "p q r s t"]
+    frequent, counts = jaccard._frequent(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), 5)
+    want = Counter(int(h) for t in texts for h in next(jaccard.shingle_sets([t.encode()])))
+    assert dict(zip(map(int, frequent), map(int, counts), strict=True)) == {h: c for h, c in want.items() if c > 1}
+    assert list(counts) == sorted(counts)
+
+
 def test_jaccard_empty(empty_docs):
     assert jaccard.near_duplicates(empty_docs).collect() == []
 

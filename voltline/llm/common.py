@@ -23,10 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Bound Arrow batches by bytes so that long texts cannot fill a worker,
     and let workers import this package from where the driver did."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
     home = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if home not in env.get("PYTHONPATH", "").split(":"):

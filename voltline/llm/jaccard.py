@@ -19,7 +19,10 @@ Each set also has a signature, the parity of its hashes in ``BITS`` cells.  The
 bits in which two signatures differ are at most the shingles in which the sets
 differ, so a pair with too many of them cannot link and is not compared; its
 distance is known from below, which the triangle inequality can still use.
-Pairs of large sets that pass are screened again by a wider signature.
+Pairs of large sets that pass are screened again by a wider signature.  Each
+round takes the signatures of the sets it asks about, and the texts of those
+that are still open after that, from the corpus once; no table of all sets or
+of all signatures is broadcast for it.
 
 For the pairs that neither relation answers, neighbours in changing orders of a
 list are compared first, a linear number in each of at most ``PROBES`` rounds,
@@ -45,7 +48,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -76,6 +79,7 @@ YIELD = 16  # such a round is the last if it links fewer than one in so many ope
 PART = 512  # entries of a list that one window orders, about
 BITS = 512  # of a signature, 64 to a long
 WIDE_BITS, WIDE_FROM = 4096, 400  # of the second signature, of sets with more shingles than this
+BATCH_BYTES = 2 * 1024 * 1024  # of an Arrow batch: its hashes take several times the texts
 LONG_BLOCKS = 64  # a list with more open entries is compared in blocks by set size
 FREQUENT = 1 << 17  # shingles that the order puts last, most frequent at the very end (1 MB broadcast)
 
@@ -138,10 +142,16 @@ def _frequent(reps: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         size = 0
 
         def counted() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(kept), return_counts=True)
-            twice = counts > 1
+            met = np.concatenate(kept)
+            kept.clear()
+            met.sort()  # in place: only what is met twice is copied
+            again = met[1:] == met[:-1]
+            first, last = again.copy(), again.copy()
+            first[1:] &= ~again[:-1]
+            last[:-1] &= ~again[1:]
+            first, last = np.flatnonzero(first), np.flatnonzero(last)
             return pa.RecordBatch.from_arrays(
-                [pa.array(values[twice].view(np.int64)), pa.array(counts[twice])], ["h", "c"])
+                [pa.array(met[first].view(np.int64)), pa.array(last - first + 2)], ["h", "c"])
 
         for b in batches:
             for s in shingle_sets(_binary(b.column(0)), k):
@@ -149,7 +159,7 @@ def _frequent(reps: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
                 size += len(s)
                 if size > 2_000_000:
                     yield counted()
-                    kept, size = [], 0
+                    size = 0
         if kept:
             yield counted()
 
@@ -209,6 +219,9 @@ def _postings(reps: DataFrame, shared, ranges: int, k: int, percent: int) -> Dat
     return reps.select("rep", "text").mapInArrow(run, "rng int, h binary, rep binary, n binary, pos binary")
 
 
+# Gives rep (unique long), text of the sets in a table's w_rep, or of all for None.
+Reps = Callable[[DataFrame | None], DataFrame]
+
 # What a block gives.  PAIR: an entry to be compared with its list's pivot;
 # ENTRY: an entry of a list of three or more (or of a list in parts);
 # PIVOT: the pivot of one part of a list.
@@ -278,12 +291,17 @@ def _distance_at_least(differ: Column) -> Column:
     return 1 - (F.col("total") - differ) / (F.col("total") + differ)
 
 
-def _screened(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+def _members(pairs: DataFrame) -> DataFrame:
+    """w_rep: the sets of ``pairs``, each once."""
+    return materialise(pairs.select(F.explode(F.array("a", "b")).alias("w_rep")).distinct(), "wanted")
+
+
+def _screened(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """``pairs`` of large sets, whose signatures say little, with lo and close by
     a wider signature, which only the sets of these pairs get."""
-    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("w_rep")).distinct(), "wanted")
-    wide = _sets(reps.join(sized(wanted), F.col("rep") == F.col("w_rep")), k, ["rep"], lambda s: _signature(s, WIDE_BITS))
-    wide = sized(materialise(wide, "wide"), weight=F.lit(WIDE_BITS // BITS))
+    wanted = _members(pairs)
+    wide = _sets(texts.join(sized(wanted), F.col("rep") == F.col("w_rep")), k, ["rep"], lambda s: _signature(s, WIDE_BITS))
+    wide = sized(materialise(wide, "wide"), weight=F.lit(WIDE_BITS // 256))
     of = {c: wide.select(F.col("rep").alias(f"{c}_rep"), F.col("s").alias(f"s{c}")) for c in "ab"}
     both = pairs.join(of["a"], F.col("a") == F.col("a_rep")).join(of["b"], F.col("b") == F.col("b_rep"))
     differ = F.aggregate(F.zip_with("sa", "sb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
@@ -292,23 +310,30 @@ def _screened(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFr
         ((100 + percent) * F.col("differ") <= (100 - percent) * F.col("total")).alias("close"))
 
 
-def _compared(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, reps: Reps, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """a, b, lo, hi, linked: bounds of the pairs' distances; both are the exact
     distance where the signatures allow a link.  A set travels once for each
     pair that it is the b of, and once as a, to where the pairs of a are."""
-    x, y = sigs.alias("x"), sigs.alias("y")
+    asking = materialise(pairs.select("a", "b"), "asking")
+    of_these = materialise(sigs.join(sized(_members(asking)), F.col("rep") == F.col("w_rep")).select("rep", "n", "sig"), "sigs")
+    narrow = sized(of_these, weight=F.lit(BITS // 64))
+    x, y = narrow.alias("x"), narrow.alias("y")
     asked = materialise(
-        pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
+        asking.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
         .select("a", "b", (F.col("x.n") + F.col("y.n")).alias("total"), _differ().alias("differ"),
                 _signatures_allow(percent).alias("close"), (F.least("x.n", "y.n") > WIDE_FROM).alias("large")), "asked")
+    release(asking)
+    release(of_these)
+    # the only pass over the corpus: what follows reads the texts it found
+    texts = materialise(reps(_members(asked.where("close"))), "texts")
     told = asked.withColumn("lo", _distance_at_least(F.col("differ"))).where("not (close and large)")
     pairs = materialise(told.select("a", "b", "lo", "close").unionByName(
-        _screened(asked.where("close and large").select("a", "b", "total"), reps, k, percent)), "pairs")
+        _screened(asked.where("close and large").select("a", "b", "total"), texts, k, percent)), "pairs")
     release(asked)
     close = sized(pairs.where("close").select("a", "b"))
     some = sized(materialise(pairs.where("close").select("a").distinct(), "paired"))
-    there = _sets(reps.join(close, F.col("rep") == F.col("b")), k, ["a", "b"]).withColumnRenamed("s", "sb")
-    here = _sets(reps.join(some, F.col("rep") == F.col("a")), k, ["a"]).withColumnRenamed("s", "sa")
+    there = _sets(texts.join(close, F.col("rep") == F.col("b")), k, ["a", "b"]).withColumnRenamed("s", "sb")
+    here = _sets(texts.join(some, F.col("rep") == F.col("a")), k, ["a"]).withColumnRenamed("s", "sa")
     both = there.join(here, "a")
     union = F.size("sa") + F.size("sb") - F.col("shared")
     distance = 1 - F.col("shared") / union
@@ -318,22 +343,23 @@ def _compared(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percen
     far = pairs.where("not close").select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked"))
     answers = materialise(exact.unionByName(far), "answers")
     release(pairs)
+    release(texts)
     return answers
 
 
-def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, percent: int = PERCENT,
+def linked_sets(reps: Reps, sigs: DataFrame, total: int, k: int = WORDS, percent: int = PERCENT,
                 long_list: int = LONG_LIST) -> DataFrame:
-    """node, component over representatives.  ``reps``: rep (unique long), text;
+    """node, component over representatives.  ``reps``: as of ``_representatives``;
     ``sigs``: rep, n, sig."""
-    sigs = sized(sigs, BROADCAST_ROWS // 2)
-    frequent, counts = _frequent(reps, k)
+    every = reps(None)
+    frequent, counts = _frequent(every, k)
     is_long = counts > long_list
     order = np.argsort(frequent[is_long])
     long_lists = frequent[is_long][order]
     parts = (1 + counts[is_long] // long_list)[order]
-    shared = reps.sparkSession.sparkContext.broadcast((frequent, long_lists, parts))
+    shared = every.sparkSession.sparkContext.broadcast((frequent, long_lists, parts))
     ranges = max(16, -(-total * (100 - percent) // 100 // RANGE))
-    blocks = _postings(reps, shared, ranges, k, percent).repartition(ranges, "rng")
+    blocks = _postings(every, shared, ranges, k, percent).repartition(ranges, "rng")
     lists = materialise(blocks.groupBy("rng").applyInPandas(
         lambda block: _lists(block, shared.value[1], percent), LISTS), "lists")
 
@@ -366,8 +392,9 @@ def linked_sets(reps: DataFrame, sigs: DataFrame, total: int, k: int = WORDS, pe
     # pair with several lists is taken from the first one it shares
     mine = entries.groupBy(F.col("rep").alias("l_rep")).agg(
         F.transform(F.array_sort(F.collect_set(F.struct("pos", "list_key"))), lambda e: e["list_key"]).alias("lists"))
-    entries = materialise(entries.join(mine, entries.rep == mine.l_rep).drop("l_rep"), "open-entries")
-    entries = entries.join(sigs.select("rep", "sig"), "rep").select(
+    entries = materialise(entries.join(mine, entries.rep == mine.l_rep).drop("l_rep")
+                          .join(sigs.select("rep", "sig"), "rep"), "open-entries")
+    entries = entries.select(
         "list_key", "pivot", "rep", "n", "pos", "component", F.col("lo").cast("float"), F.col("hi").cast("float"), "lists", "sig",
         F.when(F.col("members") > LONG_BLOCKS, _block(F.col("n"), percent)).alias("block"))
     # blocks of a long list by size: the smaller set of a pair lies in the larger one's block or the one below
@@ -412,7 +439,7 @@ def _block(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / np.log(100 / percent) + 1e-9)
 
 
-def _links(pairs: DataFrame, reps: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, reps: Reps, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """u, v: the pairs that link."""
     return _compared(pairs, reps, sigs, k, percent).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -450,23 +477,34 @@ def _neighbours(entries: DataFrame, turn: int, percent: int) -> DataFrame:
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 
-def _representatives(rows: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """rep, text.  Texts move only if the table of representatives is too large
-    to broadcast; of rows repeated in full, one is taken."""
+def _representatives(rows: DataFrame, texts: DataFrame, chosen: DataFrame) -> Reps:
+    """A function that gives rep, text of the sets in w_rep of a table, or of all
+    if it gets none.  Texts move only if the table of representatives is too
+    large to broadcast; of rows repeated in full, one is taken."""
     same = (F.col("doc_id").eqNullSafe(F.col("c_doc_id"))) & (F.col("text_key") == F.col("c_text_key"))
     again = materialise(rows.groupBy("doc_id", "text_key").count().where("count > 1")
                         .select(F.col("doc_id").alias("c_doc_id"), F.col("text_key").alias("c_text_key")), "again")
-    if again.isEmpty():
-        reps = texts.join(sized(chosen), same).select("rep", "text")
-    else:
+    repeated = not again.isEmpty()
+
+    def found(chosen: DataFrame) -> DataFrame:
+        if not repeated:
+            return texts.join(sized(chosen), same).select("rep", "text")
         twice = F.col("chosen.c_doc_id").eqNullSafe(F.col("again.c_doc_id")) & (
             F.col("chosen.c_text_key") == F.col("again.c_text_key"))
         pair = chosen.alias("chosen"), sized(again).alias("again")
         once = materialise(pair[0].join(pair[1], twice, "left_anti"), "reps-once")
         more = materialise(pair[0].join(pair[1], twice, "left_semi"), "reps-again")
-        reps = texts.join(sized(once), same).select("rep", "text").unionByName(
+        return texts.join(sized(once), same).select("rep", "text").unionByName(
             texts.join(sized(more), same).select("rep", "text").dropDuplicates(["rep"]))
-    return reps if chosen.count() <= BROADCAST_ROWS else materialise(reps, "representatives")
+
+    every = found(chosen)
+    if chosen.count() > BROADCAST_ROWS:
+        every = materialise(every, "representatives")
+        return lambda wanted: every if wanted is None else every.join(
+            sized(wanted), F.col("rep") == F.col("w_rep")).select("rep", "text")
+    # the few that are asked for are looked up first, so that they alone are broadcast
+    return lambda wanted: every if wanted is None else found(materialise(
+        chosen.join(sized(wanted), F.col("rep") == F.col("w_rep")).drop("w_rep"), "reps-wanted"))
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
@@ -474,7 +512,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
     """doc_id, text_key, n_shingles, component_id, and component_key (text_key of
     the component's first row: smallest doc_id, null last, then smallest
     text_key): one row for each row."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     rows = materialise(set_sizes(docs, k), "set-sizes")
     # one representative for each distinct set
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
