@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -509,6 +510,49 @@ def test_jaccard_broadcasts(spark, monkeypatch):
     assert max(signatures) <= 40 and sorted(keys)[-1] == len(rows) and all(n <= 40 for n in sorted(keys)[:-1])
 
 
+def test_jaccard_one_list_of_each(spark, monkeypatch):
+    """Lists of the same members, which lie in many ranges, are carried on once."""
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    shared, x, y = words("p", 64), words("x", 44), words("y", 44)
+    rows = [(i, f"{shared} {(x, y)[i % 2]} t{i}") for i in range(8)]
+    rows += [(100 + i, f"{(x, y)[i % 2]} {words(f'u{i}w', 100)}") for i in range(40)]
+    seen, kept = {}, jaccard.materialise
+
+    def spied(df, name, *a):
+        return seen.setdefault(name, []).append(kept(df, name, *a)) or seen[name][-1]
+
+    monkeypatch.setattr(jaccard, "materialise", spied)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    same(map(tuple, got), brute_components(rows))
+    entries = [tuple(r) for r in seen["open-entries"][0].select("list_key", "rep").collect()]
+    assert {rep for _, rep in entries} and len(set(entries)) == len(entries)
+
+
+def test_jaccard_partnered():
+    """Only entries that size and position let link with another one of their list stay in it."""
+    rng = np.random.default_rng(13)
+    for percent, most in itertools.product((33, 60, 75, 90), (5, 40, 400)):
+        listed, n = np.sort(rng.integers(0, 12, 90)), rng.integers(1, most, 90)
+        order = np.lexsort((n, listed))
+        listed, n = listed[order], n[order]
+        pos = (rng.random(90) * n * 0.4).astype(np.int64)
+        want = [any(i != j and listed[i] == listed[j] and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j])
+                    and (100 + percent) * min(n[i] - pos[i], n[j] - pos[j]) >= percent * (n[i] + n[j]) for j in range(90))
+                for i in range(90)]
+        assert jaccard._partnered(listed, n, pos, percent).tolist() == want
+    # one list of sets of 10, 100 and 1,000 shingles, and one of three that are alike
+    columns = {"h": [7, 7, 7, 9, 9, 9], "rep": [1, 2, 3, 4, 5, 6], "n": [10, 100, 1000, 50, 51, 52], "pos": [0] * 6}
+    kinds = {"h": np.uint64, "rep": np.int64, "n": np.int32, "pos": np.int32}
+    block = pd.DataFrame({c: [jaccard._planes(np.array(v, kinds[c]))] for c, v in columns.items()})
+    lists = jaccard._lists(block, np.array([], np.uint64), 75)
+    assert sorted(lists.loc[lists.kind == jaccard.ENTRY, "rep"]) == [4, 5, 6]
+    lists = jaccard._lists(block, np.array([7], np.uint64), 75)  # a part of a long list: others may have what fits
+    assert sorted(lists.loc[lists.kind == jaccard.ENTRY, "rep"]) == [1, 2, 3, 4, 5, 6]
+
+
 def test_jaccard_frequent(spark):
     """Shingles met twice are counted as often as they are met."""
     texts = ["a b c d e f", "x a b c d e", "b c d e f g", "a b c d e f", "p q r s t"]

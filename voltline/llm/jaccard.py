@@ -8,7 +8,8 @@ similarity t share a shingle among their first n - ceil(t n) + 1.
 Two set relations save most of the comparisons:
 
 * skipping by position: a list's entries are sorted by set size and carry their
-  position; those whose size or position rules the overlap out are skipped;
+  position; those that size and position let link with no other entry leave the
+  list, so that a shingle shared by chance mostly makes no list at all;
 * answers from a similar set: every list is first compared with one pivot.
   What links to the pivot shares the pivot's component, so entries of one
   component need no comparison with each other; and by the triangle inequality
@@ -33,8 +34,10 @@ few of these link, all that no shared component has answered.
 The result is exact on the hashed sets: every link between different sets is
 either compared, or implied by a shared component.
 
-Postings are exchanged as numpy blocks by shingle range; a range holds about
-``RANGE`` postings at any corpus size, and a list longer than ``LONG_LIST`` is
+Postings are exchanged as numpy blocks by shingle range, byte by byte of their
+values, so that equal high bytes compress; a range holds about ``RANGE`` postings
+at any corpus size, lists of several ranges with the same members are reduced to
+the first of them, and a list longer than ``LONG_LIST`` is
 dealt out in parts with a pivot each (the pivots are compared in turn).  Frequent shingles are those that some
 task met twice; they come last in the order, so a passage that many documents
 share fills no list (a shingle that is frequent in the corpus is met twice in
@@ -188,6 +191,16 @@ def _salts(h: np.ndarray, rep: np.ndarray, long_lists: np.ndarray, parts: np.nda
     return out
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second ones, and so on."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _postings(reps: DataFrame, shared, ranges: int, k: int, percent: int) -> DataFrame:
     """Prefix postings as blocks: rng, and the arrays h, rep, n, pos."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +224,7 @@ def _postings(reps: DataFrame, shared, ranges: int, k: int, percent: int) -> Dat
             order = np.argsort(rng, kind="stable")
             h, rep, n, pos, rng = h[order], rep[order], n[order], pos[order], rng[order]
             cuts = np.flatnonzero(np.diff(rng)) + 1
-            cols = [[x.tobytes() for x in np.split(v, cuts)] for v in (h, rep, n, pos)]
+            cols = [[_planes(x) for x in np.split(v, cuts)] for v in (h, rep, n, pos)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rng[np.concatenate(([0], cuts))]), *(pa.array(c, pa.binary()) for c in cols)],
                 ["rng", "h", "rep", "n", "pos"])
@@ -229,8 +242,38 @@ PAIR, ENTRY, PIVOT = 0, 1, 2
 LISTS = "kind int, list_key long, pivot long, rep long, n int, pos int"
 
 
+def _range_max(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The largest of values[first] to values[last], for each pair of them; the
+    least number where last < first."""
+    length = last - first + 1
+    out = np.full(len(first), np.iinfo(np.int64).min)
+    width = 1
+    while len(length):
+        now = np.flatnonzero((length >= width) & (length < 2 * width))
+        out[now] = np.maximum(values[first[now]], values[last[now] - width + 1])
+        if length.max() < 2 * width:
+            break
+        values = np.maximum(values[:-width], values[width:])
+        width *= 2
+    return out
+
+
+def _partnered(listed: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Whether size and position let an entry link with any other one of its
+    list, as ``_may_link`` tells.  ``listed``: the entry's list; entries come by
+    list and size."""
+    # the largest set that the shingles after this one (with it) can link to
+    most = ((100 + percent) * (n - pos) - percent * n) // percent
+    base = listed.astype(np.int64) << 32
+    key, at = base + n, np.arange(len(n))
+    larger = np.searchsorted(key, base + np.minimum(most, 100 * n // percent), "right") - 1
+    smallest = np.searchsorted(key, base - -percent * n // 100, "left")
+    smaller = np.minimum(np.searchsorted(key, base + most, "right"), at) - 1
+    return (_range_max(most, at + 1, larger) >= n) | (_range_max(most, smallest, smaller) >= n)
+
+
 def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.DataFrame:
-    h, rep, n, pos = (np.concatenate([np.frombuffer(x, t) for x in block[c]])
+    h, rep, n, pos = (np.concatenate([_from_planes(x, t) for x in block[c]])
                       for c, t in (("h", U64), ("rep", np.int64), ("n", np.int32), ("pos", np.int32)))
     order = np.lexsort((rep, n, h))  # a list's entries by size: those that fit the pivot are its first ones
     h, rep, n, pos = h[order], rep[order], n[order], pos[order]
@@ -241,6 +284,11 @@ def _lists(block: pd.DataFrame, long_lists: np.ndarray, percent: int) -> pd.Data
     rows = np.repeat(use, sizes)
     h, rep, n, pos = h[rows], rep[rows], n[rows].astype(np.int64), pos[rows]
     sizes, cut = sizes[use], cut[use]
+    # a part of a list does not tell who the others are
+    listed = np.repeat(np.arange(len(sizes)), sizes)
+    rows = cut[listed] | _partnered(listed, n, pos, percent)
+    h, rep, n, pos, sizes = h[rows], rep[rows], n[rows], pos[rows], np.bincount(listed[rows], minlength=len(sizes))
+    sizes, cut = sizes[sizes > 0], cut[sizes > 0]
     if not len(sizes):
         return pd.DataFrame({"kind": [], "list_key": [], "pivot": [], "rep": [], "n": [], "pos": []})
     starts = np.cumsum(sizes) - sizes
@@ -370,7 +418,8 @@ def linked_sets(reps: Reps, sigs: DataFrame, total: int, k: int = WORDS, percent
         F.col("head.pivot").alias("a"), F.col("pivot").alias("b"))
     first = lists.where(F.col("kind") == PAIR).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     answers = _compared(first.unionByName(among).distinct(), reps, sigs, k, percent)
-    entries = lists.where(F.col("kind") == ENTRY)
+    # lists of one key have the same members: the first in the order has each one's least position
+    entries = lists.where(F.col("kind") == ENTRY).groupBy("list_key", "pivot", "rep", "n").agg(F.min("pos").alias("pos"))
     found = components(answers.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     # what the pivots left open
