@@ -29,7 +29,7 @@ from voltline.llm import (
     substring,
     tokens,
 )
-from voltline.llm.common import materialise
+from voltline.llm.common import WORKER_ENV, bounded_batches, materialise
 from voltline.session import scratch_path
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
@@ -47,6 +47,27 @@ def ascii_lower(t):
     return re.sub("[A-Z]", lambda m: m[0].lower(), t)
 
 
+# --- workers ------------------------------------------------------------------
+
+def test_workers_give_back_what_they_freed(spark):
+    def run(batches):
+        import os
+
+        for b in batches:
+            env = [os.environ.get(n) for n in WORKER_ENV]
+            yield pa.RecordBatch.from_arrays([pa.array([pa.default_memory_pool().backend_name, *env[1:]])], ["v"])
+
+    before = dict(spark.sparkContext.environment)
+    try:
+        spark.sparkContext.environment["MALLOC_ARENA_MAX"] = "3"
+        bounded_batches(spark)
+        got = [r.v for r in spark.range(1).mapInArrow(run, "v string").collect()]
+    finally:
+        spark.sparkContext.environment.clear()
+        spark.sparkContext.environment.update(before)
+    assert got == ["system", "3", WORKER_ENV["MALLOC_MMAP_THRESHOLD_"], WORKER_ENV["MALLOC_TRIM_THRESHOLD_"]]
+
+
 # --- 1 sharding --------------------------------------------------------------
 
 def test_sharding(edge_docs, edge_rows, monkeypatch):
@@ -398,6 +419,13 @@ def test_private_keys_are_masked_with_their_body(spark):
     assert dict(map(tuple, got)) == want
 
 
+def test_rules_need_no_python_workers(spark):
+    found = secrets.candidates(spark.createDataFrame([(1, "token = abcdef")], "doc_id long, text string"))
+    read = found._jdf.queryExecution().optimizedPlan().toString()
+    assert read.count("LocalRelation") == 2  # rules and their sizes
+    assert found.first().rules == ["assign"]
+
+
 def test_trigram_queries():
     q = {r.kind: secrets.trigram_query(r.regex) for r in secrets.RULES}
     assert q["hex"] == [] and q["access"] == [frozenset({frozenset({"aki", "kia"})})]

@@ -16,6 +16,11 @@ from voltline.session import checkpoint_dir, scratch_path
 BROADCAST_ROWS = 500_000
 # Arrow batches carry at most this many bytes, whatever the text length.
 BATCH_BYTES = 8 * 1024 * 1024
+# Python workers serve many tasks: what one has freed goes back to the system
+# (Arrow's memory and large arrays at once, the rest above 8 MB) and does not
+# stay beside the executor's heap until the worker ends.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+              "MALLOC_MMAP_THRESHOLD_": str(4 * 1024 * 1024), "MALLOC_TRIM_THRESHOLD_": str(8 * 1024 * 1024)}
 U64 = np.uint64
 
 
@@ -25,12 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Bound Arrow batches by bytes so that long texts cannot fill a worker,
-    and let workers import this package from where the driver did."""
+    let workers import this package from where the driver did, and give them
+    ``WORKER_ENV`` (values that the session has set stay)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
     home = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if home not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = f"{home}:{env.get('PYTHONPATH', '')}".rstrip(":")
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
 
 
 def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:

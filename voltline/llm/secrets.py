@@ -20,7 +20,8 @@ import re._constants as C
 import re._parser as sre
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm.common import materialise, sized, text_hash
@@ -186,6 +187,13 @@ def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     return folded.select("doc_id", "text_key", F.explode(found).alias("trigram"))
 
 
+def _rows(spark: SparkSession, rows: list[tuple], **kinds: pa.DataType) -> DataFrame:
+    """``rows`` as an Arrow table: a list would go through plain Python workers,
+    which then stay beside those of the other operators."""
+    return spark.createDataFrame(pa.table({name: pa.array([r[i] for r in rows], kind)
+                                           for i, (name, kind) in enumerate(kinds.items())}))
+
+
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, text_key, rules: rules whose trigram query the text satisfies."""
     spark = docs.sparkSession
@@ -195,9 +203,9 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         groups += [(r.kind, len(query))] * bool(query)
         clauses += [(r.kind, g, a, len(alt), t) for g, alts in enumerate(query)
                     for a, alt in enumerate(sorted(alts, key=sorted)) for t in alt]
-    wanted = F.broadcast(spark.createDataFrame(  # bounded by the rules
-        clauses, "rule string, grp int, alt int, wants int, trigram string"))
-    sizes = F.broadcast(spark.createDataFrame(groups, "rule string, n_groups int"))
+    wanted = F.broadcast(_rows(spark, clauses, rule=pa.string(), grp=pa.int32(), alt=pa.int32(), wants=pa.int32(),
+                               trigram=pa.string()))  # bounded by the rules
+    sizes = F.broadcast(_rows(spark, groups, rule=pa.string(), n_groups=pa.int32()))
     key = ("doc_id", "text_key")
     met = (postings(docs, sorted({c[-1] for c in clauses})).join(wanted, "trigram")
            .groupBy(*key, "rule", "grp", "alt", "wants").agg(F.count_distinct("trigram").alias("has"))
