@@ -14,6 +14,8 @@ DETECTION_METHOD = "statistical_outlier"
 ALERT_INPUT = ["event_id", "device_id", "device_type", "region", "event_timestamp",
                "temperature_c", "anomaly_flag"]
 MINUTE_US = 60_000_000
+# Fixed value: rows that the stream's events of a device and a minute are dealt over.
+CELL_PARTS = 16
 
 
 def _trigger(flag: Column, stat: Column) -> Column:
@@ -139,22 +141,40 @@ def alerts_trailing(silver: DataFrame, frame_seconds: int = 600, tasks: int | No
                     _trigger(F.col("anomaly_flag"), stat).alias("trigger")))
 
 
+def _with_alerts(pairs: DataFrame, cell: list[str]) -> DataFrame:
+    """One row per event of the cell (``rows``) that the row's statistics alert on."""
+    def alerts(e: Column) -> Column:
+        return e["anomaly_flag"] | (F.abs(e["temperature_c"] - F.col("rolling_avg_temp")) > 3 * F.col("rolling_std_temp"))
+    others = [c for c in pairs.columns if c != "rows"]
+    return (pairs.select(*others, F.explode(F.filter("rows", alerts)).alias("e"))
+            .select(*others, *(F.col(f"e.{c}").alias(c) for c in cell)))
+
+
 def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
                   watermark: str = "1 minute") -> DataFrame:
     """Streaming twin: stream-stream join of events with the windowed
     statistics.  Windows are half-open here, so each event meets exactly
     ``size_minutes`` windows.
 
+    Events are kept in cells: the events of a device, a minute and one of
+    ``CELL_PARTS`` parts lie in one row, as an array.  Windows start on whole
+    minutes, so a window holds all of a cell or nothing of it, and the join pairs
+    cells with windows; only events that alert are taken out of the pair.  State
+    and probes so count cells, not events, however dense a device is.  What the
+    cell has in common (device, type, region) is kept once.  A cell closes with
+    its minute, which is no later than the first of its windows; an event that
+    comes behind the watermark still counts while its minute is open.
+
     The statistics side exposes its window as an event-time column
-    (``window_time``: the window's last instant) and the join is a time
-    range, ``wt - size < ts <= wt``.  Spark derives watermark eviction for
-    both sides from that condition, so every event is buffered once (not
+    (``window_time``: the window's last instant), the cells theirs, and the join
+    is a time range, ``wt - size < ct <= wt``.  Spark derives watermark eviction
+    for both sides from that condition, so every event is buffered once (not
     once per window) and dropped as soon as its last window has closed.
 
     Besides the device, both sides carry an aligned ``size``-long bucket id
     as an equality key: a window overlaps at most two buckets (its row is
-    repeated for each), so a statistics row only probes the events of its
-    own device *and* time bucket instead of every buffered event of the
+    repeated for each), so a statistics row only probes the cells of its
+    own device *and* time bucket instead of every buffered cell of the
     device.
 
     The join is a left join, as in batch: an event that meets no statistics is
@@ -162,10 +182,15 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
     flagged event without event time can meet none, and no watermark would ever
     release it from the join, so a stateless branch reports it at once."""
     bucket_s = size_minutes * 60
+    common, cell = ["device_id", "device_type", "region"], ["event_id", "event_timestamp", "temperature_c", "anomaly_flag"]
     timeless = (silver_stream.select(*ALERT_INPUT).where(F.col("event_timestamp").isNull() & F.col("anomaly_flag")))
     base = (silver_stream.select(*ALERT_INPUT).where(F.col("event_timestamp").isNotNull())
-            .withWatermark("event_timestamp", watermark)
-            .withColumn("bucket", F.floor(F.unix_seconds("event_timestamp") / bucket_s)))
+            .withWatermark("event_timestamp", watermark))
+    cells = (base.groupBy(*common, F.window("event_timestamp", "1 minute").alias("m"),
+                          F.pmod(F.xxhash64("event_id"), F.lit(CELL_PARTS)).alias("part"))
+             .agg(F.collect_list(F.struct(*cell)).alias("rows"))
+             .select(*common, F.window_time("m").alias("ct"),
+                     F.floor(F.unix_seconds(F.col("m.start")) / bucket_s).alias("bucket"), "rows"))
     stats = (base.groupBy(F.col("device_id").alias("r_device"),
                           F.window("event_timestamp", f"{size_minutes} minutes", "1 minute").alias("w"))
              .agg(F.avg("temperature_c").alias("rolling_avg_temp"),
@@ -178,10 +203,10 @@ def alerts_stream(silver_stream: DataFrame, size_minutes: int = 10,
                      "rolling_avg_temp", "rolling_std_temp"))
     span = F.expr(f"INTERVAL {size_minutes} MINUTES")
     cond = ((F.col("device_id") == F.col("r_device")) & (F.col("bucket") == F.col("r_bucket"))
-            & (F.col("event_timestamp") > F.col("wt") - span)
-            & (F.col("event_timestamp") <= F.col("wt")))
-    joined = base.join(stats, cond, "leftOuter")
+            & (F.col("ct") > F.col("wt") - span)
+            & (F.col("ct") <= F.col("wt")))
     none = {"rolling_avg_temp": "double", "rolling_std_temp": "double", "window_start": "timestamp", "window_end": "timestamp"}
+    joined = _with_alerts(cells.join(stats, cond, "leftOuter").select(*common, "rows", *none), cell)
     joined = joined.select(*ALERT_INPUT, *none).unionByName(
         timeless.select("*", *(F.lit(None).cast(t).alias(c) for c, t in none.items())))
     stat = F.abs(F.col("temperature_c") - F.col("rolling_avg_temp")) > 3 * F.col("rolling_std_temp")

@@ -36,6 +36,14 @@ STATE_STORES = {
     "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "memory": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
 }
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+# A query that holds raw events keeps them in RocksDB, whose stores share this
+# memory in an executor; without the bound each store takes its own buffers.
+# In-process sessions do so only for a table of this size.
+ROCKSDB_BOUND = {"spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+                 "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
+LARGE_TABLE_BYTES = 64 * 1024 * 1024
 
 
 def get_spark(master: str | None = None, app: str = "voltline",
@@ -56,7 +64,7 @@ def get_spark(master: str | None = None, app: str = "voltline",
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     local = (master or os.environ.get("SPARK_MASTER") or "local").startswith("local")
     store = os.environ.get("VOLTLINE_STATE_STORE") or ("memory" if local else "rocksdb")
-    conf["spark.sql.streaming.stateStore.providerClass"] = STATE_STORES[store]
+    conf[PROVIDER] = STATE_STORES[store]
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -89,6 +97,18 @@ def is_local(spark: SparkSession) -> bool:
     return master.startswith("local")
 
 
+def event_state_conf(spark: SparkSession, table_bytes: int) -> dict:
+    """State store settings for a query that holds the events of a table of
+    ``table_bytes`` until their windows close.  A store that the session names
+    stays as it is, with RocksDB's memory bounded."""
+    sc = _context(spark)
+    in_process = sc is not None and sc.master.split("[")[0] == "local"
+    named = spark.conf.get(PROVIDER, None) or STATE_STORES.get(os.environ.get("VOLTLINE_STATE_STORE", ""))
+    store = named or STATE_STORES["memory" if in_process and table_bytes < LARGE_TABLE_BYTES else "rocksdb"]
+    bound = {k: spark.conf.get(k, None) or v for k, v in ROCKSDB_BOUND.items()}
+    return {PROVIDER: store} | (bound if store == STATE_STORES["rocksdb"] else {})
+
+
 def default_parallelism(spark: SparkSession) -> int:
     sc = _context(spark)
     if sc is not None:

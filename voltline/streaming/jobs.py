@@ -21,7 +21,7 @@ from voltline.operators import gold, keytable, sessions, streamsql
 from voltline.operators.bronze import project_bronze
 from voltline.operators.silver import add_quality, enrich, parse_and_validate, silver_upsert_rows
 from voltline.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
-from voltline.session import default_parallelism
+from voltline.session import default_parallelism, event_state_conf
 from voltline.streaming.batchlog import observed
 from voltline.streaming.sources import table_stream
 
@@ -55,6 +55,24 @@ def stream_partitions(spark: SparkSession):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@contextmanager
+def event_state(spark: SparkSession, table: str):
+    """State store settings for a query started in this block that holds the
+    events of ``table`` in state.  A checkpoint keeps the store it began with."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+    conf = event_state_conf(spark, held)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _trigger(writer, name: str, available_now: bool):
     return writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime=TRIGGERS[name])
@@ -225,7 +243,8 @@ def start_alerts(spark: SparkSession, silver_path: str, alerts_path: str, checkp
         .withColumn("alert_raised_at", F.current_timestamp())
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, "alerts", available_now).start(alerts_path)
+    with event_state(spark, silver_path):
+        return _trigger(w, "alerts", available_now).start(alerts_path)
 
 
 def telemetry_from_hub(records: DataFrame) -> DataFrame:
