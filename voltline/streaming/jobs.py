@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,19 +165,24 @@ def silver_upsert_batch(spark: SparkSession, silver_path: str, registry: Registr
         marker = f"{landed}/batch_id={batch_id}"
         if landed and _landed(spark, marker):
             return
-        with batch_partitions(batch_df):
-            write(batch_df, batch_id)
+        # a large registry is cut to the batch's devices, measured and then joined: the payloads are parsed for them once
+        met = parse_and_validate(batch_df).select("device_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            with batch_partitions(batch_df):
+                write(batch_df, batch_id, met)
+        finally:
+            met.unpersist()
         if landed:
             spark.range(1).write.mode("overwrite").parquet(marker)
 
-    def write(batch_df: DataFrame, batch_id: int) -> None:
+    def write(batch_df: DataFrame, batch_id: int, met: DataFrame) -> None:
         devices = registry() if callable(registry) else registry
         if keys:
             ensure_table(spark, keys, T._parse_datatype_string(keytable.SCHEMA), ["bucket", "batch_id"])
             held = keytable.known_keys(spark, keys, parse_and_validate(batch_df).select("event_id"), batch_id)
         else:
             held = target_keys(spark, silver_path, batch_id)
-        fresh = (silver_upsert_rows(batch_df, devices, held)
+        fresh = (silver_upsert_rows(batch_df, devices, held, devices=met)
                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (fresh.select(*SILVER_TABLE_SCHEMA.fieldNames()).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
