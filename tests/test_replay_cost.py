@@ -50,7 +50,7 @@ def test_silver_batch_parses_once_for_the_devices_of_a_large_registry(spark, mon
     n = 40
     bronze, path = str(tmp_path / "bronze"), str(tmp_path / "silver")
     project_bronze(_records(spark, map(_good, range(n)))).write.partitionBy("event_date").parquet(bronze)
-    registry = spark.createDataFrame([(f"device-{i}", *["x"] * (len(REGISTRY_COLUMNS) - 1)) for i in range(1, 5)], ", ".join(f"{c} string" for c in REGISTRY_COLUMNS))
+    registry = spark.createDataFrame([(f"device-{i}", *["x"] * (len(REGISTRY_COLUMNS) - 1)) for i in range(1, 9)], ", ".join(f"{c} string" for c in REGISTRY_COLUMNS))
     monkeypatch.setattr(silver, "broadcast_if_small", functools.partial(broadcast_if_small, max_bytes=300))
     held = spark.sparkContext._jsc.getPersistentRDDs().size()
     q = jobs.start_silver(spark, bronze, path, registry, str(tmp_path / "ck"), available_now=True)
