@@ -42,7 +42,7 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 # memory in an executor; without the bound each store takes its own buffers.
 # In-process sessions do so only for a table of this size.
 ROCKSDB_BOUND = {"spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-                 "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128"}
+                 "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64"}
 LARGE_TABLE_BYTES = 64 * 1024 * 1024
 
 
